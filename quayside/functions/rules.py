@@ -1,60 +1,73 @@
-"""Validation rules as column expressions; the first rule that matches names the reason."""
+"""Validation rules as column expressions; the first rule that matches names the reason.
+
+A kind has dozens of rules, so they are put together as SQL text and handed to
+Spark as one expression.
+"""
 
 from __future__ import annotations
 
-from collections.abc import Sequence
-from functools import reduce
+from collections.abc import Iterable, Sequence
 from graphlib import TopologicalSorter
-from operator import or_
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 from quayside import catalogue as cat
 from quayside.catalogue import Kind
-from quayside.functions.text import is_blank
 
+Test = tuple[str, str]
+"""A field's name, and the condition under which the row violates the rule there."""
 
-Test = tuple[str, Column]
-"""A field's name and whether the row violates the rule there (NULL: it does not)."""
 
+def quoted(names: Iterable[str]) -> str:
+    return ", ".join(f"'{n}'" for n in names)
 
-def missing(kind: Kind) -> list[Test]:
-    return [(name, F.col(name).isNull()) for name in kind.critical]
+
+def is_kind(names: Iterable[str]) -> str:
+    return f"equipment_type IN ({quoted(names)})"
+
+
+def _absent(name: str) -> str:
+    return f"`{name}` IS NULL"
 
 
-def _outside(value: Column, low: float, high: float) -> Column:
+def _outside(name: str, low: float, high: float) -> str:
     # NULL compares to NULL, which is no violation; NaN sorts above every bound.
-    return (value < float(low)) | (value > float(high))
+    return f"(`{name}` < {float(low)}D OR `{name}` > {float(high)}D)"
+
+
+def missing(kind: Kind) -> list[Test]:
+    return [(name, _absent(name)) for name in kind.critical]
 
 
 def out_of_range(kind: Kind) -> list[Test]:
-    return [(name, _outside(F.col(name), low, high)) for name, low, high in kind.limits]
+    return [(name, _outside(name, low, high)) for name, low, high in kind.limits]
 
 
-def _listed(prefix: str, tests: list[Test]) -> Column:
+def _listed(prefix: str, tests: list[Test]) -> str:
     """``prefix`` and the comma-joined names of the violated fields, or NULL.
 
     Names are only put together for rows that violate something.
     """
-    names = F.concat_ws(",", *[F.when(test, F.lit(name)) for name, test in tests])
-    return F.when(reduce(or_, [test for _, test in tests]), F.concat(F.lit(prefix), names))
+    violated = " OR ".join(test for _, test in tests)
+    names = ", ".join(f"CASE WHEN {test} THEN '{name}' END" for name, test in tests)
+    return f"CASE WHEN {violated} THEN concat('{prefix}', concat_ws(',', {names})) END"
 
 
 def _first_match(
     absent: list[Test], outside: list[Test], state_domain: Sequence[str] | None
 ) -> Column:
     rules = [
-        F.when(is_blank(F.col("equipment_id")), cat.MISSING_ID),
-        F.when(is_blank(F.col("timestamp")), cat.MISSING_TIMESTAMP),
-        F.when(F.col("event_timestamp").isNull(), cat.INVALID_TIMESTAMP),
+        f"CASE WHEN equipment_id IS NULL OR trim(equipment_id) = '' THEN '{cat.MISSING_ID}' END",
+        f"CASE WHEN timestamp IS NULL OR trim(timestamp) = '' THEN '{cat.MISSING_TIMESTAMP}' END",
+        f"CASE WHEN event_timestamp IS NULL THEN '{cat.INVALID_TIMESTAMP}' END",
         _listed(cat.MISSING_MEASURE, absent),
         _listed(cat.OUT_OF_RANGE, outside),
     ]
     if state_domain is not None:
-        known = F.coalesce(F.col("state").isin(*state_domain), F.lit(False))
-        rules.append(F.when(~known, cat.INVALID_STATE))
-    return F.coalesce(*rules)
+        known = f"coalesce(state IN ({quoted(state_domain)}), false)"
+        rules.append(f"CASE WHEN NOT {known} THEN '{cat.INVALID_STATE}' END")
+    return F.expr(f"coalesce({', '.join(rules)})")
 
 
 def reject_reason(kind: Kind, state_domain: Sequence[str] | None = None) -> Column:
@@ -82,30 +95,24 @@ def reject_reason_mixed(
         for name in kind.critical:
             critical.setdefault(name, []).append(kind.name)
 
-    kind_of = F.col("equipment_type")
     absent: list[Test] = []
     outside: list[Test] = []
     for name in order.static_order():
-        value = F.col(name)
         if name in critical:
-            absent.append((name, kind_of.isin(critical[name]) & value.isNull()))
+            absent.append((name, f"({is_kind(critical[name])} AND {_absent(name)})"))
         variants = [(limit, names) for limit, names in having.items() if limit[0] == name]
-        for (_, low, high), names in variants:
-            test = _outside(value, low, high)
-            outside.append((name, kind_of.isin(names) & test if len(variants) > 1 else test))
+        for limit, names in variants:
+            test = _outside(*limit)
+            outside.append((name, f"({is_kind(names)} AND {test})" if len(variants) > 1 else test))
     return _first_match(absent, outside, state_domain)
 
 
 def violated_fields(kind: Kind) -> Column:
     """Array of (rule, field), one entry per violated field of the row."""
-
-    def entries(rule: str, tests: list[Test]) -> list[Column]:
-        found = [F.struct(F.lit(rule.rstrip(":")).alias("rule"), F.lit(n).alias("field")) for n, _ in tests]
-        return [F.when(test, entry) for entry, (_, test) in zip(found, tests)]
-
-    return F.array_compact(
-        F.array(
-            *entries(cat.MISSING_MEASURE, missing(kind)),
-            *entries(cat.OUT_OF_RANGE, out_of_range(kind)),
-        )
+    rules = ((cat.MISSING_MEASURE, missing(kind)), (cat.OUT_OF_RANGE, out_of_range(kind)))
+    entries = ", ".join(
+        f"CASE WHEN {test} THEN named_struct('rule', '{rule.rstrip(':')}', 'field', '{name}') END"
+        for rule, tests in rules
+        for name, test in tests
     )
+    return F.expr(f"array_compact(array({entries}))")

@@ -54,17 +54,17 @@ def with_reject_reason_mixed(
 ) -> DataFrame:
     """The same over wide rows of several kinds, told apart by ``equipment_type``."""
     kinds = tuple(kinds)
-    text_fields = {f for k in kinds for f in k.text_fields}
 
     def normal(name: str) -> Column:
-        using = [k for k in kinds if name in k.text_fields]
+        using = [k.name for k in kinds if name in k.text_fields]
+        if not using:
+            return F.col(name)
         value = normalized(F.col(name))
         if len(using) < len(owners(name, kinds)):
-            test = F.col("equipment_type").isin([k.name for k in using])
-            value = F.when(test, value).otherwise(F.col(name))
+            value = F.when(F.expr(rules.is_kind(using)), value).otherwise(F.col(name))
         return value.alias(name)
 
-    tidy = df.select(*[normal(c) if c in text_fields else F.col(c) for c in df.columns])
+    tidy = df.select(*[normal(c) for c in df.columns])
     return with_event_time(tidy, timestamp_format).withColumn(
         "reject_reason", rules.reject_reason_mixed(kinds, state_domain)
     )

@@ -34,6 +34,11 @@ def _near(a: Column, b: Column, tol: float) -> Column:
     return F.abs(a - b) < tol
 
 
+def _run() -> Column:
+    """Position in the run, as far as it lies inside the piece."""
+    return F.col("_rn") - F.col("_start") + 1
+
+
 def _minute(ts: Column) -> Column:
     return F.floor(F.unix_micros(ts.cast("timestamp")) / F.lit(60_000_000))
 
@@ -75,10 +80,9 @@ def _carried(
 ) -> DataFrame:
     """(keys, piece) → value and run length handed over by what came before it."""
     order = F.struct(*order_cols)
-    ends = F.struct(F.col(value_col).alias("last"), F.col("_run").alias("tail"), "_start")
+    ends = F.struct(F.col(value_col).alias("last"), _run().alias("tail"), "_start")
     pieces = (
-        measured.filter(F.col("_piece") != _WHOLE)
-        .filter(~F.col("_idle"))
+        measured.filter(~F.col("_idle") & (F.col("_piece") != _WHOLE))
         .groupBy(*keys, "_piece")
         .agg(F.min("_head").alias("_head"), F.max_by(ends, order).alias("_end"))
         .select(
@@ -129,7 +133,7 @@ def _carried(
                 F.col("repeat_count").cast("bigint").alias("_carry_count"),
             )
         )
-    return carried
+    return carried.withColumn("_idle", F.lit(False))
 
 
 def stuck_runs(
@@ -152,47 +156,40 @@ def stuck_runs(
     """
     keys, order_cols = list(keys), list(order_cols)
     idle = reduce(lambda a, b: a | b, [F.col(c).isNull() for c in [*keys, value_col]])
-    frame = df.withColumn("_idle", idle)
     spread = F.pmod(F.xxhash64(*order_cols), F.lit(IDLE_GROUPS))
     if rows_per_piece is None:
-        piece = F.lit(_WHOLE)
+        frame, piece = df, F.lit(_WHOLE)
     else:
-        slots = hot_slots(
-            frame.filter(~F.col("_idle")).select(*keys, order_cols[0]),
-            keys,
-            order_cols[0],
-            rows_per_piece,
-        )
-        frame = frame.join(F.broadcast(slots), keys, "left")
-        piece = F.coalesce(
-            F.floor(_minute(F.col(order_cols[0])) / F.col("_width")), F.lit(_WHOLE)
-        )
-    frame = frame.withColumn("_piece", F.when(F.col("_idle"), spread).otherwise(piece))
+        live = df.filter(~idle).select(*keys, order_cols[0])
+        slots = hot_slots(live, keys, order_cols[0], rows_per_piece)
+        frame = df.join(F.broadcast(slots), keys, "left")
+        slot = F.floor(_minute(F.col(order_cols[0])) / F.col("_width"))
+        piece = F.coalesce(slot, F.lit(_WHOLE))
+    frame = frame.withColumns({"_idle": idle, "_piece": F.when(idle, spread).otherwise(piece)})
 
     in_order = Window.partitionBy(*keys, "_idle", "_piece").orderBy(*order_cols)
     until_now = in_order.rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    same = F.coalesce(_near(F.col("_prev"), F.col(value_col), tol), F.lit(False))
-    measured = (
-        frame.withColumn("_prev", F.lag(value_col).over(in_order))
-        .withColumn("_rn", F.row_number().over(in_order).cast("bigint"))
-        .withColumn("_head", F.first(value_col).over(until_now))
-        .withColumn("_start", F.max(F.when(~same, F.col("_rn"))).over(until_now))
-        .withColumn("_run", F.col("_rn") - F.col("_start") + 1)
-    )
+    changed = F.coalesce(~_near(F.col("_prev"), F.col(value_col), tol), F.lit(True))
+    measured = frame.withColumns(
+        {
+            "_prev": F.lag(value_col).over(in_order),
+            "_rn": F.row_number().over(in_order).cast("bigint"),
+            "_head": F.first(value_col).over(until_now),
+        }
+    ).withColumn("_start", F.max(F.when(changed, F.col("_rn"))).over(until_now))
 
-    run = F.col("_run")
     if rows_per_piece is not None or prior is not None:
         carried = _carried(measured, keys, order_cols, value_col, tol, prior)
-        carried = carried.withColumn("_idle", F.lit(False))
         measured = measured.join(carried, [*keys, "_idle", "_piece"], "left")
         goes_on = (F.col("_start") == 1) & _near(F.col("_carry_value"), F.col("_head"), tol)
-        run = run + F.when(goes_on, F.col("_carry_count")).otherwise(0)
+        run = _run() + F.when(goes_on, F.col("_carry_count")).otherwise(0)
+    else:
+        run = _run()
     moving = F.abs(F.col(value_col)) > tol
-    return measured.withColumn("run_length", F.when(~F.col("_idle"), run)).select(
-        *df.columns,
-        "run_length",
-        F.coalesce((F.col("run_length") >= threshold) & moving, F.lit(False)).alias("is_stuck"),
-    )
+    stuck = F.coalesce((F.col("run_length") >= threshold) & moving, F.lit(False))
+    return measured.select(
+        *df.columns, F.when(~F.col("_idle"), run).alias("run_length")
+    ).withColumn("is_stuck", stuck)
 
 
 def state_after(

@@ -17,6 +17,7 @@ from quayside.catalogue import (
     resolve,
     struct_of,
 )
+from quayside.functions.rules import is_kind
 from quayside.functions.text import is_blank
 
 MESSAGE_SCHEMA = struct_of("topic STRING, key STRING, value STRING, offset BIGINT")
@@ -96,15 +97,17 @@ def parse_mixed(
     name_of = F.coalesce(*[F.when(F.col(topic_col) == k.topic, k.name) for k in kinds])
     kept = [c for c in df.columns if c != value_col and c not in schema.fieldNames()]
 
-    def owned(name: str):
-        value = F.col(name)
-        having = owners(name, kinds)
+    def owned(name: str) -> str:
+        having = [k.name for k in owners(name, kinds)]
         if len(having) == len(kinds):
-            return value
-        test = F.col("equipment_type").isin([k.name for k in having])
-        return F.when(test, value).alias(name)
+            return f"`{name}`"
+        return f"CASE WHEN {is_kind(having)} THEN `{name}` END AS `{name}`"
 
     known = df.filter(F.col(topic_col).isin([k.topic for k in kinds]))
-    return _parsed(known, kept, schema, value_col).withColumn("equipment_type", name_of).select(
-        *kept, "equipment_type", "source_json", "parse_error", *[owned(n) for n in schema.names]
+    return (
+        _parsed(known, kept, schema, value_col)
+        .withColumn("equipment_type", name_of)
+        .selectExpr(
+            *kept, "equipment_type", "source_json", "parse_error", *map(owned, schema.names)
+        )
     )

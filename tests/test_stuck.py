@@ -1,0 +1,178 @@
+import random
+from datetime import datetime, timedelta
+
+import pytest
+from hypothesis import HealthCheck, given, settings
+from hypothesis import strategies as st
+from pyspark.sql import functions as F
+
+from quayside.operators.dedupe import dedupe_first
+from quayside.operators.stuck import state_after, stuck_runs
+from quayside.streaming.state import run_lengths
+
+START = datetime(2026, 1, 1)
+SCHEMA = "kind string, id string, ts timestamp, seq bigint, v double"
+KEYS, ORDER = ["kind", "id"], ["ts", "seq"]
+
+
+def frame(spark, rows):
+    return spark.createDataFrame(rows, SCHEMA)
+
+
+def sequence(values, id="E", kind="k", start=0, step=1):
+    return [
+        (kind, id, START + timedelta(seconds=start + i * step), start + i, v)
+        for i, v in enumerate(values)
+    ]
+
+
+def brute_force(rows, threshold=5, tol=1e-9):
+    """(seq) → (run length, stuck), one row after the other."""
+    state, result = {}, {}
+    for kind, id, ts, seq, v in sorted(rows, key=lambda r: (r[2], r[3])):
+        if id is None or v is None:
+            result[seq] = (None, False)
+            continue
+        last, n = state.get((kind, id), (None, 0))
+        n = n + 1 if last is not None and abs(last - v) < tol else 1
+        state[kind, id] = (v, n)
+        result[seq] = (n, n >= threshold and abs(v) > tol)
+    return result
+
+
+def outcome(df):
+    return {r.seq: (r.run_length, r.is_stuck) for r in df.collect()}
+
+
+def flagged(df, start=0):
+    return [r.seq - start + 1 for r in df.filter("is_stuck").orderBy("seq").collect()]
+
+
+SEQUENCES = [
+    ([2, 2, 2, 2, 2, 2, 3], [5, 6]),
+    ([0, 0, 0, 0, 0, 0], []),
+    ([2, 2, 2, 2, 3, 2, 2, 2, 2], []),
+    ([2 + i * 5e-10 for i in range(6)], [5, 6]),
+]
+
+
+@pytest.mark.parametrize("values, expected", SEQUENCES)
+@pytest.mark.parametrize("rows_per_piece", [None, 5_000_000, 2])
+def test_sequences(spark, values, expected, rows_per_piece):
+    # Sixty seconds apart, every reading may be a piece of its own.
+    df = frame(spark, sequence([float(v) for v in values], step=60))
+    runs = stuck_runs(df, KEYS, ORDER, "v", rows_per_piece=rows_per_piece)
+    assert flagged(runs) == expected
+
+
+@pytest.mark.parametrize("first, second", [([2, 2, 2], [2, 2, 2]), ([2] * 5, [2])])
+@pytest.mark.parametrize("rows_per_piece", [None, 5_000_000, 1])
+def test_state_crosses_batches(spark, first, second, rows_per_piece):
+    options = {"rows_per_piece": rows_per_piece}
+    one = stuck_runs(frame(spark, sequence([float(v) for v in first], step=60)), KEYS, ORDER, "v", **options)
+    state = state_after(one, KEYS, ORDER, "v")
+    rows = [
+        (k, i, ts + timedelta(hours=1), seq + len(first), v)
+        for k, i, ts, seq, v in sequence([float(v) for v in second], step=60)
+    ]
+    two = stuck_runs(frame(spark, rows), KEYS, ORDER, "v", prior=state, **options)
+    assert flagged(one) + flagged(two) == [5, 6]
+    after = state_after(two, KEYS, ORDER, "v", prior=state).collect()
+    assert [(r.last_value, r.repeat_count) for r in after] == [(2.0, 6)]
+
+
+def test_state_of_absent_keys_is_kept(spark):
+    one = stuck_runs(frame(spark, sequence([2.0], "A") + sequence([3.0], "B", start=10)), KEYS, ORDER, "v")
+    state = state_after(one, KEYS, ORDER, "v")
+    two = stuck_runs(frame(spark, sequence([2.0], "A", start=20)), KEYS, ORDER, "v", prior=state)
+    after = state_after(two, KEYS, ORDER, "v", prior=state).orderBy("id").collect()
+    assert [(r.id, r.repeat_count) for r in after] == [("A", 2), ("B", 1)]
+
+
+def test_state_is_per_kind(spark):
+    rows = sequence([2.0] * 3, kind="a") + sequence([2.0] * 3, kind="b", start=3)
+    assert flagged(stuck_runs(frame(spark, rows), KEYS, ORDER, "v")) == []
+
+
+def test_copies_are_dropped_before(spark):
+    rows = sequence([2.0] * 4)
+    copies = [(k, i, ts, seq + 100, v) for k, i, ts, seq, v in rows]
+    df = dedupe_first(frame(spark, rows + copies), [*KEYS, "ts"], ["seq"])
+    assert df.agg(F.max("seq")).first()[0] == 3
+    assert flagged(stuck_runs(df, KEYS, ORDER, "v")) == []
+
+
+def test_rows_without_key_or_value_take_no_part(spark):
+    rows = sequence([2.0, 2.0, None, 2.0, 2.0, 2.0]) + sequence([2.0] * 7, id=None, start=50)
+    runs = stuck_runs(frame(spark, rows), KEYS, ORDER, "v")
+    assert outcome(runs) == brute_force(rows)
+    assert flagged(runs) == [6]
+
+
+def random_rows(seed, n=600, ids=12):
+    """A third of the rows belong to one id."""
+    rng = random.Random(seed)
+    rows = []
+    for seq in range(n):
+        id = "hot" if rng.random() < 1 / 3 else f"e{rng.randrange(ids)}"
+        ts = START + timedelta(seconds=seq * 37)
+        rows.append(("k", id, ts, seq, float(rng.choice([0, 1, 1, 1, 1]))))
+    return rows
+
+
+@pytest.mark.parametrize("rows_per_piece", [None, 100, 40, 7, 1])
+def test_hot_key_in_pieces_equals_brute_force(spark, rows_per_piece):
+    rows = random_rows(1)
+    runs = stuck_runs(frame(spark, rows), KEYS, ORDER, "v", rows_per_piece=rows_per_piece)
+    assert outcome(runs) == brute_force(rows)
+
+
+@pytest.mark.parametrize("rows_per_piece", [40, 3])
+def test_hot_key_with_state(spark, rows_per_piece):
+    rows = random_rows(2)
+    state, result = None, {}
+    for part in (rows[:150], rows[150:160], rows[160:]):
+        runs = stuck_runs(frame(spark, part), KEYS, ORDER, "v", prior=state, rows_per_piece=rows_per_piece)
+        result |= outcome(runs)
+        state = spark.createDataFrame(
+            state_after(runs, KEYS, ORDER, "v", state).collect(),
+            "kind string, id string, last_value double, repeat_count bigint",
+        )
+    assert result == brute_force(rows)
+
+
+@settings(max_examples=8, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture])
+@given(st.lists(st.sampled_from([0.0, 1.0, 1.0 + 6e-10, 2.0]), min_size=1, max_size=30))
+def test_property_pieces(spark, values):
+    rows = sequence(values, step=60)
+    runs = stuck_runs(frame(spark, rows), KEYS, ORDER, "v", rows_per_piece=2)
+    assert outcome(runs) == brute_force(rows)
+
+
+@given(
+    st.lists(st.sampled_from([0.0, 1.0, 1.0 + 6e-10, 2.0]), min_size=1, max_size=40),
+    st.integers(0, 40),
+)
+def test_property_run_lengths(values, cut):
+    import numpy as np
+
+    expected = [n for n, _ in brute_force(sequence(values)).values()]
+    cut = min(cut, len(values) - 1)
+    first = run_lengths(np.array(values[:cut]), None, 0, 1e-9)
+    last, count = (values[cut - 1], int(first[-1])) if cut else (None, 0)
+    second = run_lengths(np.array(values[cut:]), last, count, 1e-9)
+    assert [*first, *second] == expected
+
+
+def test_plain_window_needs_one_shuffle(spark):
+    df = frame(spark, sequence([1.0] * 5))
+    plan = stuck_runs(df, KEYS, ORDER, "v", rows_per_piece=None)
+    text = plan._jdf.queryExecution().executedPlan().toString()
+    assert text.count("Exchange") == 1 and text.count("Sort [") == 1
+
+
+def test_no_hot_key_means_no_second_pass(spark):
+    df = stuck_runs(frame(spark, random_rows(3)), KEYS, ORDER, "v")
+    df.collect()
+    final = df._jdf.queryExecution().executedPlan().toString().split("== Initial Plan ==")[0]
+    assert "SortMergeJoin" not in final and "max_by" not in final
