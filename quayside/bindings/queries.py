@@ -752,7 +752,7 @@ def stream_clean(spark: SparkSession, sf_dir: str) -> DataFrame:
     good = spark.read.parquet(clean).select(
         topic, "equipment_id", "event_timestamp", F.lit(None).cast("string").alias("reject_reason")
     )
-    return good.unionByName(verdicts(spark.read.parquet(rejected)))
+    return good.unionByName(verdicts(tables.read_rejected(spark, rejected)))
 
 
 @query("stuck_stream")

@@ -36,6 +36,7 @@ _TYPES = {
     "BIGINT": T.LongType(),
     "BOOLEAN": T.BooleanType(),
     "TIMESTAMP": T.TimestampType(),
+    "DATE": T.DateType(),
 }
 
 

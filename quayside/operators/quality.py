@@ -12,17 +12,6 @@ from quayside.functions import rules
 from quayside.functions.text import normalized
 from quayside.functions.time import event_time
 
-REJECTED_COLUMNS = (
-    "topic",
-    "equipment_id",
-    "raw_payload",
-    "reject_reason",
-    "source_json",
-    "event_timestamp",
-    "rejected_at",
-)
-
-
 def normalize_text(df: DataFrame, fields: Sequence[str]) -> DataFrame:
     return df.select(
         *[normalized(F.col(c)).alias(c) if c in fields else F.col(c) for c in df.columns]

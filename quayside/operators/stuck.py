@@ -16,7 +16,7 @@ from __future__ import annotations
 from collections.abc import Sequence
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window, WindowSpec
 from pyspark.sql import functions as F
 
 from quayside.catalogue import STUCK_THRESHOLD, STUCK_TOLERANCE
@@ -39,6 +39,10 @@ def _run() -> Column:
     return F.col("_rn") - F.col("_start") + 1
 
 
+def _so_far(window: WindowSpec) -> WindowSpec:
+    return window.rowsBetween(Window.unboundedPreceding, Window.currentRow)
+
+
 def _minute(ts: Column) -> Column:
     return F.floor(F.unix_micros(ts.cast("timestamp")) / F.lit(60_000_000))
 
@@ -70,7 +74,16 @@ def hot_slots(
     return fullest.filter(fits).groupBy(*keys).agg(F.max("_width").alias("_width"))
 
 
-def _carried(
+def _from_state(prior: DataFrame, keys: list[str], piece: int) -> DataFrame:
+    return prior.select(
+        *keys,
+        F.lit(piece).alias("_piece"),
+        F.col("last_value").alias("_last"),
+        F.col("repeat_count").cast("bigint").alias("_count"),
+    )
+
+
+def _handed_over(
     measured: DataFrame,
     keys: list[str],
     order_cols: Sequence[str],
@@ -78,62 +91,45 @@ def _carried(
     tol: float,
     prior: DataFrame | None,
 ) -> DataFrame:
-    """(keys, piece) → value and run length handed over by what came before it."""
-    order = F.struct(*order_cols)
-    ends = F.struct(F.col(value_col).alias("last"), _run().alias("tail"), "_start")
+    """(keys, piece) → last value and run length before that piece of a hot key."""
+    ends = F.struct(F.col(value_col).alias("last"), _run().alias("count"), "_start")
     pieces = (
         measured.filter(~F.col("_idle") & (F.col("_piece") != _WHOLE))
         .groupBy(*keys, "_piece")
-        .agg(F.min("_head").alias("_head"), F.max_by(ends, order).alias("_end"))
+        .agg(F.min("_head").alias("_head"), F.max_by(ends, F.struct(*order_cols)).alias("_end"))
         .select(
             *keys,
             "_piece",
-            "_head",
             F.col("_end.last").alias("_last"),
-            F.col("_end.tail").alias("_tail"),
+            F.col("_end.count").alias("_count"),
+            "_head",
             (F.col("_end._start") == 1).alias("_single"),
         )
     )
     if prior is not None:
-        before = prior.select(
-            *keys,
-            F.lit(_BEFORE).alias("_piece"),
-            F.col("last_value").alias("_head"),
-            F.col("last_value").alias("_last"),
-            F.col("repeat_count").cast("bigint").alias("_tail"),
-            F.lit(True).alias("_single"),
+        hot = pieces.select(*keys).distinct()
+        before = _from_state(prior, keys, _BEFORE).join(hot, keys, "left_semi")
+        pieces = pieces.unionByName(
+            before.withColumns({"_head": F.col("_last"), "_single": F.lit(True)})
         )
-        hot_keys = pieces.select(*keys).distinct()
-        pieces = pieces.unionByName(before.join(hot_keys, keys, "left_semi"))
 
     by_piece = Window.partitionBy(*keys).orderBy("_piece")
-    until_now = by_piece.rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    joined = F.coalesce(_near(F.lag("_last").over(by_piece), F.col("_head"), tol), F.lit(False))
-    chained = pieces.withColumn("_goes_on", joined & F.col("_single")).withColumn(
-        "_chain", F.sum((~F.col("_goes_on")).cast("int")).over(until_now)
-    )
-    by_chain = (
-        Window.partitionBy(*keys, "_chain")
-        .orderBy("_piece")
-        .rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    )
-    carried = (
-        chained.withColumn("_tail", F.sum("_tail").over(by_chain))
-        .withColumn("_carry_value", F.lag("_last").over(by_piece))
-        .withColumn("_carry_count", F.lag("_tail").over(by_piece))
-        .filter(F.col("_carry_count").isNotNull())
-        .select(*keys, "_piece", "_carry_value", "_carry_count")
-    )
-    if prior is not None:
-        carried = carried.unionByName(
-            prior.select(
-                *keys,
-                F.lit(_WHOLE).alias("_piece"),
-                F.col("last_value").alias("_carry_value"),
-                F.col("repeat_count").cast("bigint").alias("_carry_count"),
-            )
+    joined = _near(F.lag("_last").over(by_piece), F.col("_head"), tol)
+    goes_on = F.col("_single") & F.coalesce(joined, F.lit(False))
+    chain = F.sum((~F.col("_goes_on")).cast("int")).over(_so_far(by_piece))
+    by_chain = Window.partitionBy(*keys, "_chain").orderBy("_piece")
+    return (
+        pieces.withColumn("_goes_on", goes_on)
+        .withColumn("_chain", chain)
+        .withColumn("_count", F.sum("_count").over(_so_far(by_chain)))
+        .select(
+            *keys,
+            "_piece",
+            F.lag("_last").over(by_piece).alias("_last"),
+            F.lag("_count").over(by_piece).alias("_count"),
         )
-    return carried.withColumn("_idle", F.lit(False))
+        .filter(F.col("_count").isNotNull())
+    )
 
 
 def stuck_runs(
@@ -168,23 +164,26 @@ def stuck_runs(
     frame = frame.withColumns({"_idle": idle, "_piece": F.when(idle, spread).otherwise(piece)})
 
     in_order = Window.partitionBy(*keys, "_idle", "_piece").orderBy(*order_cols)
-    until_now = in_order.rowsBetween(Window.unboundedPreceding, Window.currentRow)
     changed = F.coalesce(~_near(F.col("_prev"), F.col(value_col), tol), F.lit(True))
     measured = frame.withColumns(
         {
             "_prev": F.lag(value_col).over(in_order),
             "_rn": F.row_number().over(in_order).cast("bigint"),
-            "_head": F.first(value_col).over(until_now),
+            "_head": F.first(value_col).over(_so_far(in_order)),
         }
-    ).withColumn("_start", F.max(F.when(changed, F.col("_rn"))).over(until_now))
+    ).withColumn("_start", F.max(F.when(changed, F.col("_rn"))).over(_so_far(in_order)))
 
-    if rows_per_piece is not None or prior is not None:
-        carried = _carried(measured, keys, order_cols, value_col, tol, prior)
-        measured = measured.join(carried, [*keys, "_idle", "_piece"], "left")
-        goes_on = (F.col("_start") == 1) & _near(F.col("_carry_value"), F.col("_head"), tol)
-        run = _run() + F.when(goes_on, F.col("_carry_count")).otherwise(0)
-    else:
-        run = _run()
+    carried = []
+    if rows_per_piece is not None:
+        carried.append(_handed_over(measured, keys, order_cols, value_col, tol, prior))
+    if prior is not None:
+        carried.append(_from_state(prior, keys, _WHOLE))
+    run = _run()
+    if carried:
+        before = reduce(DataFrame.unionByName, carried).withColumn("_idle", F.lit(False))
+        measured = measured.join(before, [*keys, "_idle", "_piece"], "left")
+        goes_on = (F.col("_start") == 1) & _near(F.col("_last"), F.col("_head"), tol)
+        run = run + F.when(goes_on, F.col("_count")).otherwise(0)
     moving = F.abs(F.col(value_col)) > tol
     stuck = F.coalesce((F.col("run_length") >= threshold) & moving, F.lit(False))
     return measured.select(

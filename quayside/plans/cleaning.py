@@ -34,6 +34,11 @@ def watched_value(kinds: Sequence[Kind] = KINDS):
     )
 
 
+def pieces_needed(rows: int, rows_per_piece: int | None) -> int | None:
+    """No key can be hot when all rows together fit one piece."""
+    return None if rows_per_piece is None or rows <= rows_per_piece else rows_per_piece
+
+
 def flag_stuck(
     valid: DataFrame,
     kinds: Sequence[Kind] = KINDS,
@@ -66,7 +71,7 @@ def clean_batch(
     messages: DataFrame,
     kinds: Sequence[Kind] = KINDS,
     threshold: int = STUCK_THRESHOLD,
-    **options,
+    rows_per_piece: int | None = ROWS_PER_PIECE,
 ) -> DataFrame:
     """All rows but dropped duplicates, each with its final ``reject_reason``.
 
@@ -76,4 +81,5 @@ def clean_batch(
     """
     validated = stage(validate_messages(messages, kinds), "validated")
     valid, rejected = split_valid(validated)
-    return union_rejects(rejected, flag_stuck(valid, kinds, threshold, **options))
+    pieces = pieces_needed(validated.count(), rows_per_piece)
+    return union_rejects(rejected, flag_stuck(valid, kinds, threshold, rows_per_piece=pieces))

@@ -14,12 +14,20 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from quayside.catalogue import KINDS, Kind, owners, resolve
+from quayside.catalogue import KINDS, Kind, owners, resolve, struct_of
 from quayside.operators.merge import raw_upsert, upsert_by_key
 from quayside.session import stage
 from quayside.sources.raw import RAW_KEYS
 
 FACT_PARTITIONS = ("date_key", "hour_key")
+REJECTED_SCHEMA = struct_of(
+    "topic STRING, equipment_id STRING, raw_payload STRING, reject_reason STRING, "
+    "source_json STRING, event_timestamp TIMESTAMP, rejected_at TIMESTAMP, "
+    "batch_id BIGINT, rejected_date DATE"
+)
+_CLEAN_EXTRA = struct_of(
+    "processed_at TIMESTAMP, batch_id BIGINT, equipment_type STRING, event_date DATE"
+)
 RAW_PARTITIONS = ("equipment_type", "day_bucket")
 
 
@@ -79,11 +87,23 @@ def write_rejected(df: DataFrame, path: str, batch_id: int) -> None:
     write_batch(dated, path, batch_id, ["rejected_date"])
 
 
+def clean_schema(kind: Kind) -> T.StructType:
+    """Stored columns of one kind's clean rows, partition columns last."""
+    types = {kind.clean_name(f.name): f.dataType for f in kind.schema.fields}
+    types["event_timestamp"] = T.TimestampType()
+    fields = [T.StructField(c, types[c]) for c in kind.clean_columns]
+    return T.StructType([*fields, *_CLEAN_EXTRA.fields])
+
+
 def read_clean(spark: SparkSession, path: str, kind: str | Kind) -> DataFrame:
     """One kind's clean table: only its partitions and columns are read."""
     k = resolve(kind)
-    rows = spark.read.parquet(path).filter(F.col("equipment_type") == k.name)
-    return rows.select(*k.clean_columns, "processed_at", "event_date")
+    rows = spark.read.schema(clean_schema(k)).parquet(path)
+    return rows.filter(F.col("equipment_type") == k.name).drop("equipment_type", "batch_id")
+
+
+def read_rejected(spark: SparkSession, path: str) -> DataFrame:
+    return spark.read.schema(REJECTED_SCHEMA).parquet(path).drop("batch_id")
 
 
 def upsert_fact(

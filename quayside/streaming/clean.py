@@ -5,7 +5,7 @@ from __future__ import annotations
 import logging
 from collections.abc import Callable, Sequence
 
-from pyspark.sql import DataFrame, Observation
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
@@ -13,7 +13,13 @@ from quayside.catalogue import KINDS, STUCK_THRESHOLD, Kind, struct_of
 from quayside.operators.counts import observe_counts, outcome_counts
 from quayside.operators.quality import split_valid, to_rejected_mixed, union_rejects
 from quayside.operators.stuck import ROWS_PER_PIECE, state_after
-from quayside.plans.cleaning import READING_KEY, STATE_KEYS, flag_stuck, validate_messages
+from quayside.plans.cleaning import (
+    READING_KEY,
+    STATE_KEYS,
+    flag_stuck,
+    pieces_needed,
+    validate_messages,
+)
 from quayside.sinks.tables import clean_rows, write_clean, write_rejected
 from quayside.streaming.state import dedupe_stream
 
@@ -90,22 +96,22 @@ def start_clean_stream(
         prior = state.after(batch.sparkSession, batch_id - 1)
         batch = batch.persist()
         valid, rejected = split_valid(batch)
-        flagged = flag_stuck(
-            valid, kinds, threshold, prior=prior, rows_per_piece=rows_per_piece
-        )
+        pieces = pieces_needed(batch.count(), rows_per_piece)
+        flagged = flag_stuck(valid, kinds, threshold, prior=prior, rows_per_piece=pieces)
         outcome = union_rejects(rejected, flagged).persist()
         try:
-            counts = Observation()
-            clean, bad = split_valid(outcome.observe(counts, *outcome_counts()))
+            # Fills the cache in one pass; the three writes below read from it.
+            counts = outcome.agg(*outcome_counts()).first().asDict()
+            clean, bad = split_valid(outcome)
             write_clean(clean_rows(clean, kinds), clean_path, batch_id)
             write_rejected(to_rejected_mixed(bad, kinds), rejected_path, batch_id)
             state.write(
                 state_after(outcome, STATE_KEYS, ["event_timestamp", "offset"], "watched", prior),
                 batch_id,
             )
-            log.info("batch %d: %s", batch_id, counts.get)
+            log.info("batch %d: %s", batch_id, counts)
             if on_counts is not None:
-                on_counts(batch_id, counts.get)
+                on_counts(batch_id, counts)
         finally:
             outcome.unpersist()
             batch.unpersist()
