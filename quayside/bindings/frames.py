@@ -123,52 +123,48 @@ def supplier_dim(spark: SparkSession, sf_dir: str) -> DataFrame:
 # --- the six real kinds ---------------------------------------------------------
 
 
-def _field(kind: Kind, name: str) -> Column:
-    """Value of one message field, computed from the columns of ``events``."""
-    event, k = F.col("event_id"), F.col("k")
+_TEXTS = {
+    "timestamp": "CASE WHEN event_id % 97 != 0 THEN if(event_id % 101 = 0, 'bad', "
+    f"date_format(ts, \"{time.PUBLISH_FORMAT}\")) END",
+    "state": "CASE event_type WHEN 'click' THEN ' running ' WHEN 'view' THEN 'Idle' "
+    "WHEN 'error' THEN 'maintenance' WHEN 'purchase' THEN 'WAITING ' ELSE 'parked' END",
+    "alarm": "CASE WHEN event_type = 'error' THEN ' overheat' WHEN event_id % 7 != 0 THEN 'none' END",
+    "status": "if(event_type = 'error', 'fault', 'ok')",
+    "direction": "if(k % 2 = 0, 'up', 'down ')",
+    "operation_mode": "if(k % 2 = 0, 'auto', ' manual')",
+    "position": "k",
+    "container_attached": "k % 2 = 0",
+}
+
+
+def _field(kind: Kind, name: str) -> str:
+    """SQL text of one message field, computed from the columns of ``events``."""
+    if name == "equipment_id":
+        return f"CASE WHEN event_id % 89 != 0 THEN '{kind.type_tag}-' || user_id END"
+    if name == "type":
+        return f"'{kind.type_tag}'"
     for i, (limited, low, high) in enumerate(kind.limits):
         if limited != name:
             continue
+        share = f"((event_id * {7 + 2 * i} + k * {3 + i}) % 103) / 100D"
         if name == kind.watched:
-            step = F.least(F.floor(F.col("value") / 25), F.lit(11))
-            value = F.lit(float(low)) + F.lit(float(high - low)) * step / F.lit(10.0)
-        else:
-            percent = (event * (7 + 2 * i) + k * (3 + i)) % 103
-            value = F.lit(float(low)) + F.lit(float(high - low)) * percent / F.lit(100.0)
+            share = "least(floor(value / 25), 11) / 10D"
         every = 5 if name == kind.counter else 61
-        return F.when((event + 13 * i) % every != 0, value)
-    texts = {
-        "equipment_id": F.when(
-            ~_every(89), F.concat(F.lit(f"{kind.type_tag}-"), F.col("user_id").cast("string"))
-        ),
-        "type": F.lit(kind.type_tag),
-        "timestamp": F.when(_every(97), None)
-        .when(_every(101), "bad")
-        .otherwise(F.date_format(_utc(F.col("ts")), time.PUBLISH_FORMAT)),
-        "state": F.when(F.col("event_type") == "click", " running ")
-        .when(F.col("event_type") == "view", "Idle")
-        .when(F.col("event_type") == "error", "maintenance")
-        .when(F.col("event_type") == "purchase", "WAITING ")
-        .otherwise("parked"),
-        "alarm": F.when(F.col("event_type") == "error", " overheat").when(~_every(7), "none"),
-        "status": F.when(F.col("event_type") == "error", "fault").otherwise("ok"),
-        "direction": F.when(k % 2 == 0, "up").otherwise("down "),
-        "operation_mode": F.when(k % 2 == 0, "auto").otherwise(" manual"),
-        "position": k,
-        "container_attached": k % 2 == 0,
-    }
-    return texts[name]
+        value = f"{low}D + {high - low}D * {share}"
+        return f"CASE WHEN (event_id + {13 * i}) % {every} != 0 THEN {value} END"
+    return _TEXTS[name]
+
+
+def _message(kind: Kind) -> str:
+    fields = ", ".join(f"'{f}', {_field(kind, f)}" for f in kind.fields)
+    return f"to_json(named_struct({fields}))"
 
 
 def _computed_messages(spark: SparkSession, sf_dir: str) -> DataFrame:
     nth = F.col("user_id") % len(KINDS)
     topic = F.coalesce(*[F.when(nth == i, k.topic) for i, k in enumerate(KINDS)])
-    message = F.coalesce(
-        *[
-            F.when(nth == i, F.to_json(F.struct(*[_field(k, f).alias(f) for f in k.fields])))
-            for i, k in enumerate(KINDS)
-        ]
-    )
+    cases = " ".join(f"WHEN {i} THEN {_message(k)}" for i, k in enumerate(KINDS))
+    message = F.expr(f"CASE user_id % {len(KINDS)} {cases} END")
     first = F.col("event_id") * 2
     offsets = F.when(_every(50), F.array(first, first + 1)).otherwise(F.array(first))
     return (
@@ -176,10 +172,13 @@ def _computed_messages(spark: SparkSession, sf_dir: str) -> DataFrame:
         .withColumn("k", F.from_json("props", "k BIGINT").getField("k"))
         # Exploded in a step of its own: beside a generator, structs lose their field names.
         .withColumn("offset", F.explode(offsets))
+        .withColumn("message", message)
         .select(
             topic.alias("topic"),
             F.col("user_id").cast("string").alias("key"),
-            F.when(_every(211), F.substring(message, 1, 20)).otherwise(message).alias("value"),
+            F.when(_every(211), F.substring("message", 1, 20))
+            .otherwise(F.col("message"))
+            .alias("value"),
             "offset",
             _utc(F.col("ts")).alias("arrived_at"),
         )

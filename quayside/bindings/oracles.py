@@ -489,6 +489,24 @@ FROM rejected_fact""",
     )
     + "SELECT equipment_type, equipment_id, event_timestamp, state FROM runs"
     " WHERE run_length < 5 OR abs(watched) <= 1e-9",
+    "warehouse_load": ctes(
+        EV,
+        *[c for k in KINDS for c in (message_cte(k), checked_cte(k), clean_cte(k))],
+        "survivors AS ("
+        + " UNION ALL ".join(
+            f"SELECT '{k.type_tag}' AS equipment_type, equipment_id, event_timestamp, \"offset\","
+            f" {k.clean_name(k.watched)} AS watched, {k.measures[0]} AS measure,"
+            f" {k.incident.column} {'<>' if k.incident.negated else '='} '{k.incident.value}'"
+            f" AS incident FROM clean_{k.name}"
+            for k in KINDS
+        )
+        + ")",
+        runs("survivors", "equipment_type, equipment_id", 'event_timestamp, "offset"', "watched"),
+    )
+    + """SELECT equipment_type, equipment_id,
+  count(DISTINCT date_trunc('hour', event_timestamp)) AS hours, count(*) AS measurement_count,
+  count(*) FILTER (WHERE incident) AS incident_count, round(max(measure), 6) AS max_measure
+FROM runs WHERE run_length < 5 OR abs(watched) <= 1e-9 GROUP BY 1, 2""",
     "equipment_ids": f"{VALID_CTES}SELECT DISTINCT equipment_id FROM valid ORDER BY 1",
     "latest_n": f"{VALID_CTES}SELECT {READING_COLUMNS} FROM valid"
     " ORDER BY event_timestamp DESC, equipment_id DESC LIMIT 100",

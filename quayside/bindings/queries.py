@@ -32,6 +32,7 @@ from quayside.operators.publish import to_keyed_json
 from quayside.operators.stuck import state_after, stuck_runs
 from quayside.plans import serving, warehouse
 from quayside.plans.cleaning import clean_batch
+from quayside.plans.etl import Tables, clean_to_tables, load_hours
 from quayside.session import configure, stage, workspace
 from quayside.sinks import tables
 from quayside.sources import raw
@@ -590,13 +591,14 @@ def rejected_hourly(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query
 def fact_upsert(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """A table of whole hours, written twice, then half of its rows merged by key."""
+    """Stale facts, of which even hours are replaced whole and odd ones merged by key."""
     path = workspace(spark, "fact")
     fact = rejected_fact(spark, sf_dir)
     keys = warehouse.REJECTED_FACT_KEYS
     stale = fact.withColumn("rejected_count", F.lit(-1).cast("bigint"))
     tables.upsert_fact(stale, path)
     tables.upsert_fact(fact.filter(F.col("hour_key") % 2 == 0), path)
+    # Odd hours keep the stale rows of one topic: its new rows are not written.
     odd = fact.filter((F.col("hour_key") % 2 == 1) & (F.col("topic") != "view"))
     tables.upsert_fact(odd, path, mode="key", keys=keys)
     return spark.read.parquet(path).select(*keys, "rejected_count")
@@ -604,19 +606,37 @@ def fact_upsert(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query
 def sink_clean(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Clean rows of all kinds in one partitioned table, its batch written twice."""
-    path = workspace(spark, "clean")
+    """Clean rows of all kinds in one partitioned table."""
+    stored = Tables(workspace(spark, "clean"))
     valid, _ = quality.split_valid(clean_batch(telemetry(spark, sf_dir)))
-    rows = tables.clean_rows(valid)
-    for _ in range(2):
-        tables.write_clean(rows, path, batch_id=0)
-    stored = [
-        tables.read_clean(spark, path, k).select(
-            F.lit(k.name).alias("equipment_type"), "equipment_id", "event_timestamp", "state"
+    tables.write_clean(tables.clean_rows(valid), stored.clean, batch_id=0)
+    return tables.open_clean(spark, stored.clean).select(
+        "equipment_type", "equipment_id", "event_timestamp", "state"
+    )
+
+
+@query
+def warehouse_load(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Messages to tables to warehouse: equipment by equipment, what its facts add up to."""
+    stored = Tables(workspace(spark, "warehouse"))
+    clean_to_tables(telemetry(spark, sf_dir), stored)
+    # The second load starts inside the first one's hours and goes on to the end.
+    load_hours(spark, stored, FIRST_HOUR, CUT)
+    load_hours(spark, stored, CUT - timedelta(hours=5), LAST_HOUR)
+    totals = []
+    for kind in KINDS:
+        fact = tables.read_fact(spark, stored.fact(kind), kind)
+        measure = kind.measures[0]
+        totals.append(
+            fact.groupBy("equipment_key").agg(
+                F.count("*").alias("hours"),
+                F.sum("measurement_count").alias("measurement_count"),
+                F.sum(kind.incident.count_name).alias("incident_count"),
+                F.max(f"max_{measure}").alias("max_measure"),
+            )
         )
-        for k in KINDS
-    ]
-    return quality.union_rejects(*stored)
+    dim = spark.read.parquet(stored.path("dim_equipment")).drop("created_at")
+    return quality.union_rejects(*totals).join(dim, "equipment_key").drop("equipment_key")
 
 
 # --- serving ---------------------------------------------------------------------------

@@ -33,6 +33,7 @@ MAX_OFFSETS_PER_TRIGGER = 10_000
 _TYPES = {
     "STRING": T.StringType(),
     "DOUBLE": T.DoubleType(),
+    "INT": T.IntegerType(),
     "BIGINT": T.LongType(),
     "BOOLEAN": T.BooleanType(),
     "TIMESTAMP": T.TimestampType(),

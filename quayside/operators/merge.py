@@ -20,14 +20,17 @@ def split_on_keys(
 
 
 def insert_if_absent(new: DataFrame, existing: DataFrame, on: Sequence[str]) -> DataFrame:
-    """The rows of ``new`` whose key ``existing`` does not hold yet."""
-    return new.join(existing.select(*on), list(on), "left_anti")
+    """The rows of ``new`` whose key ``existing`` does not hold yet.
+
+    Keys are made distinct before they are shuffled: a key that ``existing``
+    repeats a billion times arrives once per map task.
+    """
+    return new.join(existing.select(*on).distinct(), list(on), "left_anti")
 
 
 def upsert_by_key(new: DataFrame, existing: DataFrame, on: Sequence[str]) -> DataFrame:
     """Existing rows, with those that ``new`` has under the same key replaced."""
-    kept = existing.join(new.select(*on), list(on), "left_anti")
-    return kept.unionByName(new)
+    return insert_if_absent(existing, new, on).unionByName(new)
 
 
 def raw_upsert(

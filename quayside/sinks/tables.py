@@ -8,6 +8,7 @@ tiny nor one-per-hot-partition.
 from __future__ import annotations
 
 from collections.abc import Sequence
+from datetime import datetime
 
 from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -19,7 +20,7 @@ from quayside.operators.merge import raw_upsert, upsert_by_key
 from quayside.session import stage
 from quayside.sources.raw import RAW_KEYS
 
-FACT_PARTITIONS = ("date_key", "hour_key")
+FACT_PARTITIONS = ("date_key",)
 REJECTED_SCHEMA = struct_of(
     "topic STRING, equipment_id STRING, raw_payload STRING, reject_reason STRING, "
     "source_json STRING, event_timestamp TIMESTAMP, rejected_at TIMESTAMP, "
@@ -87,44 +88,92 @@ def write_rejected(df: DataFrame, path: str, batch_id: int) -> None:
     write_batch(dated, path, batch_id, ["rejected_date"])
 
 
-def clean_schema(kind: Kind) -> T.StructType:
-    """Stored columns of one kind's clean rows, partition columns last."""
-    types = {kind.clean_name(f.name): f.dataType for f in kind.schema.fields}
+def clean_schema(kinds: Sequence[Kind] = KINDS) -> T.StructType:
+    """Stored columns of the clean table, partition columns last."""
+    types = {k.clean_name(f.name): f.dataType for k in kinds for f in k.schema.fields}
     types["event_timestamp"] = T.TimestampType()
-    fields = [T.StructField(c, types[c]) for c in kind.clean_columns]
-    return T.StructType([*fields, *_CLEAN_EXTRA.fields])
+    columns = dict.fromkeys(c for k in kinds for c in k.clean_columns)
+    return T.StructType([*[T.StructField(c, types[c]) for c in columns], *_CLEAN_EXTRA.fields])
 
 
-def read_clean(spark: SparkSession, path: str, kind: str | Kind) -> DataFrame:
-    """One kind's clean table: only its partitions and columns are read."""
+def open_clean(spark: SparkSession, path: str, kinds: Sequence[Kind] = KINDS) -> DataFrame:
+    """The clean table of all kinds; its files are listed once, here."""
+    return spark.read.schema(clean_schema(kinds)).parquet(path)
+
+
+def clean_of_kind(clean: DataFrame, kind: str | Kind) -> DataFrame:
+    """One kind's rows: only its partitions and columns are read."""
     k = resolve(kind)
-    rows = spark.read.schema(clean_schema(k)).parquet(path)
-    return rows.filter(F.col("equipment_type") == k.name).drop("equipment_type", "batch_id")
+    rows = clean.filter(F.col("equipment_type") == k.name)
+    return rows.select(*k.clean_columns, "processed_at", "event_date")
+
+
+def read_clean(spark: SparkSession, path: str, kind: str | Kind) -> DataFrame:
+    return clean_of_kind(open_clean(spark, path, [resolve(kind)]), kind)
 
 
 def read_rejected(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.schema(REJECTED_SCHEMA).parquet(path).drop("batch_id")
 
 
+def read_fact(spark: SparkSession, path: str, kind: str | Kind) -> DataFrame:
+    k = resolve(kind)
+    doubles = [f"{f}_{m}" for m in k.measures for f in ("avg", "min", "max")]
+    if k.counter is not None:
+        doubles.append(f"max_{k.counter}")
+    columns = [
+        "equipment_key BIGINT, hour_key INT, measurement_count BIGINT",
+        f"{k.incident.count_name} BIGINT",
+        *[f"{c} DOUBLE" for c in doubles],
+        "processed_at TIMESTAMP, date_key INT",
+    ]
+    return spark.read.schema(struct_of(", ".join(columns))).parquet(path)
+
+
+def read_rejected_fact(spark: SparkSession, path: str) -> DataFrame:
+    schema = struct_of(
+        "hour_key INT, topic STRING, reject_reason STRING, rejected_count BIGINT, "
+        "processed_at TIMESTAMP, date_key INT"
+    )
+    return spark.read.schema(schema).parquet(path)
+
+
 def upsert_fact(
     df: DataFrame,
     path: str,
     mode: str = "hour",
     keys: Sequence[str] = ("equipment_key", "date_key", "hour_key"),
+    hours: tuple[datetime, datetime] | None = None,
 ) -> None:
-    """Write facts into a table partitioned by ``date_key, hour_key``.
+    """Write facts into a table partitioned by ``date_key``.
+
+    ``hour``: ``df`` holds whole hours and replaces them: those from ``hours[0]``
+    to ``hours[1]`` included, or else those it has rows of. ``key``: ``df`` holds
+    some rows of its hours; their other rows stay. Other hours always stay.
 
-    ``hour``: ``df`` holds whole hours and replaces them, other hours stay.
-    ``key``: ``df`` holds some rows of its hours; the other rows of those hours
-    stay. The merge is staged, as it reads the partitions that it replaces.
+    Only the days of ``df`` are read and rewritten. The merge is staged, as it
+    reads the partitions that it replaces. Partitions of an hour each would need
+    no merge, but a fleet of a thousand would fill a table with tiny files.
     """
     if mode not in ("hour", "key"):
         raise ValueError(f"mode must be 'hour' or 'key', not {mode!r}")
-    existing = read_if_exists(df.sparkSession, path) if mode == "key" else None
+    existing = read_if_exists(df.sparkSession, path)
     if existing is not None:
-        touched = df.select(*FACT_PARTITIONS).distinct()
-        current = existing.join(touched, list(FACT_PARTITIONS), "left_semi")
-        df = stage(upsert_by_key(df, current.select(*df.columns), keys), "fact-merge")
+        existing = existing.select(*df.columns)
+        if hours is not None:
+            first, last = (int(f"{h:%Y%m%d}") for h in hours)
+            existing = existing.filter(F.col("date_key").between(first, last))
+        else:
+            existing = existing.join(df.select("date_key").distinct(), "date_key", "left_semi")
+        if mode == "key":
+            merged = upsert_by_key(df, existing, keys)
+        elif hours is not None:
+            at = F.col("date_key") * 100 + F.col("hour_key")
+            low, high = (int(f"{h:%Y%m%d%H}") for h in hours)
+            merged = existing.filter(~at.between(low, high)).unionByName(df)
+        else:
+            merged = upsert_by_key(df, existing, ["date_key", "hour_key"])
+        df = stage(merged, "fact-merge")
     _overwrite_partitions(df, path, FACT_PARTITIONS)
 
 

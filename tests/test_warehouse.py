@@ -80,6 +80,17 @@ def test_hour_built_twice_keeps_the_second(spark, tmp_path):
     assert [(r.hour_key, r.measurement_count) for r in rows] == [(7, 1), (8, 2)]
 
 
+def test_reloaded_hours_lose_rows_that_are_gone(spark, tmp_path):
+    path = str(tmp_path / "fact")
+    schema = "equipment_key bigint, n int, date_key int, hour_key int"
+    old = spark.createDataFrame([(k, 1, 20260101, h) for k in (1, 2) for h in (7, 8, 9)], schema)
+    tables.upsert_fact(old, path)
+    new = spark.createDataFrame([(1, 2, 20260101, 8)], schema)
+    tables.upsert_fact(new, path, hours=(datetime(2026, 1, 1, 8), datetime(2026, 1, 1, 9)))
+    rows = spark.read.parquet(path).select("equipment_key", "n", "hour_key").collect()
+    assert sorted(map(tuple, rows)) == [(1, 1, 7), (1, 2, 8), (2, 1, 7)]
+
+
 def test_upsert_by_key_keeps_other_rows_of_the_hour(spark, tmp_path):
     path = str(tmp_path / "fact")
     schema = "equipment_key bigint, n int, date_key int, hour_key int"
@@ -222,3 +233,27 @@ def test_rejections_are_dated_by_processing(spark):
     )
     got = warehouse.rejected_hourly(df, time.target_hour(datetime(2026, 1, 1, 9, 5)))
     assert [tuple(r) for r in got.collect()] == [(20260101, 8, "t", "r", 1)]
+
+
+def test_hours_from_messages_to_monitor(spark, tmp_path):
+    from helpers import elevator_messages, reading
+
+    from quayside.plans.etl import Tables, clean_to_tables, load_hours, load_last_hour, open_monitor
+
+    stored = Tables(str(tmp_path))
+    payloads = [reading(i * 60, 1 + i % 2, equipment_id=f"E{i % 2}") for i in range(59)]
+    payloads += [reading(5, 9), reading(6, None)]
+    for _ in range(2):
+        clean_to_tables(elevator_messages(spark, payloads), stored)
+    load_last_hour(spark, stored, datetime(2026, 1, 1, 1, 10), [ELEVATOR])
+    load_hours(spark, stored, datetime(2025, 12, 31, 22), datetime(2026, 1, 1, 3), [ELEVATOR])
+    monitor = open_monitor(spark, stored, [ELEVATOR])
+    assert [r[0] for r in monitor.equipment_ids("elevator").data.collect()] == ["E0", "E1"]
+    (hour,) = monitor.hourly("elevator").data.collect()
+    assert (hour.date_key, hour.hour_key, hour.measurement_count) == (20260101, 0, 8)
+    assert monitor.latest("elevator", "E1", 2).data.count() == 2
+    reasons = {r.reject_reason for r in monitor.rejected_recent(500).data.collect()}
+    assert "valeur_hors_limites:speed" in reasons and "capteur_bloque" in reasons
+    assert spark.read.parquet(stored.path("dim_equipment")).count() == 2
+    assert spark.read.parquet(stored.path("dim_hour")).count() == 24
+    assert spark.read.parquet(stored.path("dim_date")).count() == 2
