@@ -16,6 +16,6 @@ def dedupe_first(df: DataFrame, keys: Sequence[str], order_cols: Sequence[str])
     """
     rest = [c for c in df.columns if c not in keys]
     first = F.min_by(F.struct(*rest), F.struct(*order_cols)).alias("_first")
-    return df.groupBy(*keys).agg(first).select(
-        *[F.col(c) if c in keys else F.col(f"_first.{c}") for c in df.columns]
+    return df.groupBy(*keys).agg(first).selectExpr(
+        *[f"`{c}`" if c in keys else f"_first.`{c}`" for c in df.columns]
     )

@@ -89,14 +89,10 @@ def to_clean_columns(df: DataFrame, kind: str | Kind, extra: Sequence[str] = ())
 def payload(kind: Kind, columns: Sequence[str]) -> Column:
     """The row as JSON text under its clean names; NULL fields are left out."""
     source = {new: old for old, new in kind.renames.items()}
-    return F.to_json(
-        F.struct(
-            *[
-                F.col(source[c] if source.get(c) in columns else c).alias(c)
-                for c in kind.payload_columns
-            ]
-        )
+    fields = ", ".join(
+        f"'{c}', `{source[c] if source.get(c) in columns else c}`" for c in kind.payload_columns
     )
+    return F.expr(f"to_json(named_struct({fields}))")
 
 
 def to_rejected(

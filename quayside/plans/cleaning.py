@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -47,14 +47,20 @@ def flag_stuck(
     order_col: str = "offset",
     prior: DataFrame | None = None,
     rows_per_piece: int | None = ROWS_PER_PIECE,
+    keep: Callable[[DataFrame], DataFrame] | None = None,
 ) -> DataFrame:
     """Deduplicate valid rows, then mark the stuck ones in ``reject_reason``.
 
     Adds ``watched`` and ``run_length``, from which the next state is taken.
+    Looking for hot keys reads the deduplicated rows more than once; ``keep``
+    (persist, or stage) saves deduplicating them again each time.
     """
     survivors = dedupe_first(valid, READING_KEY, [order_col])
+    survivors = survivors.withColumn("watched", watched_value(kinds))
+    if keep is not None and rows_per_piece is not None:
+        survivors = keep(survivors)
     flagged = stuck_runs(
-        survivors.withColumn("watched", watched_value(kinds)),
+        survivors,
         STATE_KEYS,
         ["event_timestamp", order_col],
         "watched",
@@ -82,4 +88,11 @@ def clean_batch(
     validated = stage(validate_messages(messages, kinds), "validated")
     valid, rejected = split_valid(validated)
     pieces = pieces_needed(validated.count(), rows_per_piece)
-    return union_rejects(rejected, flag_stuck(valid, kinds, threshold, rows_per_piece=pieces))
+    flagged = flag_stuck(
+        valid,
+        kinds,
+        threshold,
+        rows_per_piece=pieces,
+        keep=lambda survivors: stage(survivors, "survivors"),
+    )
+    return union_rejects(rejected, flagged)

@@ -73,7 +73,7 @@ def clean_rows(
     source = {new: old for old, new in renames.items()}
     return valid.select(
         "equipment_type",
-        *[F.col(source.get(c, c)).alias(c) for c in columns],
+        *[F.expr(f"`{source.get(c, c)}` AS `{c}`") for c in columns],
         (processed_at if processed_at is not None else F.current_timestamp()).alias("processed_at"),
         F.to_date("event_timestamp").alias("event_date"),
     )

@@ -94,12 +94,20 @@ def start_clean_stream(
 
     def write(batch: DataFrame, batch_id: int) -> None:
         prior = state.after(batch.sparkSession, batch_id - 1)
-        batch = batch.persist()
-        valid, rejected = split_valid(batch)
-        pieces = pieces_needed(batch.count(), rows_per_piece)
-        flagged = flag_stuck(valid, kinds, threshold, prior=prior, rows_per_piece=pieces)
-        outcome = union_rejects(rejected, flagged).persist()
+        kept: list[DataFrame] = []
+
+        def keep(df: DataFrame) -> DataFrame:
+            kept.append(df.persist())
+            return df
+
         try:
+            batch = keep(batch)
+            valid, rejected = split_valid(batch)
+            pieces = pieces_needed(batch.count(), rows_per_piece)
+            flagged = flag_stuck(
+                valid, kinds, threshold, prior=prior, rows_per_piece=pieces, keep=keep
+            )
+            outcome = keep(union_rejects(rejected, flagged))
             # Fills the cache in one pass; the three writes below read from it.
             counts = outcome.agg(*outcome_counts()).first().asDict()
             clean, bad = split_valid(outcome)
@@ -113,8 +121,8 @@ def start_clean_stream(
             if on_counts is not None:
                 on_counts(batch_id, counts)
         finally:
-            outcome.unpersist()
-            batch.unpersist()
+            for df in kept:
+                df.unpersist()
 
     return (
         validated.writeStream.foreachBatch(write)

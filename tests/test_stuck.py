@@ -176,3 +176,18 @@ def test_no_hot_key_means_no_second_pass(spark):
     df.collect()
     final = df._jdf.queryExecution().executedPlan().toString().split("== Initial Plan ==")[0]
     assert "SortMergeJoin" not in final and "max_by" not in final
+
+
+def test_cleaning_in_pieces(spark):
+    from helpers import elevator_messages, reading
+
+    from quayside.plans.cleaning import clean_batch, pieces_needed
+
+    payloads = [reading(i * 40, 1 + (i // 7) % 2, equipment_id="HOT" if i % 3 else f"E{i}") for i in range(60)]
+    messages = elevator_messages(spark, payloads + payloads[::10])
+    columns = ["equipment_id", "event_timestamp", "reject_reason", "run_length"]
+    whole = clean_batch(messages).select(*columns).collect()
+    cut = clean_batch(messages, rows_per_piece=5).select(*columns).collect()
+    assert sorted(map(repr, whole)) == sorted(map(repr, cut))
+    assert len(whole) == 60 and any(r.reject_reason for r in whole)
+    assert (pieces_needed(5, 5), pieces_needed(6, 5), pieces_needed(6, None)) == (None, 5, None)
