@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import os
+import shutil
 import tempfile
 import uuid
 
@@ -20,6 +22,21 @@ def configure(spark: SparkSession) -> SparkSession:
     return spark
 
 
+def ship(spark: SparkSession) -> None:
+    """Send this package to the executors, once per application.
+
+    Functions that run in Python workers are found there by name, so the workers must
+    be able to import the package wherever the driver was started.
+    """
+    context = spark.sparkContext
+    if not getattr(context, "quayside_shipped", False):
+        package = os.path.dirname(os.path.abspath(__file__))
+        folder = os.path.realpath(tempfile.mkdtemp(prefix="quayside-"))
+        root, name = os.path.split(package)
+        context.addPyFile(shutil.make_archive(os.path.join(folder, name), "zip", root, name))
+        context.quayside_shipped = True
+
+
 def workspace(spark: SparkSession, name: str) -> str:
     """A fresh folder below the shared folder the cluster names.
 
