@@ -12,14 +12,15 @@ from pyspark.sql.types import StructType
 
 from quayside.session import ship, stage
 
-#: Rows of one Arrow batch: with texts of up to some 100 KB a batch stays within a few MB.
-BATCH_ROWS = 256
+#: Rows and bytes of one Arrow batch, as texts may be long.
+BATCH_ROWS, BATCH_BYTES = 256, 8 << 20
 
 
 def prepare(spark: SparkSession) -> SparkSession:
     """Session settings of the Python operators: small batches, as texts may be long."""
     ship(spark)
     spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(BATCH_ROWS))
+    spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(BATCH_BYTES))
     return spark
 
 

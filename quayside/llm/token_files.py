@@ -14,9 +14,12 @@ separator; for the index it is the zero byte on top of a 64-bit number below 2**
 from __future__ import annotations
 
 import re
+import sys
 import zlib
+from array import array
 from collections.abc import Iterator
 from functools import lru_cache
+from itertools import islice
 from pathlib import Path
 
 import numpy as np
@@ -30,7 +33,9 @@ from quayside.session import workspace
 #: Bytes of text that one file covers on average; its ids are about as large again.
 FILE_BYTES = 12 << 20
 #: Words a task remembers the ids of.
-MEMORY = 250_000
+MEMORY = 700_000
+#: Rows that are encoded at once: more recurring words, fewer look-ups.
+ENCODE_ROWS = 1024
 #: The index is sent to all executors up to this size, beyond it is joined by a shuffle.
 INDEX_BYTES = 32 << 20
 
@@ -38,6 +43,8 @@ FILE_PART, FOLDER_PART = r"/part-(\d+)", r"/part=(\d+)/"
 TABLE = "doc_id long, start long, n_tokens long, ids_crc32 long"
 
 _SPACE = re.compile(r"(?<=\S) (?=\S)")
+#: Latin letters, then marks of ASCII other than the apostrophe.
+_TAILED = re.compile(r"([A-Za-zÀ-ÖØ-öø-ÿ]+)([!-&(-/:-@\[-`{-~]+)")
 
 
 class Encoder:
@@ -46,7 +53,8 @@ class Encoder:
     Its splitting pattern never joins a space to the character before it, so a text may
     be cut before every single space that stands between two other characters: the
     pieces' ids in a row are the text's ids. Pieces recur, and their ids are remembered;
-    new ones go to the library, a batch at a time.
+    new ones go to the library, a batch at a time. Texts with other white space next to
+    a space are cut there too by a plain split, so these take a pattern instead.
     """
 
     def __init__(self, path: str, width: int):
@@ -54,26 +62,50 @@ class Encoder:
 
         self.tokenizer = Tokenizer.from_file(path)
         self.tokenizer.encode_special_tokens = True  # their names in a text are ordinary text
-        self.kind = np.dtype(f"<u{width}")
-        self.words: dict[str, bytes] = {}
+        self.kind = "H" if width == 2 else "I"
+        self.words: dict[str, bytes] = {}  # by the word after a space; none has white space at its ends
+        self.tails: dict[str, bytes] = {}  # of marks that end words
 
     def encode(self, texts: list[str]) -> list[bytes]:
-        if len(self.words) > MEMORY:
-            self.words.clear()
-        words, pieces = self.words, []
-        for text in texts:
-            first, *rest = _SPACE.split(text)
-            pieces.append((first, rest))
-        new = list({w for _, rest in pieces for w in rest if w not in words})
-        for i in range(0, len(new), 10_000):
-            some = new[i : i + 10_000]
-            words.update(zip(some, self.ids([" " + w for w in some]), strict=True))
-        heads = self.ids([first for first, _ in pieces])
-        return [head + b"".join(map(words.__getitem__, rest)) for head, (_, rest) in zip(heads, pieces, strict=True)]
+        if len(self.words) > MEMORY:  # the older half goes
+            self.words = dict(islice(self.words.items(), MEMORY // 2, None))
+            self.tails = {}
+        words = self.words
+        pieces = [text.split(" ") for text in texts]
+        heads = [rest.pop(0) for rest in pieces]
+        new: set[str] = set()
+        for rest in pieces:
+            new.update(rest)
+        new.difference_update(words)
+        odd = {w for w in new if w != w.strip() or not w}
+        if odd:
+            for i, rest in enumerate(pieces):
+                if not odd.isdisjoint(rest):
+                    heads[i], *pieces[i] = _SPACE.split(texts[i])
+                    new.update(pieces[i])
+            new.difference_update(words, odd)
+            odd = {w for rest in pieces for w in rest if w != w.strip() or not w}
+        self.learn(new | odd)
+        out = [head + b"".join(map(words.__getitem__, rest)) for head, rest in zip(self.ids(heads), pieces, strict=True)]
+        for w in odd:  # not known to stand alone in a plain split
+            words.pop(w, None)
+        return out
+
+    def learn(self, new: set[str]) -> None:
+        """Remember words. Letters and the marks after them are apart in the pattern, and in memory."""
+        words, tails = self.words, self.tails
+        cut = {w: found.groups() for w in new if (found := _TAILED.fullmatch(w))}
+        whole = list(new.difference(cut).union(base for base, _ in cut.values()).difference(words))
+        words.update(zip(whole, self.ids([" " + w for w in whole]), strict=True))
+        marks = list({tail for _, tail in cut.values()}.difference(tails))
+        tails.update(zip(marks, self.ids(marks), strict=True))
+        words.update((w, words[base] + tails[tail]) for w, (base, tail) in cut.items())
 
     def ids(self, texts: list[str]) -> list[bytes]:
         found = self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)
-        return [np.array(x.ids, self.kind).tobytes() for x in found]
+        if sys.byteorder == "big":
+            return [np.array(x.ids, self.kind).byteswap().tobytes() for x in found]
+        return [array(self.kind, x.ids).tobytes() for x in found]
 
 
 @lru_cache(maxsize=1)
@@ -153,6 +185,7 @@ def write_token_files(docs: DataFrame, path: str, tokenizer: str) -> None:
     spark, texts, width = docs.sparkSession, texts_of(docs), id_width(tokenizer)
     size = texts.agg(F.sum(F.octet_length("text") + 1)).first()[0] or 0
     placed = texts.repartitionByRange(by_rows(spark, size, FILE_BYTES), "doc_id")
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(ENCODE_ROWS))
     rows = mapped(placed, encode_rows(tokenizer, width), "kind string, doc_id long, value binary")
     write_raw(rows.sortWithinPartitions("kind", "doc_id"), f"{path}/data", width, "kind")
     if not size:
