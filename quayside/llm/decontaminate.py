@@ -6,9 +6,9 @@ a text lies whole within one passage. An item's BM25 weights are divided by thei
 its score is the share of its weight that the passage covers, and all items that score at
 least ``SHARE`` are retrieved.
 
-Posting lists are in blocks that know their highest weight. A passage whose words' highest
-weights do not add up to ``SHARE`` can match nothing and is skipped; for the others
-block-max WAND moves cursors over the lists and scores only items whose blocks can reach
+Posting lists are in blocks that know their highest weight, and so do ranges of items. A
+passage whose words' highest weights add up to ``SHARE`` in no range can match nothing and
+is skipped; for the others block-max WAND moves cursors over the lists and scores only items whose blocks can reach
 the threshold. A retrieved item is split in question and answer; each must share
 ``OVERLAP`` of its five-word shingles with the passage.
 """
@@ -34,8 +34,10 @@ SHARE, OVERLAP, SHINGLE = 0.6, 0.8, 5
 K1, B = 1.2, 0.75
 #: Postings of a block.
 BLOCK = 32
+#: Ranges of items for which a word's highest weight is known.
+RANGES = 256
 #: Characters of item text that one index holds. More items make more indexes, one after another.
-INDEX_CHARS = 8_000_000
+INDEX_CHARS = 2_000_000
 
 _WORD = re.compile(r"\w+")
 _SENTENCE = re.compile(r"[.?!]\s+")
@@ -110,7 +112,10 @@ class ItemIndex:
                 own.append(weight / whole)
         self.terms = {word: i for i, word in enumerate(lists)}
         self.lists = [(n, w, [max(w[i : i + BLOCK]) for i in range(0, len(w), BLOCK)], max(w)) for n, w in lists.values()]
-        self.high = np.array([*(x[3] for x in self.lists), 0.0])  # the last is for other words
+        ranges = max(min(RANGES, len(items)), 1)
+        self.range_high = np.zeros((len(self.lists), ranges), np.float32)
+        for term, (numbers, weights, *_) in enumerate(self.lists):
+            np.maximum.at(self.range_high[term], np.array(numbers) * ranges // len(items), weights)
 
     def retrieve(self, terms: set[int]) -> list[tuple[int, float]]:
         """Block-max WAND: all items that score at least SHARE, with their scores."""
@@ -146,21 +151,37 @@ class ItemIndex:
             if score >= enough:
                 found.append((item, score))
 
+    def promising(self, known: np.ndarray, step: int) -> list[int]:
+        """Numbers of the passages (two steps each) that some range of items may match.
+
+        A range's bound is the sum of its words' highest weights in it.
+        """
+        other, found = len(self.lists), []
+        for low in range(0, len(known), 256 * step):  # long texts piece by piece, one step more each
+            part = known[low : low + 257 * step]
+            at = np.flatnonzero(part != other)
+            once = np.sort(at // step * other + part[at])  # a word counts once a step
+            once = once[np.flatnonzero(np.diff(once, prepend=-1))]
+            if len(once):
+                heads = np.flatnonzero(np.diff(once // other, prepend=-1))
+                sums = np.zeros((-(-len(part) // step), self.range_high.shape[1]), np.float32)
+                sums[once[heads] // other] = np.add.reduceat(self.range_high[once % other], heads, axis=0)
+                pairs = sums[:-1] + sums[1:] if len(sums) > 1 else sums
+                found += (np.flatnonzero(pairs.max(axis=1) >= SHARE - 1e-4) + low // step).tolist()
+        return sorted(set(found))
+
     def matches(self, text: str | None) -> dict[int, tuple[float, float, float]]:
         """Items that stand in a text: score, question overlap and answer overlap of the best passage."""
         words = words_of(text)
         find, other = self.terms.get, len(self.lists)
         known = np.fromiter((find(w, other) for w in words), np.int64, len(words))
-        reach = np.concatenate([[0.0], np.cumsum(self.high[known])])
         step = max(self.longest, 1)
-        starts = np.arange(0, max(len(words) - step, 1), step)
-        ends = np.minimum(starts + 2 * step, len(words))
         out: dict[int, tuple[float, float, float]] = {}
-        for i in np.flatnonzero(reach[ends] - reach[starts] >= SHARE - 1e-9).tolist():
-            a, b = int(starts[i]), int(ends[i])
+        for i in self.promising(known, step):
+            a, b = i * step, (i + 2) * step
             terms = set(known[a:b].tolist()) - {other}
-            if self.high[list(terms)].sum() < SHARE - 1e-9:
-                continue
+            if self.range_high[list(terms)].sum(axis=0).max() < SHARE - 1e-4:
+                continue  # words that stand in both steps were counted twice
             passage: set[tuple[str, ...]] | None = None
             for item, score in self.retrieve(terms):
                 passage = passage if passage is not None else spans(words[a:b])

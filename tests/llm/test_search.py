@@ -57,7 +57,7 @@ def test_leaks_of_the_tables(spark, sf_dir):
     assert len(got) <= 1.2 * len(leaks_by_hand(docs, items))
 
 
-@pytest.mark.parametrize("chars", [8_000_000, 300])
+@pytest.mark.parametrize("chars", [2_000_000, 300])
 def test_leaks_of_odd_rows(spark, chars, monkeypatch):
     monkeypatch.setattr(decontaminate.item_indexes, "__defaults__", (chars,))
     item = words(30, 1) + ". " + words(8, 2) + "."
