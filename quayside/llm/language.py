@@ -150,7 +150,7 @@ def train(docs: DataFrame, sample: int = SAMPLE) -> Decoder | None:
     """Learn from text and lang of documents that are not held out; None without any.
 
     At most ``sample`` documents of each language are read, those first by a hash of
-    doc_id. Ids are chosen before texts are read.
+    doc_id. Ids are chosen before texts are read; they are few enough to be broadcast.
     """
     named = docs.filter("doc_id IS NOT NULL AND lang IS NOT NULL").select(F.col("doc_id").cast("long").alias("doc_id"), F.col("lang").cast("string").alias("lang"))
     order = Window.partitionBy("lang").orderBy(F.xxhash64("doc_id"), "doc_id")
@@ -159,7 +159,7 @@ def train(docs: DataFrame, sample: int = SAMPLE) -> Decoder | None:
     draw = (F.xxhash64("doc_id") / F.lit(2.0**64) + 0.5) * F.col("n") <= 4 * sample
     chosen = (
         named.filter(remainder(F.col("doc_id")) != 2)
-        .join(sizes, "lang")
+        .join(F.broadcast(sizes), "lang")  # a row per language
         .filter(draw)
         .withColumn("place", F.row_number().over(order))
         .filter(F.col("place") <= sample)
@@ -167,7 +167,7 @@ def train(docs: DataFrame, sample: int = SAMPLE) -> Decoder | None:
         .distinct()
     )
     rows = texts_of(docs, F.col("lang").cast("string").alias("lang")).filter("lang IS NOT NULL")
-    found = mapped(rows.join(chosen, "doc_id", "left_semi"), count_rows, "lang string, numbers array<int>, counts array<long>").toArrow()
+    found = mapped(rows.join(F.broadcast(chosen), "doc_id", "left_semi"), count_rows, "lang string, numbers array<int>, counts array<long>").toArrow()
     if not len(found):
         return None
     return fit(
