@@ -619,7 +619,7 @@ def sink_clean(spark: SparkSession, sf_dir: str) -> DataFrame:
 def warehouse_load(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Messages to tables to warehouse: equipment by equipment, what its facts add up to."""
     stored = Tables(workspace(spark, "warehouse"))
-    clean_to_tables(telemetry(spark, sf_dir), stored)
+    clean_to_tables(telemetry(spark, sf_dir), stored, batch_id=0)
     # The second load starts inside the first one's hours and goes on to the end.
     load_hours(spark, stored, FIRST_HOUR, CUT)
     load_hours(spark, stored, CUT - timedelta(hours=5), LAST_HOUR)

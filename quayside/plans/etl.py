@@ -57,11 +57,15 @@ class Tables:
 def clean_to_tables(
     messages: DataFrame,
     stored: Tables,
-    batch_id: int = 0,
+    batch_id: int,
     kinds: Sequence[Kind] = KINDS,
     threshold: int = STUCK_THRESHOLD,
 ) -> None:
-    """Batch twin of the cleaning stream: messages into the clean and rejected tables."""
+    """Batch twin of the cleaning stream: messages into the clean and rejected tables.
+
+    A load that is repeated under its ``batch_id`` replaces itself; every other load
+    needs a number of its own. Streams into the same tables have their own folders.
+    """
     outcome = stage(clean_batch(messages, kinds, threshold), "outcome")
     clean, rejected = split_valid(outcome)
     tables.write_clean(tables.clean_rows(clean, kinds), stored.clean, batch_id)

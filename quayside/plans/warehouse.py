@@ -27,14 +27,15 @@ def hour_window(
 ) -> DataFrame:
     """Rows of ``[hour_start, hour_end)``, one hour by default.
 
-    Tables partitioned by ``event_date`` also get the date range, which prunes
+    Tables partitioned by the column's date also get the date range, which prunes
     partitions; the bounds on the time column alone would not.
     """
     end = hour_end or hour_start + HOUR
     ts = F.col(ts_col)
     rows = df.filter((ts >= time.timestamp_literal(hour_start)) & (ts < time.timestamp_literal(end)))
-    if ts_col == "event_timestamp" and "event_date" in df.columns:
-        rows = rows.filter(F.col("event_date").between(hour_start.date(), end.date()))
+    day = {"event_timestamp": "event_date", "rejected_at": "rejected_date"}.get(ts_col)
+    if day in df.columns:
+        rows = rows.filter(F.col(day).between(hour_start.date(), end.date()))
     return rows
 
 

@@ -24,10 +24,10 @@ FACT_PARTITIONS = ("date_key",)
 REJECTED_SCHEMA = struct_of(
     "topic STRING, equipment_id STRING, raw_payload STRING, reject_reason STRING, "
     "source_json STRING, event_timestamp TIMESTAMP, rejected_at TIMESTAMP, "
-    "batch_id BIGINT, rejected_date DATE"
+    "writer STRING, batch_id BIGINT, rejected_date DATE"
 )
 _CLEAN_EXTRA = struct_of(
-    "processed_at TIMESTAMP, batch_id BIGINT, equipment_type STRING, event_date DATE"
+    "processed_at TIMESTAMP, writer STRING, batch_id BIGINT, equipment_type STRING, event_date DATE"
 )
 RAW_PARTITIONS = ("equipment_type", "day_bucket")
 
@@ -48,13 +48,19 @@ def read_if_exists(
         raise
 
 
-def write_batch(df: DataFrame, path: str, batch_id: int, partitions: Sequence[str]) -> None:
-    """Write a batch to its own folder; the same batch again replaces it."""
+def write_batch(
+    df: DataFrame, path: str, batch_id: int, partitions: Sequence[str], writer: str
+) -> None:
+    """Write a batch to its own folder; the same batch of the same writer again replaces it.
+
+    Loads and streams number their batches independently, so each has its own folder:
+    no writer ever replaces what another one has written.
+    """
     (
         rebalanced(df, partitions)
         .write.mode("overwrite")
         .partitionBy(*partitions)
-        .parquet(f"{path}/batch_id={batch_id}")
+        .parquet(f"{path}/writer={writer}/batch_id={batch_id}")
     )
 
 
@@ -79,13 +85,13 @@ def clean_rows(
     )
 
 
-def write_clean(df: DataFrame, path: str, batch_id: int) -> None:
-    write_batch(df, path, batch_id, ["equipment_type", "event_date"])
+def write_clean(df: DataFrame, path: str, batch_id: int, writer: str = "batch") -> None:
+    write_batch(df, path, batch_id, ["equipment_type", "event_date"], writer)
 
 
-def write_rejected(df: DataFrame, path: str, batch_id: int) -> None:
+def write_rejected(df: DataFrame, path: str, batch_id: int, writer: str = "batch") -> None:
     dated = df.withColumn("rejected_date", F.to_date("rejected_at"))
-    write_batch(dated, path, batch_id, ["rejected_date"])
+    write_batch(dated, path, batch_id, ["rejected_date"], writer)
 
 
 def clean_schema(kinds: Sequence[Kind] = KINDS) -> T.StructType:
@@ -113,7 +119,7 @@ def read_clean(spark: SparkSession, path: str, kind: str | Kind) -> DataFrame:
 
 
 def read_rejected(spark: SparkSession, path: str) -> DataFrame:
-    return spark.read.schema(REJECTED_SCHEMA).parquet(path).drop("batch_id")
+    return spark.read.schema(REJECTED_SCHEMA).parquet(path).drop("writer", "batch_id")
 
 
 def read_fact(spark: SparkSession, path: str, kind: str | Kind) -> DataFrame:
@@ -151,13 +157,14 @@ def upsert_fact(
     to ``hours[1]`` included, or else those it has rows of. ``key``: ``df`` holds
     some rows of its hours; their other rows stay. Other hours always stay.
 
-    Only the days of ``df`` are read and rewritten. The merge is staged, as it
+    Only the days of ``hours``, or else of ``df``, are rewritten; days of ``hours``
+    that have no rows any more are removed. The merge is staged, as it
     reads the partitions that it replaces. Partitions of an hour each would need
     no merge, but a fleet of a thousand would fill a table with tiny files.
     """
     if mode not in ("hour", "key"):
         raise ValueError(f"mode must be 'hour' or 'key', not {mode!r}")
-    existing = read_if_exists(df.sparkSession, path)
+    existing, emptied = read_if_exists(df.sparkSession, path), []
     if existing is not None:
         existing = existing.select(*df.columns)
         if hours is not None:
@@ -174,7 +181,12 @@ def upsert_fact(
         else:
             merged = upsert_by_key(df, existing, ["date_key", "hour_key"])
         df = stage(merged, "fact-merge")
+        if hours is not None:
+            days = existing.select("date_key").distinct()  # of the range: a row per day
+            emptied = [r.date_key for r in days.join(df, "date_key", "left_anti").collect()]
     _overwrite_partitions(df, path, FACT_PARTITIONS)
+    for day in emptied:
+        _remove(df.sparkSession, f"{path}/date_key={day}")
 
 
 def upsert_raw_table(new: DataFrame, path: str, seq_col: str) -> None:
@@ -188,6 +200,13 @@ def upsert_raw_table(new: DataFrame, path: str, seq_col: str) -> None:
     _overwrite_partitions(merged, path, RAW_PARTITIONS)
 
 
+def _remove(spark: SparkSession, folder: str) -> None:
+    """Delete a partition's folder: an overwrite leaves partitions it has no rows for."""
+    jvm = spark.sparkContext._jvm
+    target = jvm.org.apache.hadoop.fs.Path(folder)
+    target.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(target, True)
+
+
 def _overwrite_partitions(df: DataFrame, path: str, partitions: Sequence[str]) -> None:
     (
         rebalanced(df, partitions)

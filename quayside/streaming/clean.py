@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import logging
 from collections.abc import Callable, Sequence
+from hashlib import md5
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -90,6 +91,8 @@ def start_clean_stream(
         validated = union_rejects(rejected, dedupe_stream(valid, READING_KEY, delay=delay))
     elif dedupe != "per_batch":
         raise ValueError(f"dedupe must be 'per_batch' or 'watermark', not {dedupe!r}")
+    # batches are numbered per checkpoint, so the checkpoint names the writer
+    writer = f"stream-{md5(checkpoint.rstrip('/').encode()).hexdigest()[:12]}"
     state = StuckState(f"{checkpoint.rstrip('/')}/stuck-state")
 
     def write(batch: DataFrame, batch_id: int) -> None:
@@ -111,8 +114,8 @@ def start_clean_stream(
             # Fills the cache in one pass; the three writes below read from it.
             counts = outcome.agg(*outcome_counts()).first().asDict()
             clean, bad = split_valid(outcome)
-            write_clean(clean_rows(clean, kinds), clean_path, batch_id)
-            write_rejected(to_rejected_mixed(bad, kinds), rejected_path, batch_id)
+            write_clean(clean_rows(clean, kinds), clean_path, batch_id, writer)
+            write_rejected(to_rejected_mixed(bad, kinds), rejected_path, batch_id, writer)
             state.write(
                 state_after(outcome, STATE_KEYS, ["event_timestamp", "offset"], "watched", prior),
                 batch_id,
@@ -134,7 +137,9 @@ def start_clean_stream(
 
 
 def dropped_by_watermark(query: StreamingQuery) -> int:
-    """Late rows that watermark deduplication has dropped so far."""
+    """Late rows that watermark deduplication dropped in the batches the query still reports:
+    the last 100 since it was started (``spark.sql.streaming.numRecentProgressUpdates``).
+    """
     return sum(
         operator["numRowsDroppedByWatermark"]
         for progress in query.recentProgress

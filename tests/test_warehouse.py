@@ -178,6 +178,13 @@ def test_clamps():
     assert values == [1, 1, 1000, 100, 100, 7]
 
 
+def test_functions_do_not_cap(spark):
+    rows = clean(spark, [("A", f"2026-01-01T08:{n // 60:02d}:{n % 60:02d}", n, None) for n in range(1200)])
+    assert serving.latest(rows, limit=1100).count() == 1100
+    with pytest.raises(ValueError, match="1 or more"):
+        serving.latest(rows, limit=0)
+
+
 def test_latest_is_oldest_first(spark):
     rows = clean(spark, [(i, f"2026-01-01T08:00:0{n}", n, None) for n, i in enumerate("ABABA")])
     assert [r.speed for r in serving.latest(rows, limit=3).collect()] == [2.0, 3.0, 4.0]
@@ -214,7 +221,7 @@ def test_monitor(spark):
     facts = warehouse.rejected_hourly(rejected, datetime(2026, 1, 1), datetime(2026, 1, 2))
     monitor = serving.Monitor(table, lambda k: fact(spark), dim(spark, "A"), rejected, facts)
     unknown = monitor.latest("boat")
-    assert unknown.data is None and unknown.error == "Type d'équipement inconnu : boat"
+    assert unknown.data is None and unknown.error == "Aucun équipement de ce type : boat"
     assert opened == []
     answer = monitor.latest("elevator", limit="x")
     assert answer.about["numeric_fields"] == ["speed", "load_value", "temperature", "energy", "engine_hours"]
@@ -244,7 +251,7 @@ def test_hours_from_messages_to_monitor(spark, tmp_path):
     payloads = [reading(i * 60, 1 + i % 2, equipment_id=f"E{i % 2}") for i in range(59)]
     payloads += [reading(5, 9), reading(6, None)]
     for _ in range(2):
-        clean_to_tables(elevator_messages(spark, payloads), stored)
+        clean_to_tables(elevator_messages(spark, payloads), stored, batch_id=0)
     load_last_hour(spark, stored, datetime(2026, 1, 1, 1, 10), [ELEVATOR])
     load_hours(spark, stored, datetime(2025, 12, 31, 22), datetime(2026, 1, 1, 3), [ELEVATOR])
     monitor = open_monitor(spark, stored, [ELEVATOR])
