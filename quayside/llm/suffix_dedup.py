@@ -16,8 +16,10 @@ before in the same document) is a repeat; bytes that repeats cover are removed.
    intervals of the transform yields the common prefixes of neighbours by increasing
    value. It stops at ``LENGTH``: boundaries not found until then lie inside classes of
    equal windows, of which all but the first are repeats.
-4. An anchor with very many different contexts (a short, common line) is cut into its
-   windows, each a context of its own: step 2 then settles them without gathering them.
+4. Contexts of an anchor with very many of them (a short, common line) are cut in halves
+   by the places of their windows. A half's windows share more bytes than the anchor, which
+   part the group; equal halves collapse again, and what is still large is cut once more,
+   at last into single windows.
 """
 
 from __future__ import annotations
@@ -37,10 +39,12 @@ LENGTH = 100
 GRAM = 32
 #: Window starts handled at once; the anchor order uses 40 hash bits beside 24 bits of place.
 STRIDE = 1 << 20
-#: Anchors with more different contexts than this are cut into windows.
-HOT_CONTEXTS = 4000
-#: Bytes of context that one bucket's transform holds on average.
-BUCKET_BYTES = 2 << 20
+#: Groups of more different contexts than this are cut.
+HOT_CONTEXTS = 1000
+#: Bytes of context that one bucket's transform holds on average; larger ones leave the cache.
+BUCKET_BYTES = 1 << 18
+PIECE = ("key", "doc_id", "start", "piece", "shift", "low", "high")
+PIECES = "key long, doc_id long, start int, piece binary, shift int, low int, high int"
 
 _PLACE = np.uint64((1 << 24) - 1)
 _BYTE = np.random.default_rng(20240601).integers(1, 2**63, 256, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
@@ -105,24 +109,43 @@ def find_anchors(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         )
 
 
-def cut_contexts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Contexts of the wanted places; those of hot anchors cut into windows, told by two hashes."""
+def read_contexts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """The bytes of the wanted contexts; ``shift`` is the first window's place, seen from the anchor."""
     for rows in batches:
-        out: dict[str, list] = {c: [] for c in ("key", "doc_id", "start", "piece", "one", "two")}
+        out: list[tuple] = []
         for doc_id, text, wanted in zip(*(rows.column(c).to_pylist() for c in ("doc_id", "text", "wanted")), strict=True):
             data = text.encode()
             for place in wanted:
-                left, right = max(place["pos"] - (LENGTH - GRAM), 0), min(place["pos"] + LENGTH, len(data))
-                if not place["hot"]:
-                    pieces = [(left, data[left:right], None, None)]
-                else:
-                    windows = ((i, data[i : i + LENGTH]) for i in range(left, right - LENGTH + 1))
-                    pieces = [(i, None, *np.frombuffer(xxhash.xxh3_128_digest(w), np.int64).tolist()) for i, w in windows]
-                for start, piece, one, two in pieces:
-                    for c, v in zip(out, (place["key"], doc_id, start, piece, one, two), strict=True):
-                        out[c].append(v)
-        types = (pa.int64(), pa.int64(), pa.int32(), pa.binary(), pa.int64(), pa.int64())
-        yield batch(**{c: pa.array(v, t) for (c, v), t in zip(out.items(), types, strict=True)})
+                pos = place["pos"]
+                left = max(pos - (LENGTH - GRAM), 0)
+                out.append((place["key"], doc_id, left, data[left : pos + LENGTH], left - pos, GRAM - LENGTH, 0))
+        yield piece_batch(out)
+
+
+def halve(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Pieces cut in two by the places of their windows, seen from the anchor.
+
+    All windows of a half share the bytes from its last start to its first end; these and
+    the key so far make its key, so equal windows stay together.
+    """
+    for rows in batches:
+        out: list[tuple] = []
+        for key, doc_id, start, piece, shift, low, high in zip(*(rows.column(c).to_pylist() for c in PIECE), strict=True):
+            middle = (low + high) // 2
+            for a, b in ((low, middle), (middle + 1, high)):
+                first, last = max(shift, a), min(shift + len(piece) - LENGTH, b)
+                if first <= last:
+                    common = piece[b - shift : a - shift + LENGTH]
+                    own = xxhash.xxh3_64_digest(key.to_bytes(8, "little", signed=True) + common, b - GRAM + LENGTH)
+                    part = piece[first - shift : last - shift + LENGTH]
+                    out.append((int.from_bytes(own, "little", signed=True), doc_id, start + first - shift, part, first, a, b))
+        yield piece_batch(out)
+
+
+def piece_batch(rows: list[tuple]) -> pa.RecordBatch:
+    columns = list(zip(*rows, strict=True)) or [()] * len(PIECE)
+    types = (pa.int64(), pa.int64(), pa.int32(), pa.binary(), pa.int32(), pa.int32(), pa.int32())
+    return batch(**{c: pa.array(v, t) for c, v, t in zip(PIECE, columns, types, strict=True)})
 
 
 def sorted_suffixes(data: np.ndarray) -> np.ndarray:
@@ -264,7 +287,7 @@ def remove_spans(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 def repeated_spans(docs: DataFrame) -> DataFrame:
     """``doc_id, start, stop``: stretches covered by repeats, still overlapping each other."""
-    spark, texts = docs.sparkSession, texts_of(docs)
+    texts = texts_of(docs)
     places = mapped(texts, find_anchors, "key long, context long, doc_id long, pos int")
     twice = places.groupBy("key").agg(F.count("*").alias("n")).filter("n > 1").select("key")
     seen = stage(places.join(twice, "key", "left_semi"), "anchors")
@@ -281,27 +304,34 @@ def repeated_spans(docs: DataFrame) -> DataFrame:
     wanted = (
         firsts.join(mixed, "key")
         .groupBy(F.col("first.doc_id").alias("doc_id"))
-        .agg(F.collect_list(F.struct("key", F.col("first.pos").alias("pos"), (F.col("n") > HOT_CONTEXTS).alias("hot"))).alias("wanted"))
+        .agg(F.collect_list(F.struct("key", F.col("first.pos").alias("pos"))).alias("wanted"))
     )
-    pieces = stage(
-        mapped(texts.join(wanted, "doc_id"), cut_contexts, "key long, doc_id long, start int, piece binary, one long, two long"),
-        "pieces",
-    )
-    cold, windows = pieces.filter("piece IS NOT NULL"), pieces.filter("piece IS NULL")
-    total = cold.agg(F.sum(F.length("piece"))).first()[0] or 0
-    buckets = by_rows(spark, total, BUCKET_BYTES)
-    compared = (
-        cold.withColumn("bucket", F.pmod(F.xxhash64("key"), F.lit(buckets)))
-        .groupBy("bucket")
-        .applyInArrow(compare_bucket, "doc_id long, start int, stop int")
-    )
-    earliest = windows.groupBy("one", "two").agg(F.min(F.struct("doc_id", "start")).alias("first"))
-    cut = (
-        windows.join(earliest, ["one", "two"])
-        .filter((F.col("doc_id") != F.col("first.doc_id")) | (F.col("start") != F.col("first.start")))
-        .select("doc_id", "start", (F.col("start") + LENGTH).alias("stop"))
-    )
-    return copies.union(compared).union(cut)
+    pieces = stage(mapped(texts.join(wanted, "doc_id"), read_contexts, PIECES), "pieces")
+    found = copies
+    while True:
+        counts = pieces.groupBy("key").agg(F.count("*").alias("n")).filter("n > 1")
+        counted = pieces.join(counts, "key")
+        hot = (F.col("n") > HOT_CONTEXTS) & (F.col("low") < F.col("high"))
+        found = found.union(compared(counted.filter(~hot)))
+        halves = stage(mapped(counted.filter(hot).select(*PIECE), halve, PIECES), "halves")
+        if halves.isEmpty():
+            return found
+        place = [c for c in PIECE if c not in ("key", "piece")]
+        firsts = stage(halves.groupBy("key", "piece").agg(F.min(F.struct(*place)).alias("first")), "halves-once")
+        found = found.union(
+            halves.join(firsts, ["key", "piece"])
+            .filter((F.col("doc_id") != F.col("first.doc_id")) | (F.col("start") != F.col("first.start")))
+            .select("doc_id", "start", (F.col("start") + F.length("piece")).alias("stop"))
+        )
+        pieces = firsts.select("key", "piece", "first.*").select(*PIECE)
+
+
+def compared(pieces: DataFrame) -> DataFrame:
+    """Repeats among pieces of equal key, found in buckets of whole keys."""
+    total = pieces.agg(F.sum(F.length("piece"))).first()[0] or 0
+    buckets = by_rows(pieces.sparkSession, total, BUCKET_BYTES)
+    dealt = pieces.select("doc_id", "start", "piece", F.pmod(F.xxhash64("key"), F.lit(buckets)).alias("bucket"))
+    return dealt.groupBy("bucket").applyInArrow(compare_bucket, "doc_id long, start int, stop int")
 
 
 def suffix_dedup(docs: DataFrame) -> DataFrame:

@@ -72,7 +72,7 @@ def suffix_cases():
     ]
 
 
-@pytest.mark.parametrize("hot", [4000, 3])
+@pytest.mark.parametrize("hot", [1000, 3])
 def test_repeats_as_by_hand(spark, monkeypatch, hot):
     monkeypatch.setattr(suffix_dedup, "HOT_CONTEXTS", hot)
     texts = dict(enumerate(suffix_cases()))
