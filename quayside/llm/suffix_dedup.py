@@ -37,8 +37,9 @@ from quayside.session import stage
 
 LENGTH = 100
 GRAM = 32
-#: Window starts handled at once; the anchor order uses 40 hash bits beside 24 bits of place.
-STRIDE = 1 << 20
+#: Window starts handled at once, few enough that their hashes stay in the processor's cache.
+#: The anchor order uses 40 hash bits beside 24 bits of place.
+STRIDE = 1 << 15
 #: Groups of more different contexts than this are cut.
 HOT_CONTEXTS = 1000
 #: Bytes of context that one bucket's transform holds on average; larger ones leave the cache.
@@ -74,10 +75,11 @@ def anchors(data: np.ndarray, bounds: np.ndarray) -> tuple[np.ndarray, np.ndarra
             least = np.minimum(least[:-width], least[width:])
             width *= 2
         least = np.minimum(least[: len(least) - (grams - width)], least[grams - width :])
-        own = (least & _PLACE).astype(np.int64)
-        starts = np.arange(low, low + len(own))
-        ends = bounds[np.searchsorted(bounds, starts, side="right").clip(max=len(bounds) - 1)]
-        own = own[starts + LENGTH <= ends]
+        within = np.ones(len(least), bool)
+        i, j = np.searchsorted(bounds, (low, low + len(least) + LENGTH))
+        for end in (bounds[i:j] - low).tolist():
+            within[max(end - LENGTH + 1, 0) : max(end, 0)] = False
+        own = (least[within] & _PLACE).astype(np.int64)
         own = own[np.flatnonzero(np.diff(own, prepend=-1))]
         at.append(own + low)
         hashes.append(h[own])
@@ -87,14 +89,23 @@ def anchors(data: np.ndarray, bounds: np.ndarray) -> tuple[np.ndarray, np.ndarra
     return at, np.concatenate(hashes)[first]
 
 
+def joined_texts(column: pa.Array) -> tuple[memoryview, np.ndarray]:
+    view, bounds = text_bytes(column)
+    low = int(bounds[0])
+    return view[low : int(bounds[-1])], bounds - low
+
+
+def find_keys(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """The anchors' hashes alone, to count them."""
+    for rows in batches:
+        buffer, bounds = joined_texts(rows.column("text"))
+        yield batch(key=anchors(np.frombuffer(buffer, np.uint8), bounds)[1].view(np.int64))
+
+
 def find_anchors(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for rows in batches:
-        view, bounds = text_bytes(rows.column("text"))
-        low = int(bounds[0])
-        buffer = view[low : int(bounds[-1])]
-        bounds = bounds - low
-        data = np.frombuffer(buffer, np.uint8)
-        at, keys = anchors(data, bounds)
+        buffer, bounds = joined_texts(rows.column("text"))
+        at, keys = anchors(np.frombuffer(buffer, np.uint8), bounds)
         doc = np.searchsorted(bounds, at, side="right") - 1
         left = np.maximum(at - (LENGTH - GRAM), bounds[doc])
         right = np.minimum(at + LENGTH, bounds[doc + 1])
@@ -289,7 +300,8 @@ def repeated_spans(docs: DataFrame) -> DataFrame:
     """``doc_id, start, stop``: stretches covered by repeats, still overlapping each other."""
     texts = texts_of(docs)
     places = mapped(texts, find_anchors, "key long, context long, doc_id long, pos int")
-    twice = places.groupBy("key").agg(F.count("*").alias("n")).filter("n > 1").select("key")
+    keys = mapped(texts, find_keys, "key long")
+    twice = keys.groupBy("key").agg(F.count("*").alias("n")).filter("n > 1").select("key")
     seen = stage(places.join(twice, "key", "left_semi"), "anchors")
     firsts = stage(
         seen.groupBy("key", "context").agg(F.min(F.struct("doc_id", "pos")).alias("first")),
