@@ -8,7 +8,7 @@ from quayside.bindings.frames import (
     READING,
     SHIPMENT,
 )
-from quayside.bindings.queries import CUT, HISTORY_DAYS, LATER
+from quayside.bindings.queries import CUT, HISTORY_DAYS, LATER, MANY
 from quayside.catalogue import KINDS, Kind
 
 ISO = "'%Y-%m-%dT%H:%M:%S.%f'"
@@ -152,6 +152,18 @@ RUNS = ctes(LEVELS, runs("levels", "equipment_id", "event_timestamp, seq", "leve
 IS_STUCK = "(run_length >= 5 AND abs(level) > 1e-9)"
 RUN_ROWS = f"{RUNS}SELECT seq, level, run_length, {IS_STUCK} AS is_stuck FROM runs"
 
+GAPS = ctes(
+    LEVELS,
+    """gaps AS (
+  SELECT seq, CASE WHEN seq % 83 <> 0 THEN equipment_id END AS equipment_id, event_timestamp,
+    CASE WHEN seq % 41 <> 0 THEN level END AS level FROM levels)""",
+    "live AS (SELECT * FROM gaps WHERE equipment_id IS NOT NULL AND level IS NOT NULL)",
+    runs("live", "equipment_id", "event_timestamp, seq", "level"),
+)
+GAP_ROWS = f"""{GAPS}SELECT seq, level, run_length, {IS_STUCK} AS is_stuck FROM runs
+UNION ALL SELECT seq, level, CAST(NULL AS BIGINT), false FROM gaps
+  WHERE equipment_id IS NULL OR level IS NULL"""
+
 # --- telemetry ------------------------------------------------------------------------
 
 EV = """ev AS (
@@ -332,6 +344,23 @@ DIM_DATE = """SELECT DISTINCT
   monthname(d) AS month_name, extract(isodow FROM d) IN (6, 7) AS is_weekend
 FROM (SELECT CAST({ts} AS DATE) AS d FROM {table})"""
 
+IMPORTED = f"""{ctes(SHEET)}SELECT seq, equipment_id, type, speed,
+  CASE WHEN timestamp IS NULL THEN {AS_OF_SQL} WHEN timestamp <> 'soon'
+    THEN date_trunc('second', ts) END AS timestamp,
+  CASE WHEN timestamp IS NULL THEN '{AS_OF:%Y-%m-%d}' WHEN timestamp <> 'soon'
+    THEN strftime(ts, '%Y-%m-%d') END AS day_bucket,
+  CASE WHEN timestamp = 'soon' THEN 'timestamp_invalide' END AS reject_reason
+FROM sheet"""
+DATED = f"""CASE WHEN timestamp IS NULL THEN {AS_OF_SQL} ELSE date_trunc('second', ts) END"""
+KEPT = f"""kept AS (SELECT DISTINCT lower(type) AS type, equipment_id, {DATED} AS timestamp
+  FROM sheet WHERE type <> 'VIEW' AND timestamp IS DISTINCT FROM 'soon')"""
+INGESTED = f"""{ctes(SHEET, KEPT)}SELECT part, count(*) AS row_count FROM (
+  SELECT type AS part FROM kept
+  UNION ALL SELECT CASE WHEN type = 'VIEW' THEN 'type_inconnu' ELSE 'timestamp_invalide' END
+    FROM sheet WHERE type = 'VIEW' OR timestamp = 'soon') GROUP BY part"""
+PUBLISHED = f"""{ctes(SHEET, KEPT)}SELECT type AS topic, equipment_id AS key,
+  strftime(timestamp, {ISO}) AS timestamp FROM kept"""
+
 ORACLES: dict[str, str] = {
     "reject_reason": f"{ctes(READINGS, CHECKED)}"
     "SELECT seq, equipment_id, event_timestamp, state, alarm, reject_reason FROM checked",
@@ -375,6 +404,10 @@ FROM events""",
     + " AS value FROM levels WHERE seq % 89 <> 0",
     "clean_messages": VERDICTS,
     "stream_clean": VERDICTS,
+    "batch_loads_stuck": VERDICTS,
+    "latest_many": f"SELECT equipment_id, event_timestamp FROM ({VERDICTS})"
+    f" WHERE topic = '{KINDS[0].topic}' AND reject_reason IS NULL"
+    f" ORDER BY event_timestamp DESC, equipment_id DESC LIMIT {MANY}",
     "stuck_rows": f"{OUTCOME}SELECT topic, equipment_id, event_timestamp, round(watched, 6)"
     " AS watched, run_length FROM outcome WHERE reject_reason = 'capteur_bloque'",
     "batch_counts": f"{OUTCOME}SELECT topic,"
@@ -397,6 +430,8 @@ WHERE run_length >= 5 AND abs(speed) > 1e-9""",
     "stuck_runs": RUN_ROWS,
     "stuck_runs_split": RUN_ROWS,
     "stuck_stream": RUN_ROWS,
+    "stuck_runs_gaps": GAP_ROWS,
+    "stuck_stream_gaps": GAP_ROWS,
     "state_snapshot": f"{RUN_ROWS} WHERE event_timestamp >= TIMESTAMP '{CUT:%Y-%m-%d}'",
     "stuck_state": f"{RUNS}SELECT equipment_id, level AS last_value, run_length AS repeat_count"
     " FROM runs QUALIFY row_number() OVER (PARTITION BY equipment_id"
@@ -421,13 +456,10 @@ WHERE run_length >= 5 AND abs(speed) > 1e-9""",
     "equipment_history": f"{ctes(RAW)}SELECT equipment_id, day_bucket, timestamp, state, speed"
     f" FROM raw_rows WHERE equipment_id = '7' AND day_bucket IN {HISTORY_DAYS}",
     "drop_blank_rows": f"{ctes(SHEET)}SELECT seq, equipment_id, type, timestamp, speed FROM sheet",
-    "import_file": f"""{ctes(SHEET)}SELECT seq, equipment_id, type, speed,
-  CASE WHEN timestamp IS NULL THEN {AS_OF_SQL} WHEN timestamp <> 'soon'
-    THEN date_trunc('second', ts) END AS timestamp,
-  CASE WHEN timestamp IS NULL THEN '{AS_OF:%Y-%m-%d}' WHEN timestamp <> 'soon'
-    THEN strftime(ts, '%Y-%m-%d') END AS day_bucket,
-  CASE WHEN timestamp = 'soon' THEN 'timestamp_invalide' END AS reject_reason
-FROM sheet""",
+    "import_file": IMPORTED,
+    "import_folder": IMPORTED,
+    "raw_ingest": INGESTED,
+    "publish_raw": PUBLISHED,
     "route_by_type": f"{ctes(SHEET)}SELECT CASE WHEN type <> 'VIEW' THEN lower(type) END"
     " AS equipment_type, type, count(*) AS row_count FROM sheet GROUP BY ALL",
     "hour_window": f"{VALID_CTES}SELECT seq, equipment_id, event_timestamp FROM valid"

@@ -32,7 +32,7 @@ from quayside.operators.publish import to_keyed_json
 from quayside.operators.stuck import state_after, stuck_runs
 from quayside.plans import serving, warehouse
 from quayside.plans.cleaning import clean_batch
-from quayside.plans.etl import Tables, clean_to_tables, load_hours
+from quayside.plans.etl import Tables, clean_to_tables, ingest_files, load_hours, raw_messages
 from quayside.session import configure, stage, workspace
 from quayside.sinks import tables
 from quayside.sources import raw
@@ -47,6 +47,7 @@ QUERIES: dict[str, Query] = {}
 FIRST_HOUR, LAST_HOUR = datetime(2024, 1, 1), datetime(2024, 1, 31)
 CUT = datetime(2024, 1, 15)
 LATER = 10**12
+MANY = 1200
 HISTORY_DAYS = ("2024-01-05", "2024-01-06", "2024-01-20")
 LEVEL_KEYS, LEVEL_ORDER = ["equipment_id"], ["event_timestamp", "seq"]
 
@@ -459,6 +460,53 @@ def import_file(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def exported_folder(spark: SparkSession, sf_dir: str) -> str:
+    """The sheet as files of two headers: odd rows have their columns the other way round."""
+    path, sheet = workspace(spark, "sheets"), exported(spark, sf_dir)
+    odd = F.coalesce(F.col("seq").cast("bigint") % 2 == 1, F.lit(False))
+    write = lambda df: df.write.mode("append").option("header", True).csv(path)
+    write(sheet.filter(~odd))
+    write(sheet.filter(odd).select(*reversed(sheet.columns)))
+    return path
+
+
+@query
+def import_folder(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """As ``import_file``, over files whose headers differ."""
+    sheet = raw.drop_blank_rows(raw.import_folder(spark, exported_folder(spark, sf_dir)))
+    rows, rejected = raw.prepare_import(sheet, AS_OF)
+    return quality.union_rejects(rows, rejected.drop("timestamp")).select(
+        "seq", "equipment_id", "type", "speed", "timestamp", "day_bucket", "reject_reason"
+    )
+
+
+SHEET_KINDS = [k for k in EVENT_KINDS if k.name != "view"]
+
+
+def ingested(spark: SparkSession, sf_dir: str) -> Tables:
+    stored = Tables(workspace(spark, "ingest"))
+    ingest_files(spark, exported_folder(spark, sf_dir), stored, 0, AS_OF, SHEET_KINDS)
+    return stored
+
+
+@query
+def raw_ingest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Files to raw table: rows by type, and rejects by reason."""
+    stored = ingested(spark, sf_dir)
+    rows = spark.read.parquet(stored.raw).select(F.col("equipment_type").alias("part"))
+    rejected = spark.read.parquet(stored.rejected_import)
+    both = rows.unionByName(rejected.select(F.col("reject_reason").alias("part")))
+    return both.groupBy("part").agg(F.count("*").alias("row_count"))
+
+
+@query
+def publish_raw(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The stored raw table as keyed messages."""
+    messages = raw_messages(spark, ingested(spark, sf_dir), SHEET_KINDS)
+    at = F.get_json_object("value", "$.timestamp").alias("timestamp")
+    return messages.select("topic", "key", at)
+
+
 @query
 def route_by_type(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = raw.drop_blank_rows(exported(spark, sf_dir))
@@ -467,6 +515,15 @@ def route_by_type(spark: SparkSession, sf_dir: str) -> DataFrame:
     return routed.groupBy("equipment_type", "type").agg(F.count("*").alias("row_count"))
 
 
+def stored_verdicts(spark: SparkSession, clean: str, rejected: str) -> DataFrame:
+    """What the clean table and the dead letter hold together."""
+    topic = F.concat(F.col("equipment_type"), F.lit("_data")).alias("topic")
+    good = spark.read.parquet(clean).select(
+        topic, "equipment_id", "event_timestamp", F.lit(None).cast("string").alias("reject_reason")
+    )
+    return good.unionByName(verdicts(tables.read_rejected(spark, rejected)))
+
+
 # --- warehouse -------------------------------------------------------------------------
 
 
@@ -615,6 +672,26 @@ def sink_clean(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+@query
+def batch_loads_stuck(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Three loads into the same tables: together the verdicts of one load."""
+    stored = Tables(workspace(spark, "loads"))
+    for number, part in enumerate(slices(telemetry(spark, sf_dir))):
+        clean_to_tables(part, stored, batch_id=number)
+    return stored_verdicts(spark, stored.clean, stored.rejected)
+
+
+@query
+def latest_many(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """More rows than a request may ask for, from the newest days of a stored table."""
+    stored = Tables(workspace(spark, "latest"))
+    clean_to_tables(telemetry(spark, sf_dir), stored, batch_id=0)
+    clean = tables.read_clean(spark, stored.clean, KINDS[0])
+    return serving.latest(clean, limit=MANY, day_col="event_date").select(
+        "equipment_id", "event_timestamp"
+    )
+
+
 @query
 def warehouse_load(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Messages to tables to warehouse: equipment by equipment, what its facts add up to."""
@@ -768,11 +845,7 @@ def stream_clean(spark: SparkSession, sf_dir: str) -> DataFrame:
         )
 
     replay(slices(telemetry(spark, sf_dir)), inbox, start)
-    topic = F.concat(F.col("equipment_type"), F.lit("_data")).alias("topic")
-    good = spark.read.parquet(clean).select(
-        topic, "equipment_id", "event_timestamp", F.lit(None).cast("string").alias("reject_reason")
-    )
-    return good.unionByName(verdicts(tables.read_rejected(spark, rejected)))
+    return stored_verdicts(spark, clean, rejected)
 
 
 @query("stuck_stream")
@@ -784,6 +857,31 @@ def stuck_stream_levels(spark: SparkSession, sf_dir: str) -> DataFrame:
     return runs.select("seq", "level", "run_length", "is_stuck")
 
 
+def gappy_levels(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Levels of which some lack the id, some the value."""
+    return levels(spark, sf_dir).withColumns(
+        {
+            "equipment_id": F.when(F.col("seq") % 83 != 0, F.col("equipment_id")),
+            "level": F.when(F.col("seq") % 41 != 0, F.col("level")),
+        }
+    )
+
+
+@query
+def stuck_runs_gaps(spark: SparkSession, sf_dir: str) -> DataFrame:
+    runs = stuck_runs(gappy_levels(spark, sf_dir), LEVEL_KEYS, LEVEL_ORDER, "level")
+    return runs.select("seq", "level", "run_length", "is_stuck")
+
+
+@query
+def stuck_stream_gaps(spark: SparkSession, sf_dir: str) -> DataFrame:
+    parts = slices(gappy_levels(spark, sf_dir), "event_timestamp")
+    runs = run_stream(
+        spark, "stuck-gaps", parts, lambda s: stuck_stream(s, LEVEL_KEYS, LEVEL_ORDER, "level")
+    )
+    return runs.select("seq", "level", "run_length", "is_stuck")
+
+
 @query
 def stream_dedupe(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every 50th reading arrives a second time, one slice later."""

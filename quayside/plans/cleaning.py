@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from quayside.catalogue import KINDS, STUCK_SENSOR, STUCK_THRESHOLD, Kind
 from quayside.operators.dedupe import dedupe_first
 from quayside.operators.quality import split_valid, union_rejects, with_reject_reason_mixed
-from quayside.operators.stuck import ROWS_PER_PIECE, stuck_runs
+from quayside.operators.stuck import ROWS_PER_PIECE, state_after, stuck_runs
 from quayside.session import stage
 from quayside.sources.topics import parse_mixed
 
@@ -78,21 +78,40 @@ def clean_batch(
     kinds: Sequence[Kind] = KINDS,
     threshold: int = STUCK_THRESHOLD,
     rows_per_piece: int | None = ROWS_PER_PIECE,
+    prior: DataFrame | None = None,
 ) -> DataFrame:
     """All rows but dropped duplicates, each with its final ``reject_reason``.
 
     Rejected rows bypass deduplication and stuck detection: they have no usable
     key, and all of them are kept. Validated rows are staged, so payloads are
-    parsed once and each later step reads only the columns it needs.
+    parsed once and each later step reads only the columns it needs. ``prior`` is
+    the stuck state that earlier loads left (``next_state``), so runs go on.
     """
     validated = stage(validate_messages(messages, kinds), "validated")
+    return clean_validated(validated, kinds, threshold, rows_per_piece, prior)
+
+
+def clean_validated(
+    validated: DataFrame,
+    kinds: Sequence[Kind] = KINDS,
+    threshold: int = STUCK_THRESHOLD,
+    rows_per_piece: int | None = ROWS_PER_PIECE,
+    prior: DataFrame | None = None,
+) -> DataFrame:
+    """``clean_batch`` from validated rows on; they are read more than once."""
     valid, rejected = split_valid(validated)
     pieces = pieces_needed(validated.count(), rows_per_piece)
     flagged = flag_stuck(
         valid,
         kinds,
         threshold,
+        prior=prior,
         rows_per_piece=pieces,
         keep=lambda survivors: stage(survivors, "survivors"),
     )
     return union_rejects(rejected, flagged)
+
+
+def next_state(outcome: DataFrame, prior: DataFrame | None = None) -> DataFrame:
+    """Stuck state after a cleaned batch, to be the next one's ``prior``."""
+    return state_after(outcome, STATE_KEYS, ["event_timestamp", "offset"], "watched", prior)

@@ -9,6 +9,7 @@ from __future__ import annotations
 from collections.abc import Sequence
 from dataclasses import dataclass
 from datetime import datetime
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -16,13 +17,19 @@ from pyspark.sql import functions as F
 from quayside.catalogue import KINDS, STUCK_THRESHOLD, Kind
 from quayside.functions import time
 from quayside.operators.merge import insert_if_absent
+from quayside.operators.publish import to_keyed_json
 from quayside.operators.quality import split_valid, to_rejected_mixed
 from quayside.plans import warehouse
-from quayside.plans.cleaning import clean_batch
+from quayside.plans.cleaning import clean_validated, next_state, validate_messages
 from quayside.plans.serving import Monitor
 from quayside.session import stage
 from quayside.sinks import tables
-from quayside.sources.raw import scan_raw
+from quayside.sinks.external import publish
+from quayside.sinks.state import StuckState, touched_buckets
+from quayside.sources import raw
+
+WRITE_ORDER = "write_order"
+UNKNOWN_TYPE = "type_inconnu"
 
 
 @dataclass(frozen=True)
@@ -46,6 +53,10 @@ class Tables:
     def raw(self) -> str:
         return self.path("raw")
 
+    @property
+    def rejected_import(self) -> str:
+        return self.path("rejected_import")
+
     @property
     def rejected_fact(self) -> str:
         return self.path("fact_rejected_hourly")
@@ -65,11 +76,70 @@ def clean_to_tables(
 
     A load that is repeated under its ``batch_id`` replaces itself; every other load
     needs a number of its own. Streams into the same tables have their own folders.
+
+    Stuck runs go on from load to load, by ascending number: a load starts from the state
+    that lower numbers left. States of all loads are kept, so any load can be repeated.
     """
-    outcome = stage(clean_batch(messages, kinds, threshold), "outcome")
+    spark, state = messages.sparkSession, StuckState(stored.path("stuck_state"))
+    validated = stage(validate_messages(messages, kinds), "validated")
+    valid, _ = split_valid(validated)
+    prior = state.before(spark, batch_id, touched_buckets(valid))
+    outcome = stage(clean_validated(validated, kinds, threshold, prior=prior), "outcome")
     clean, rejected = split_valid(outcome)
     tables.write_clean(tables.clean_rows(clean, kinds), stored.clean, batch_id)
     tables.write_rejected(to_rejected_mixed(rejected, kinds), stored.rejected, batch_id)
+    state.write(next_state(outcome, prior), batch_id)
+
+
+def ingest_files(
+    spark: SparkSession,
+    path: str,
+    stored: Tables,
+    load_id: int,
+    as_of: datetime,
+    kinds: Sequence[Kind] = KINDS,
+) -> None:
+    """Exported sheets into the raw table; each sheet is read by its own header.
+
+    Rows of unknown type and unreadable time go to ``rejected_import``, with the reason
+    and all their cells. Of equal keys the later row wins, and the higher ``load_id``.
+    """
+    sheet = raw.drop_blank_rows(raw.import_folder(spark, path))
+    order = F.struct(
+        F.lit(load_id).cast("bigint").alias("load"), F.monotonically_increasing_id().alias("row")
+    )
+    known, unknown = raw.route_by_type(stage(sheet.withColumn(WRITE_ORDER, order), "sheet"), kinds)
+    rows, unreadable = raw.prepare_import(known, as_of)
+    rows = raw.textify(rows, keep=("timestamp", WRITE_ORDER))
+    tables.upsert_raw_table(rows, stored.raw, WRITE_ORDER)
+    cells = F.to_json(F.struct(*sheet.columns)).alias("source_json")
+    unknown = unknown.select(cells, F.lit(UNKNOWN_TYPE).alias("reject_reason"))
+    rejected = unknown.unionByName(unreadable.select(cells, "reject_reason"))
+    rejected.write.mode("overwrite").parquet(f"{stored.rejected_import}/load_id={load_id}")
+
+
+def raw_messages(
+    spark: SparkSession, stored: Tables, kinds: Sequence[Kind] = KINDS
+) -> DataFrame:
+    """``topic, key, value`` for every row of the raw table, typed by the catalogue."""
+    return reduce(
+        DataFrame.unionByName,
+        [
+            to_keyed_json(raw.infer_type(raw.scan_raw(spark, stored.raw, k), k)).select(
+                F.lit(k.topic).alias("topic"), "key", "value"
+            )
+            for k in kinds
+        ],
+    )
+
+
+def publish_raw(
+    spark: SparkSession, stored: Tables, servers: str, kinds: Sequence[Kind] = KINDS
+) -> None:
+    """Send the raw table to the kinds' topics."""
+    for kind in kinds:
+        messages = raw_messages(spark, stored, [kind])
+        publish(messages.select("key", "value"), servers, kind.topic)
 
 
 def _add_missing(new: DataFrame, path: str, key: str) -> None:
@@ -137,6 +207,7 @@ def open_monitor(
         dim_equipment=spark.read.parquet(stored.path("dim_equipment")),
         rejected=tables.read_rejected(spark, stored.rejected),
         fact_rejected=tables.read_rejected_fact(spark, stored.rejected_fact),
-        raw=lambda k: scan_raw(spark, stored.raw, k),
+        raw=lambda k: raw.scan_raw(spark, stored.raw, k),
         kinds=tuple(kinds),
+        stored=True,
     )

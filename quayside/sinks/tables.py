@@ -18,7 +18,7 @@ from pyspark.sql import types as T
 from quayside.catalogue import KINDS, Kind, owners, resolve, struct_of
 from quayside.operators.merge import raw_upsert, upsert_by_key
 from quayside.session import stage
-from quayside.sources.raw import RAW_KEYS
+from quayside.sources.raw import RAW_KEYS, text_days
 
 FACT_PARTITIONS = ("date_key",)
 REJECTED_SCHEMA = struct_of(
@@ -171,7 +171,7 @@ def upsert_fact(
             first, last = (int(f"{h:%Y%m%d}") for h in hours)
             existing = existing.filter(F.col("date_key").between(first, last))
         else:
-            existing = existing.join(df.select("date_key").distinct(), "date_key", "left_semi")
+            existing = _touched(existing, df, FACT_PARTITIONS, "date_key")
         if mode == "key":
             merged = upsert_by_key(df, existing, keys)
         elif hours is not None:
@@ -194,12 +194,24 @@ def upsert_raw_table(new: DataFrame, path: str, seq_col: str) -> None:
     existing = read_if_exists(new.sparkSession, path)
     keys = ["equipment_type", *RAW_KEYS]
     if existing is not None:
-        touched = new.select(*RAW_PARTITIONS).distinct()
-        existing = existing.join(touched, list(RAW_PARTITIONS), "left_semi")
+        existing = _touched(text_days(existing, path), new, RAW_PARTITIONS, "day_bucket")
     merged = stage(raw_upsert(new, existing, keys, seq_col), "raw-merge")
     _overwrite_partitions(merged, path, RAW_PARTITIONS)
 
 
+def _touched(
+    existing: DataFrame, new: DataFrame, partitions: Sequence[str], day_col: str
+) -> DataFrame:
+    """Stored rows in partitions that ``new`` has rows of.
+
+    A semi join does not prune the scan; the range of days, two values, does.
+    """
+    low, high = new.agg(F.min(day_col), F.max(day_col)).first()
+    inside = F.lit(False) if low is None else F.col(day_col).between(F.lit(low), F.lit(high))
+    touched = new.select(*partitions).distinct()
+    return existing.filter(inside).join(touched, list(partitions), "left_semi")
+
+
 def _remove(spark: SparkSession, folder: str) -> None:
     """Delete a partition's folder: an overwrite leaves partitions it has no rows for."""
     jvm = spark.sparkContext._jvm

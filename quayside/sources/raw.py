@@ -4,9 +4,12 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 from datetime import datetime
+from functools import reduce
+from urllib.parse import unquote
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from quayside.catalogue import INVALID_TIMESTAMP, KINDS, Kind, resolve
 from quayside.functions import text, time
@@ -17,11 +20,39 @@ RAW_KEYS = ("equipment_id", "day_bucket", "timestamp")
 def import_file(spark: SparkSession, path: str) -> DataFrame:
     """Exported spreadsheets: a header row, then rows; every cell is text.
 
-    Cells beyond the header are dropped, and columns follow header position.
+    Cells beyond the header are dropped, and columns follow header position. For one
+    file, or files of one header; ``import_folder`` takes any.
     """
     return spark.read.option("header", True).option("mode", "PERMISSIVE").csv(path)
 
 
+def import_folder(spark: SparkSession, path: str, multi_line: bool = False) -> DataFrame:
+    """Many exported sheets at once, each read by its own header; columns meet by name.
+
+    ``path`` may hold wildcards. ``multi_line`` lets cells hold line breaks, at the price
+    of files that are not split. The driver sees each file's name and header line only;
+    files of equal header are read together.
+    """
+    first = F.min_by("value", "_line")
+    headers = (
+        spark.read.text(path)
+        .select("value", F.col("_metadata.file_path").alias("file"), F.col("_metadata.file_block_start").alias("block"))
+        .filter((F.col("block") == 0) & (F.trim("value") != ""))
+        .withColumn("_line", F.monotonically_increasing_id())
+        .groupBy("file")
+        .agg(first.alias("header"))
+        .collect()
+    )
+    alike: dict[str, list[str]] = {}
+    for row in sorted(headers):
+        alike.setdefault(row.header, []).append(unquote(row.file))
+    reader = spark.read.option("header", True).option("multiLine", multi_line)
+    sheets = [reader.csv(files) for files in alike.values()]
+    if not sheets:
+        raise ValueError(f"no file with a header in {path}")
+    return reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), sheets)
+
+
 def drop_blank_rows(df: DataFrame) -> DataFrame:
     return df.dropna(how="all")
 
@@ -90,10 +121,22 @@ def infer_type(df: DataFrame, kind: str | Kind) -> DataFrame:
     )
 
 
+def text_days(stored: DataFrame, path: str) -> DataFrame:
+    """A stored raw table with ``day_bucket`` as the text it was written as.
+
+    The reader takes a partition column of days for dates; a schema says otherwise.
+    """
+    fields = [
+        T.StructField(f.name, T.StringType()) if f.name == "day_bucket" else f
+        for f in stored.schema.fields
+    ]
+    return stored.sparkSession.read.schema(T.StructType(fields)).parquet(path)
+
+
 def scan_raw(spark: SparkSession, path: str, kind: str | Kind) -> DataFrame:
     """Full scan of one kind's raw table; the other kinds' partitions are not read."""
     k = resolve(kind)
-    rows = spark.read.parquet(path).filter(F.col("equipment_type") == k.name)
+    rows = text_days(spark.read.parquet(path), path).filter(F.col("equipment_type") == k.name)
     return rows.select(*[c for c in rows.columns if c in k.fields or c == "day_bucket"])
 
 

@@ -7,59 +7,25 @@ from collections.abc import Callable, Sequence
 from hashlib import md5
 
 from pyspark.sql import DataFrame
-from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
-from quayside.catalogue import KINDS, STUCK_THRESHOLD, Kind, struct_of
+from quayside.catalogue import KINDS, STUCK_THRESHOLD, Kind
 from quayside.operators.counts import observe_counts, outcome_counts
 from quayside.operators.quality import split_valid, to_rejected_mixed, union_rejects
-from quayside.operators.stuck import ROWS_PER_PIECE, state_after
+from quayside.operators.stuck import ROWS_PER_PIECE
 from quayside.plans.cleaning import (
     READING_KEY,
-    STATE_KEYS,
     flag_stuck,
+    next_state,
     pieces_needed,
     validate_messages,
 )
+from quayside.sinks.state import StuckState, touched_buckets
 from quayside.sinks.tables import clean_rows, write_clean, write_rejected
 from quayside.streaming.state import dedupe_stream
 
 log = logging.getLogger(__name__)
 
-STATE_SCHEMA = struct_of(
-    "equipment_type STRING, equipment_id STRING, last_value DOUBLE, repeat_count BIGINT, "
-    "updated_at TIMESTAMP, batch_id BIGINT"
-)
-
-
-class StuckState:
-    """Keyed state of the stuck-value runs, one snapshot per micro-batch.
-
-    Two folders take turns: batch N reads what N-1 wrote and replaces what N-2
-    wrote. Repeating N therefore starts from the same state and ends in the same.
-    """
-
-    def __init__(self, path: str):
-        self.path = path
-
-    def _slot(self, batch_id: int) -> str:
-        return f"{self.path}/slot-{batch_id % 2}"
-
-    def after(self, spark, batch_id: int) -> DataFrame | None:
-        if batch_id < 0:
-            return None
-        snapshot = spark.read.schema(STATE_SCHEMA).parquet(self._slot(batch_id))
-        return snapshot.filter(F.col("batch_id") == batch_id)
-
-    def write(self, state: DataFrame, batch_id: int) -> None:
-        state.select(
-            *STATE_KEYS,
-            "last_value",
-            F.col("repeat_count").cast("bigint").alias("repeat_count"),
-            F.current_timestamp().alias("updated_at"),
-            F.lit(batch_id).cast("bigint").alias("batch_id"),
-        ).write.mode("overwrite").parquet(self._slot(batch_id))
-
 
 def start_clean_stream(
     messages: DataFrame,
@@ -96,7 +62,7 @@ def start_clean_stream(
     state = StuckState(f"{checkpoint.rstrip('/')}/stuck-state")
 
     def write(batch: DataFrame, batch_id: int) -> None:
-        prior = state.after(batch.sparkSession, batch_id - 1)
+        spark = batch.sparkSession
         kept: list[DataFrame] = []
 
         def keep(df: DataFrame) -> DataFrame:
@@ -105,8 +71,13 @@ def start_clean_stream(
 
         try:
             batch = keep(batch)
+            rows = batch.count()
+            if not rows:  # nothing to write, and the state stays as it is
+                return
             valid, rejected = split_valid(batch)
-            pieces = pieces_needed(batch.count(), rows_per_piece)
+            touched = touched_buckets(valid)
+            prior = state.before(spark, batch_id, touched)
+            pieces = pieces_needed(rows, rows_per_piece)
             flagged = flag_stuck(
                 valid, kinds, threshold, prior=prior, rows_per_piece=pieces, keep=keep
             )
@@ -116,10 +87,8 @@ def start_clean_stream(
             clean, bad = split_valid(outcome)
             write_clean(clean_rows(clean, kinds), clean_path, batch_id, writer)
             write_rejected(to_rejected_mixed(bad, kinds), rejected_path, batch_id, writer)
-            state.write(
-                state_after(outcome, STATE_KEYS, ["event_timestamp", "offset"], "watched", prior),
-                batch_id,
-            )
+            state.write(next_state(outcome, prior), batch_id)
+            state.forget(spark, batch_id, touched)
             log.info("batch %d: %s", batch_id, counts)
             if on_counts is not None:
                 on_counts(batch_id, counts)

@@ -3,14 +3,17 @@
 from __future__ import annotations
 
 from collections.abc import Iterator, Sequence
+from functools import reduce
 
 import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
 
 from quayside.catalogue import STUCK_THRESHOLD, STUCK_TOLERANCE, struct_of
+from quayside.operators.stuck import IDLE_GROUPS
 
 _STATE = struct_of("last_value DOUBLE, repeat_count BIGINT")
 
@@ -50,9 +53,11 @@ def stuck_stream(
     a late row is compared with the last value processed. ``dedupe_on`` drops a
     key's copies within the batch first.
 
-    A key's rows of one micro-batch meet in one Python call: the source's rate
-    limit bounds them. ``start_clean_stream`` has no such limit and is the one to
-    use for large batches.
+    Rows without key or value pass through unflagged, as in ``stuck_runs``; those
+    without key have no state and are dealt to ``IDLE_GROUPS`` groups. NaN is a value
+    that ends a run. A key's other rows of one micro-batch meet in one Python call:
+    the source's rate limit bounds them. ``start_clean_stream`` has no such limit and
+    is the one to use for large batches.
     """
     keys, order_cols, dedupe_on = list(keys), list(order_cols), list(dedupe_on)
     columns = df.columns
@@ -64,25 +69,48 @@ def stuck_stream(
         ]
     )
 
+    is_double = isinstance(df.schema[value_col].dataType, T.DoubleType)
+
+    def result(rows: pd.DataFrame, run_length: np.ndarray | None, is_stuck) -> pd.DataFrame:
+        lengths = [None] * len(rows) if run_length is None else run_length
+        out = rows[columns].assign(run_length=pd.array(lengths, dtype="Int64"), is_stuck=is_stuck)
+        if is_double:  # a NaN stays one
+            values = rows[value_col].to_numpy(dtype=float, na_value=np.nan)
+            out[value_col] = pd.arrays.FloatingArray(values, rows["_missing"].to_numpy(dtype=bool))
+        return out
+
     def advance(
         key: tuple, frames: Iterator[pd.DataFrame], state: GroupState
     ) -> Iterator[pd.DataFrame]:
+        if key[-1] >= 0:
+            for rows in frames:
+                yield result(rows, None, False)
+            return
         last, count = state.get if state.exists else (None, 0)
-        rows = pd.concat(list(frames)).sort_values(order_cols, kind="stable")
+        parts = [f for f in frames if len(f)]
+        rows = pd.concat(parts).sort_values(order_cols, kind="stable", na_position="first")
         if dedupe_on:
             rows = rows.drop_duplicates(dedupe_on, keep="first")
-        values = rows[value_col].to_numpy(dtype=float, na_value=np.nan)
-        live = ~np.isnan(values)
-        lengths = np.full(len(rows), np.nan)
+        live = ~rows["_missing"].to_numpy(dtype=bool)
+        if not live.all():
+            yield result(rows[~live], None, False)
         if live.any():
-            lengths[live] = run_lengths(values[live], last, count, tol)
-            state.update((float(values[live][-1]), int(lengths[live][-1])))
-        moving = np.abs(np.nan_to_num(values)) > tol
-        yield rows[columns].assign(
-            run_length=pd.array(np.where(live, lengths, np.nan), dtype="Int64"),
-            is_stuck=live & moving & (np.nan_to_num(lengths) >= threshold),
-        )
-
-    return df.groupBy(*keys).applyInPandasWithState(
+            rows = rows[live]
+            values = rows[value_col].to_numpy(dtype=float, na_value=np.nan)
+            lengths = run_lengths(values, last, count, tol)
+            state.update((float(values[-1]), int(lengths[-1])))
+            moving = ~(np.abs(values) <= tol)
+            yield result(rows, lengths, moving & (lengths >= threshold))
+
+    no_key = reduce(lambda a, b: a | b, [F.col(c).isNull() for c in keys])
+    spread = F.pmod(F.xxhash64(*order_cols), F.lit(IDLE_GROUPS))
+    # pandas shows a missing number as NaN, so the two are told apart before
+    marked = df.withColumns(
+        {
+            "_missing": F.col(value_col).isNull(),
+            "_idle": F.when(no_key, spread).otherwise(F.lit(-1)).cast("int"),
+        }
+    )
+    return marked.groupBy(*keys, "_idle").applyInPandasWithState(
         advance, schema, _STATE, "append", GroupStateTimeout.NoTimeout
     )

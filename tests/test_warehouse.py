@@ -221,7 +221,7 @@ def test_monitor(spark):
     facts = warehouse.rejected_hourly(rejected, datetime(2026, 1, 1), datetime(2026, 1, 2))
     monitor = serving.Monitor(table, lambda k: fact(spark), dim(spark, "A"), rejected, facts)
     unknown = monitor.latest("boat")
-    assert unknown.data is None and unknown.error == "Aucun équipement de ce type : boat"
+    assert unknown.data is None and unknown.error == "unknown kind of equipment: boat"
     assert opened == []
     answer = monitor.latest("elevator", limit="x")
     assert answer.about["numeric_fields"] == ["speed", "load_value", "temperature", "energy", "engine_hours"]
