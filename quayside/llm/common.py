@@ -14,6 +14,8 @@ from quayside.session import ship, stage
 
 #: Rows and bytes of one Arrow batch, as texts may be long.
 BATCH_ROWS, BATCH_BYTES = 256, 8 << 20
+#: Rows up to which a staged table of a row per source or language is sent to all executors.
+SENT_ROWS = 10_000
 
 
 def prepare(spark: SparkSession) -> SparkSession:
@@ -61,6 +63,11 @@ def by_rows(spark: SparkSession, n: int, rows_per_task: int) -> int:
     return max(int(spark.conf.get("spark.sql.shuffle.partitions")), -(-n // rows_per_task), 1)
 
 
+def sent_if_small(staged: DataFrame) -> DataFrame:
+    """``staged``, marked for a broadcast if its rows are counted to be few; else joined by a shuffle."""
+    return F.broadcast(staged) if staged.limit(SENT_ROWS + 1).count() <= SENT_ROWS else staged
+
+
 def mapped(
     df: DataFrame,
     function: Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]],

@@ -13,7 +13,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from quayside.llm.common import by_rows
+from quayside.llm.common import by_rows, sent_if_small
+from quayside.session import stage
 
 SEED = 17
 #: Without given weights a source weighs its size to this power, so that small ones gain.
@@ -39,9 +40,9 @@ def source_rates(docs: DataFrame, weights: dict[str, float] | None = None) -> Da
     """``source, size, rate``; null is a source like any other.
 
     ``weights`` names target weights, and sources it does not name get none of the
-    corpus. Sizes are counted over all documents.
+    corpus. Sizes are counted over all documents, once: a row per source is staged.
     """
-    sizes = docs.groupBy("source").agg(F.sum(size_of()).alias("size"))
+    sizes = stage(docs.groupBy("source").agg(F.sum(size_of()).alias("size")), "source-sizes")
     if weights is None:
         weight = F.pow(F.col("size").cast("double"), F.lit(POWER))
     else:
@@ -82,12 +83,14 @@ def mix(docs: DataFrame, weights: dict[str, float] | None = None, seed: int = SE
     shuffle_key are replaced.
     """
     spark = docs.sparkSession
-    drawn = distributions(source_rates(docs, weights)).select(F.struct("*").alias("_dealt"))
-    draws = F.aggregate(
+    rates = stage(source_rates(docs, weights), "source-rates")
+    total = rates.agg(F.sum("size")).first()[0] or 0
+    drawn = sent_if_small(distributions(rates).select(F.struct("*").alias("_dealt")))
+    numbers = F.transform(
         F.sequence(F.lit(0), F.col("_dealt.parts") - 1),
-        F.lit(0),
-        lambda n, part: n + F.size(F.filter("_dealt.cdf", lambda c: c <= uniform(F.lit(str(seed)), doc_key(), part.cast("string")))),
+        lambda part: uniform(F.lit(str(seed)), doc_key(), part.cast("string")),
     )
+    draws = F.aggregate(numbers, F.lit(0), lambda n, u: n + F.size(F.filter("_dealt.cdf", lambda c: c <= u)))
     kept = [c for c in docs.columns if c not in ("copy", "shuffle_key")]
     copies = (
         docs.select(*kept)
@@ -97,7 +100,6 @@ def mix(docs: DataFrame, weights: dict[str, float] | None = None, seed: int = SE
         .select(*kept, F.explode(F.sequence(F.lit(1), F.col("_n"))).alias("copy"))
         .withColumn("shuffle_key", F.md5(F.concat_ws(":", F.lit(f"{seed}-order"), doc_key(), F.col("copy").cast("string"))))
     )
-    total = docs.agg(F.sum(size_of())).first()[0] or 0
     return copies.repartitionByRange(by_rows(spark, total, TASK_CHARS), "shuffle_key").sortWithinPartitions("shuffle_key")
 
 
