@@ -21,11 +21,12 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from quayside.llm.common import batch, mapped, prepare, remainder, texts_of
+from quayside.llm.common import batch, mapped, prepare, remainder, sent_if_small, texts_of
+from quayside.session import stage
 
 GRAMS = 1 << 14
-#: Most documents per language that are learned from.
-SAMPLE = 600
+#: Most documents per language, and of all languages together, that are learned from.
+SAMPLE, TOTAL = 600, 6000
 #: Texts whose best language scores below this are ambiguous.
 CERTAIN = 0.5
 NONE = "und"
@@ -149,17 +150,18 @@ def fit(langs: list[str], numbers: list[np.ndarray], counts: list[np.ndarray]) -
 def train(docs: DataFrame, sample: int = SAMPLE) -> Decoder | None:
     """Learn from text and lang of documents that are not held out; None without any.
 
-    At most ``sample`` documents of each language are read, those first by a hash of
-    doc_id. Ids are chosen before texts are read; they are few enough to be broadcast.
+    At most ``sample`` documents of each language are read, fewer of each where languages
+    are many (``TOTAL``, but one at least), those first by a hash of doc_id. Ids are chosen before texts are read; they are few enough to be broadcast.
     """
     named = docs.filter("doc_id IS NOT NULL AND lang IS NOT NULL").select(F.col("doc_id").cast("long").alias("doc_id"), F.col("lang").cast("string").alias("lang"))
     order = Window.partitionBy("lang").orderBy(F.xxhash64("doc_id"), "doc_id")
     # a language may hold a third of all rows: a first cut by hash keeps some 4 * sample rows of each
-    sizes = named.groupBy("lang").agg(F.count("*").alias("n"))
+    sizes = stage(named.groupBy("lang").agg(F.count("*").alias("n")), "languages")
+    sample = min(sample, max(TOTAL // max(sizes.count(), 1), 1))
     draw = (F.xxhash64("doc_id") / F.lit(2.0**64) + 0.5) * F.col("n") <= 4 * sample
     chosen = (
         named.filter(remainder(F.col("doc_id")) != 2)
-        .join(F.broadcast(sizes), "lang")  # a row per language
+        .join(sent_if_small(sizes), "lang")
         .filter(draw)
         .withColumn("place", F.row_number().over(order))
         .filter(F.col("place") <= sample)
