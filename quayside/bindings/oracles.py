@@ -405,6 +405,7 @@ FROM events""",
     "clean_messages": VERDICTS,
     "stream_clean": VERDICTS,
     "batch_loads_stuck": VERDICTS,
+    "compacted_clean": VERDICTS,
     "latest_many": f"SELECT equipment_id, event_timestamp FROM ({VERDICTS})"
     f" WHERE topic = '{KINDS[0].topic}' AND reject_reason IS NULL"
     f" ORDER BY event_timestamp DESC, equipment_id DESC LIMIT {MANY}",

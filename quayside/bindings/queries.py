@@ -32,7 +32,15 @@ from quayside.operators.publish import to_keyed_json
 from quayside.operators.stuck import state_after, stuck_runs
 from quayside.plans import serving, warehouse
 from quayside.plans.cleaning import clean_batch
-from quayside.plans.etl import Tables, clean_to_tables, ingest_files, load_hours, raw_messages
+from quayside.plans.etl import (
+    Tables,
+    clean_to_tables,
+    drop_merged,
+    ingest_files,
+    load_hours,
+    merge_batches,
+    raw_messages,
+)
 from quayside.session import configure, stage, workspace
 from quayside.sinks import tables
 from quayside.sources import raw
@@ -518,7 +526,7 @@ def route_by_type(spark: SparkSession, sf_dir: str) -> DataFrame:
 def stored_verdicts(spark: SparkSession, clean: str, rejected: str) -> DataFrame:
     """What the clean table and the dead letter hold together."""
     topic = F.concat(F.col("equipment_type"), F.lit("_data")).alias("topic")
-    good = spark.read.parquet(clean).select(
+    good = tables.open_clean(spark, clean).select(
         topic, "equipment_id", "event_timestamp", F.lit(None).cast("string").alias("reject_reason")
     )
     return good.unionByName(verdicts(tables.read_rejected(spark, rejected)))
@@ -681,6 +689,17 @@ def batch_loads_stuck(spark: SparkSession, sf_dir: str) -> DataFrame:
     return stored_verdicts(spark, stored.clean, stored.rejected)
 
 
+@query
+def compacted_clean(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Three loads, the first two merged to one set of files, their own folders deleted."""
+    stored = Tables(workspace(spark, "merged"))
+    for number, part in enumerate(slices(telemetry(spark, sf_dir))):
+        clean_to_tables(part, stored, batch_id=number)
+    merge_batches(spark, stored, before=2)
+    drop_merged(spark, stored)
+    return stored_verdicts(spark, stored.clean, stored.rejected)
+
+
 @query
 def latest_many(spark: SparkSession, sf_dir: str) -> DataFrame:
     """More rows than a request may ask for, from the newest days of a stored table."""

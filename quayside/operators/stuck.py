@@ -22,6 +22,8 @@ from pyspark.sql import functions as F
 from quayside.catalogue import STUCK_THRESHOLD, STUCK_TOLERANCE
 
 ROWS_PER_PIECE = 5_000_000
+# From this many rows per piece on, hot keys are few enough to broadcast: a millionth of the rows.
+FEW_HOT_KEYS = 1_000_000
 # Slot widths a hot key may be cut into, in minutes; the widest that fits is taken.
 SLOT_MINUTES = (1440, 360, 60, 10, 1)
 # Rows without key or value take no part; they are spread over this many groups.
@@ -47,6 +49,11 @@ def _minute(ts: Column) -> Column:
     return F.floor(F.unix_micros(ts.cast("timestamp")) / F.lit(60_000_000))
 
 
+def _sent(hot: DataFrame, rows_per_piece: int) -> DataFrame:
+    """``hot`` has fewer rows than ``rows / rows_per_piece``; with small pieces Spark decides."""
+    return F.broadcast(hot) if rows_per_piece >= FEW_HOT_KEYS else hot
+
+
 def hot_slots(
     rows: DataFrame, keys: Sequence[str], ts_col: str, rows_per_piece: int
 ) -> DataFrame:
@@ -59,7 +66,7 @@ def hot_slots(
     counts = rows.groupBy(*keys).agg(F.count("*").alias("_n"))
     hot = counts.filter(F.col("_n") > rows_per_piece).select(*keys)
     minutes = (
-        rows.join(F.broadcast(hot), list(keys), "left_semi")
+        rows.join(_sent(hot, rows_per_piece), list(keys), "left_semi")
         .groupBy(*keys, _minute(F.col(ts_col)).alias("_minute"))
         .agg(F.count("*").alias("_n"))
     )
@@ -158,7 +165,7 @@ def stuck_runs(
     else:
         live = df.filter(~idle).select(*keys, order_cols[0])
         slots = hot_slots(live, keys, order_cols[0], rows_per_piece)
-        frame = df.join(F.broadcast(slots), keys, "left")
+        frame = df.join(_sent(slots, rows_per_piece), keys, "left")
         slot = F.floor(_minute(F.col(order_cols[0])) / F.col("_width"))
         piece = F.coalesce(slot, F.lit(_WHOLE))
     frame = frame.withColumns({"_idle": idle, "_piece": F.when(idle, spread).otherwise(piece)})

@@ -23,7 +23,7 @@ from quayside.plans import warehouse
 from quayside.plans.cleaning import clean_validated, next_state, validate_messages
 from quayside.plans.serving import Monitor
 from quayside.session import stage
-from quayside.sinks import tables
+from quayside.sinks import batches, tables
 from quayside.sinks.external import publish
 from quayside.sinks.state import StuckState, touched_buckets
 from quayside.sources import raw
@@ -91,6 +91,31 @@ def clean_to_tables(
     state.write(next_state(outcome, prior), batch_id)
 
 
+def merge_batches(
+    spark: SparkSession,
+    stored: Tables,
+    before: int,
+    writer: str = "batch",
+    kinds: Sequence[Kind] = KINDS,
+) -> None:
+    """Fewer files: merge the batches below ``before`` of one writer, in both tables.
+
+    Readers see each row once all the while. The batches stay until ``drop_merged``.
+    ``kinds`` are all kinds that the clean table holds.
+    """
+    for path, schema, partitions in (
+        (stored.clean, tables.clean_schema(kinds), tables.CLEAN_PARTITIONS),
+        (stored.rejected, tables.REJECTED_SCHEMA, tables.REJECTED_PARTITIONS),
+    ):
+        batches.merge(spark, path, schema, partitions, before, writer)
+
+
+def drop_merged(spark: SparkSession, stored: Tables) -> None:
+    """Delete the batches that merges replaced, once queries opened before have ended."""
+    for path in (stored.clean, stored.rejected):
+        batches.drop_merged(spark, path)
+
+
 def ingest_files(
     spark: SparkSession,
     path: str,

@@ -18,6 +18,7 @@ from pyspark.sql import types as T
 from quayside.catalogue import KINDS, Kind, owners, resolve, struct_of
 from quayside.operators.merge import raw_upsert, upsert_by_key
 from quayside.session import stage
+from quayside.sinks import batches
 from quayside.sources.raw import RAW_KEYS, text_days
 
 FACT_PARTITIONS = ("date_key",)
@@ -29,6 +30,8 @@ REJECTED_SCHEMA = struct_of(
 _CLEAN_EXTRA = struct_of(
     "processed_at TIMESTAMP, writer STRING, batch_id BIGINT, equipment_type STRING, event_date DATE"
 )
+CLEAN_PARTITIONS = ("equipment_type", "event_date")
+REJECTED_PARTITIONS = ("rejected_date",)
 RAW_PARTITIONS = ("equipment_type", "day_bucket")
 
 
@@ -56,6 +59,7 @@ def write_batch(
     Loads and streams number their batches independently, so each has its own folder:
     no writer ever replaces what another one has written.
     """
+    batches.refuse_merged(df.sparkSession, path, batch_id, writer)
     (
         rebalanced(df, partitions)
         .write.mode("overwrite")
@@ -86,12 +90,12 @@ def clean_rows(
 
 
 def write_clean(df: DataFrame, path: str, batch_id: int, writer: str = "batch") -> None:
-    write_batch(df, path, batch_id, ["equipment_type", "event_date"], writer)
+    write_batch(df, path, batch_id, CLEAN_PARTITIONS, writer)
 
 
 def write_rejected(df: DataFrame, path: str, batch_id: int, writer: str = "batch") -> None:
     dated = df.withColumn("rejected_date", F.to_date("rejected_at"))
-    write_batch(dated, path, batch_id, ["rejected_date"], writer)
+    write_batch(dated, path, batch_id, REJECTED_PARTITIONS, writer)
 
 
 def clean_schema(kinds: Sequence[Kind] = KINDS) -> T.StructType:
@@ -104,7 +108,7 @@ def clean_schema(kinds: Sequence[Kind] = KINDS) -> T.StructType:
 
 def open_clean(spark: SparkSession, path: str, kinds: Sequence[Kind] = KINDS) -> DataFrame:
     """The clean table of all kinds; its files are listed once, here."""
-    return spark.read.schema(clean_schema(kinds)).parquet(path)
+    return batches.read(spark, path, clean_schema(kinds))
 
 
 def clean_of_kind(clean: DataFrame, kind: str | Kind) -> DataFrame:
@@ -119,7 +123,7 @@ def read_clean(spark: SparkSession, path: str, kind: str | Kind) -> DataFrame:
 
 
 def read_rejected(spark: SparkSession, path: str) -> DataFrame:
-    return spark.read.schema(REJECTED_SCHEMA).parquet(path).drop("writer", "batch_id")
+    return batches.read(spark, path, REJECTED_SCHEMA).drop("writer", "batch_id")
 
 
 def read_fact(spark: SparkSession, path: str, kind: str | Kind) -> DataFrame:
@@ -186,7 +190,7 @@ def upsert_fact(
             emptied = [r.date_key for r in days.join(df, "date_key", "left_anti").collect()]
     _overwrite_partitions(df, path, FACT_PARTITIONS)
     for day in emptied:
-        _remove(df.sparkSession, f"{path}/date_key={day}")
+        batches.remove(df.sparkSession, f"{path}/date_key={day}")
 
 
 def upsert_raw_table(new: DataFrame, path: str, seq_col: str) -> None:
@@ -212,13 +216,6 @@ def _touched(
     return existing.filter(inside).join(touched, list(partitions), "left_semi")
 
 
-def _remove(spark: SparkSession, folder: str) -> None:
-    """Delete a partition's folder: an overwrite leaves partitions it has no rows for."""
-    jvm = spark.sparkContext._jvm
-    target = jvm.org.apache.hadoop.fs.Path(folder)
-    target.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(target, True)
-
-
 def _overwrite_partitions(df: DataFrame, path: str, partitions: Sequence[str]) -> None:
     (
         rebalanced(df, partitions)

@@ -1,14 +1,16 @@
 """Writes that must not lose what others wrote, nor keep what is gone."""
 
+import glob
 from datetime import datetime
 
+import pytest
 from helpers import elevator_messages, message
 from pyspark.sql import functions as F
 
-from quayside.plans.etl import Tables, clean_to_tables
+from quayside.plans.etl import Tables, clean_to_tables, drop_merged, merge_batches
 from quayside.plans.warehouse import rejected_hourly
 from quayside.session import workspace
-from quayside.sinks import tables
+from quayside.sinks import batches, tables
 from quayside.streaming.clean import start_clean_stream
 
 
@@ -40,6 +42,42 @@ def test_loads_and_streams_keep_each_others_rows(spark):
     assert ids(spark, stored) == (["A", "B", "C", "D"], 2)
 
 
+def test_merged_batches_are_read_once(spark):
+    stored = Tables(workspace(spark, "merges"))
+
+    def files():
+        return sum(len(glob.glob(f"{f.path}/*/*/*.parquet")) for f in batches.current(spark, stored.clean))
+
+    for number, name in ((3, "D"), (4, "E"), (5, "F")):
+        load(spark, stored, name, number)
+    assert files() == 3
+    merge_batches(spark, stored, before=5)
+    assert ids(spark, stored) == (["D", "E", "F"], 3)  # though the merged folders are still there
+    assert files() == 2  # one day of one kind: the merge's file and that of batch 5
+    with pytest.raises(ValueError, match="has been merged"):
+        load(spark, stored, "E", 4)
+    load(spark, stored, "A", 0)  # below an earlier merge
+    merge_batches(spark, stored, before=6)  # a single batch follows the merge: nothing to do
+    load(spark, stored, "G", 6)
+    merge_batches(spark, stored, before=7)
+    assert ids(spark, stored) == (["A", "D", "E", "F", "G"], 5)
+    drop_merged(spark, stored)
+    assert ids(spark, stored) == (["A", "D", "E", "F", "G"], 5)
+    assert files() == 3 == len(glob.glob(f"{stored.clean}/*/*/*/*/*.parquet"))
+
+
+def test_a_merge_that_was_lost_half_way_is_not_read(spark):
+    stored = Tables(workspace(spark, "lost-merge"))
+    for number, name in enumerate("AB"):
+        load(spark, stored, name, number)
+    merge_batches(spark, stored, before=2)
+    batches.remove(spark, f"{stored.clean}/writer=merged-batch-0/batch_id=1/_SUCCESS")
+    assert ids(spark, stored) == (["A", "B"], 2)
+    drop_merged(spark, stored)  # keeps the batches of the clean table, as their merge did not end
+    merge_batches(spark, stored, before=2)
+    assert ids(spark, stored) == (["A", "B"], 2)
+
+
 def fact(spark, rows):
     return spark.createDataFrame(rows, "equipment_key bigint, date_key int, hour_key int, n bigint")
 
