@@ -406,6 +406,7 @@ FROM events""",
     "stream_clean": VERDICTS,
     "batch_loads_stuck": VERDICTS,
     "compacted_clean": VERDICTS,
+    "load_then_stream": VERDICTS,
     "latest_many": f"SELECT equipment_id, event_timestamp FROM ({VERDICTS})"
     f" WHERE topic = '{KINDS[0].topic}' AND reject_reason IS NULL"
     f" ORDER BY event_timestamp DESC, equipment_id DESC LIMIT {MANY}",
@@ -421,13 +422,32 @@ FROM events""",
     "topic_profile": f"{ctes(EV)}SELECT list_extract({[k.topic for k in KINDS]},"
     f" CAST(user_id % {len(KINDS)} AS INTEGER) + 1) AS topic, count(*) AS row_count,"
     " count(DISTINCT user_id) AS equipment_count FROM ev GROUP BY 1",
-    "union_rejects": kind_ctes(
-        KINDS[0], runs("clean_elevator", "equipment_id", 'event_timestamp, "offset"', "speed")
+    "union_rejects": ctes(
+        EV,
+        *[
+            c
+            for k in KINDS
+            for c in (
+                message_cte(k),
+                checked_cte(k),
+                clean_cte(k),
+                runs(
+                    f"clean_{k.name}",
+                    "equipment_id",
+                    'event_timestamp, "offset"',
+                    k.clean_name(k.watched),
+                    f"runs_{k.name}",
+                ),
+            )
+        ],
     )
-    + """SELECT "offset", equipment_id, reject_reason, NULL::BIGINT AS run_length
-FROM chk_elevator WHERE reject_reason IS NOT NULL
-UNION ALL SELECT "offset", equipment_id, 'capteur_bloque', run_length FROM runs
-WHERE run_length >= 5 AND abs(speed) > 1e-9""",
+    + "\nUNION ALL ".join(
+        f"SELECT '{k.name}' AS equipment_type, \"offset\", equipment_id, reject_reason,"
+        f" NULL::BIGINT AS run_length FROM chk_{k.name} WHERE reject_reason IS NOT NULL"
+        f"\nUNION ALL SELECT '{k.name}', \"offset\", equipment_id, 'capteur_bloque', run_length"
+        f" FROM runs_{k.name} WHERE run_length >= 5 AND abs({k.clean_name(k.watched)}) > 1e-9"
+        for k in KINDS
+    ),
     "stuck_runs": RUN_ROWS,
     "stuck_runs_split": RUN_ROWS,
     "stuck_stream": RUN_ROWS,

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Callable, Sequence
 from datetime import datetime, timedelta
-from functools import wraps
+from functools import reduce, wraps
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -312,15 +312,23 @@ def topic_profile(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query
 def union_rejects(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Validation rejects and stuck rows of the elevators, one lacking ``run_length``."""
-    elevator = KINDS[0]
-    valid, rejected = quality.split_valid(checked_messages(spark, sf_dir, elevator))
-    survivors = dedupe_first(valid, ["equipment_id", "event_timestamp"], ["offset"])
-    runs = stuck_runs(survivors, ["equipment_id"], ["event_timestamp", "offset"], "speed")
-    stuck = runs.filter("is_stuck").withColumn("reject_reason", F.lit("capteur_bloque"))
-    return quality.union_rejects(rejected, stuck).select(
-        "offset", "equipment_id", "reject_reason", "run_length"
-    )
+    """Validation rejects and stuck rows of each kind, one side lacking ``run_length``."""
+
+    def of_kind(kind: Kind) -> DataFrame:
+        valid, rejected = quality.split_valid(checked_messages(spark, sf_dir, kind))
+        survivors = dedupe_first(valid, ["equipment_id", "event_timestamp"], ["offset"])
+        order = ["event_timestamp", "offset"]
+        runs = stuck_runs(survivors, ["equipment_id"], order, kind.watched)
+        stuck = runs.filter("is_stuck").withColumn("reject_reason", F.lit("capteur_bloque"))
+        return quality.union_rejects(rejected, stuck).select(
+            F.lit(kind.name).alias("equipment_type"),
+            "offset",
+            "equipment_id",
+            "reject_reason",
+            "run_length",
+        )
+
+    return reduce(DataFrame.unionByName, map(of_kind, KINDS))
 
 
 # --- sequences and keys ----------------------------------------------------------------
@@ -867,6 +875,27 @@ def stream_clean(spark: SparkSession, sf_dir: str) -> DataFrame:
     return stored_verdicts(spark, clean, rejected)
 
 
+@query
+def load_then_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Three kinds loaded as a batch, then three streamed into the same tables: rows of both."""
+    stored, home = Tables(workspace(spark, "both")), workspace(spark, "both-stream")
+    messages = telemetry(spark, sf_dir)
+    loaded = F.col("topic").isin([k.topic for k in KINDS[:3]])
+    clean_to_tables(messages.filter(loaded), stored, batch_id=0)
+
+    def start():
+        return start_clean_stream(
+            stream_source(spark, fmt="parquet", path=f"{home}/inbox"),
+            clean_path=stored.clean,
+            rejected_path=stored.rejected,
+            checkpoint=f"{home}/checkpoint",
+            trigger=ONCE,
+        )
+
+    replay([messages.filter(~loaded)], f"{home}/inbox", start)
+    return stored_verdicts(spark, stored.clean, stored.rejected)
+
+
 @query("stuck_stream")
 def stuck_stream_levels(spark: SparkSession, sf_dir: str) -> DataFrame:
     parts = slices(levels(spark, sf_dir), "event_timestamp")
