@@ -99,3 +99,19 @@ def test_language_of_odd_rows(spark, sf_dir):
     kept = language.keep_identified(docs)
     assert kept.columns == docs.columns and not {-1, -2, -3} & {r.doc_id for r in kept.collect()}
     assert language.keep_identified(known.limit(0)).collect() == []
+
+
+def test_languages_share_the_bound_of_the_sample(spark, monkeypatch):
+    rows = [(i, f"word {'abcd'[i % 4] * 5}", "abcd"[i % 4], None, None) for i in range(200)]
+    read = []
+
+    def fit(langs, numbers, counts):
+        read.extend(langs)
+        return fitted(langs, numbers, counts)
+
+    fitted = language.fit
+    monkeypatch.setattr(language, "fit", fit)
+    monkeypatch.setattr(language, "TOTAL", 12)
+    decoder = language.train(spark.createDataFrame(rows, DOCS))
+    assert decoder.languages == list("abcd")
+    assert all(0 < read.count(x) <= 3 for x in "abcd")

@@ -7,7 +7,7 @@ import numpy as np
 import pytest
 from tokenizers import Tokenizer
 
-from quayside.llm import mixing, token_files
+from quayside.llm import common, mixing, token_files
 from quayside.llm.queries import op3_token_files, op6_mix, table, tokenizer_path
 from quayside.session import workspace
 
@@ -111,3 +111,11 @@ def test_mix_is_shuffled_and_repeatable(spark, sf_dir):
     assert keys == sorted(keys) and len(set(keys)) == len(keys)
     ids = [r.doc_id for r in rows]
     assert ids != sorted(ids) and rows == op6_mix(spark, sf_dir).collect()
+
+
+def test_many_sources_are_joined_by_a_shuffle(spark, monkeypatch):
+    rows = [(i, "x" * (i % 7), ("a", "b", None)[i % 3]) for i in range(60)]
+    docs = spark.createDataFrame(rows, DOCS)
+    few = mixing.mix(docs).collect()
+    monkeypatch.setattr(common, "SENT_ROWS", 0)
+    assert mixing.mix(docs).collect() == few
