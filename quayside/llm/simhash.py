@@ -108,6 +108,11 @@ def golay_keys(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield batch(key=np.concatenate(keys), fp=np.concatenate(prints))
 
 
+def differing(one: np.ndarray, two: np.ndarray | np.int64) -> np.ndarray:
+    """Bits that differ, of all 64: numpy counts those of a signed number's absolute value."""
+    return np.bitwise_count((one ^ two).view(np.uint64))
+
+
 def forest(fp: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """Links of a spanning forest over distinct fingerprints.
 
@@ -120,7 +125,7 @@ def forest(fp: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
             front, rest = rest[:1], rest[1:]
         reached = []
         for one in front:
-            near = np.bitwise_count(rest ^ one) <= DISTANCE
+            near = differing(rest, one) <= DISTANCE
             if near.any():
                 hit = rest[near]
                 a.append(np.full(len(hit), one))
@@ -140,7 +145,7 @@ def link_run(groups: np.ndarray, fp: np.ndarray) -> pa.RecordBatch:
     size = np.repeat(sizes, sizes)
     a, b = [fp[:0]], [fp[:0]]
     for by in range(1, 8):  # groups of up to 8 all at once
-        hit = np.flatnonzero((groups[by:] == groups[:-by]) & (size[by:] <= 8) & (np.bitwise_count(fp[by:] ^ fp[:-by]) <= DISTANCE))
+        hit = np.flatnonzero((groups[by:] == groups[:-by]) & (size[by:] <= 8) & (differing(fp[by:], fp[:-by]) <= DISTANCE))
         a.append(fp[hit])
         b.append(fp[hit + by])
     for head, n in zip(heads[sizes > 8].tolist(), sizes[sizes > 8].tolist(), strict=True):

@@ -245,6 +245,15 @@ def test_links_as_by_hand(spark, monkeypatch, limit):
     assert {i: top(i) for i in ids} == components_by_hand(ids)
 
 
+def test_links_over_the_top_bit(spark):
+    """Prints that differ in bit 63 and a low bit, and one that is 5 bits away from both."""
+    low, high, far = 7, 6 - (1 << 63), 7 ^ 0x1F << 30
+    links = simhash.fingerprint_links(spark.createDataFrame([(low,), (high,), (far,)], "fp long")).collect()
+    assert [tuple(r) for r in links] == [(high, low)]
+    one, two = simhash.forest(np.array([high, low, far]))
+    assert (one.tolist(), two.tolist()) == ([high], [low])
+
+
 def test_near_duplicates_of_odd_tables(spark):
     assert simhash.near_duplicates(spark.createDataFrame([], DOCS)).collect() == []
     rows = [(3, None, 1), (2, "", 1), (9, words(90, 1), 1), (4, words(90, 1), 1), (4, words(90, 1), 1), (None, "x", 1)]
