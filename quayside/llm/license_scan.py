@@ -73,6 +73,8 @@ RULES = (
 HINT = "licen|software|redistribut|copyright|rights reserved"
 #: Sentences end at these marks before white space or the end, and at line ends.
 STOP, LINE = r"[.!?;:]+([ \t\r\n]|\z)", "\n"
+#: This colon ends no sentence: the identifier follows it.
+TAG = "spdx-license-identifier:"
 
 
 def license_scan(docs: DataFrame) -> DataFrame:
@@ -83,7 +85,7 @@ def license_scan(docs: DataFrame) -> DataFrame:
     No shuffle: each row is settled where it is read.
     """
     known = F.create_map(*[F.lit(x) for pair in SENTENCES.items() for x in pair])
-    sentences = F.split(F.regexp_replace("lower", STOP, LINE), LINE, -1)
+    sentences = F.split(F.regexp_replace(F.replace("lower", F.lit(TAG), F.lit(TAG[:-1] + " ")), STOP, LINE), LINE, -1)
     ids = F.transform(sentences, lambda s: F.try_element_at(known, F.trim(F.regexp_replace(s, "[^a-z0-9]+", " "))))
     nothing = F.array().cast("array<string>")
     found = F.when(F.col("lower").rlike(HINT), F.filter(ids, lambda x: x.isNotNull())).otherwise(nothing)

@@ -112,6 +112,17 @@ def test_licences(spark):
     assert license_scan.license_scan(docs.limit(0)).collect() == []
 
 
+def test_spdx_lines(spark):
+    tags = {
+        "SPDX-License-Identifier: MIT": "MIT", "# SPDX-License-Identifier: Apache-2.0\nimport os": "Apache-2.0",
+        "// SPDX-License-Identifier: BSD-3-Clause\r\n": "BSD-3-Clause", "/* SPDX-License-Identifier: BSD-2-Clause */\nint x;": "BSD-2-Clause",
+        "<!-- SPDX-License-Identifier:  GPL-3.0-only -->": "GPL-3.0", "x\n * SPDX-License-Identifier:\tGPL-3.0-or-later\n */": "GPL-3.0-or-later",
+        "SPDX-License-Identifier:MIT": "MIT",
+    }
+    docs = spark.createDataFrame(list(enumerate(tags)), DOCS)
+    assert {r.doc_id: r.licenses for r in license_scan.license_scan(docs).collect()} == {i: [x] for i, x in enumerate(tags.values())}
+
+
 def test_licence_plan_is_native(spark):
     docs = spark.createDataFrame([(1, "x")], DOCS)
     plan = license_scan.license_scan(docs)._jdf.queryExecution().executedPlan().toString()
