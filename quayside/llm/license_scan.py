@@ -1,8 +1,9 @@
 """Licence recognition by sentences and rules, with DataFrame functions only.
 
 A text is cut into sentences, which are normalised (lower case, letters and digits with
-single spaces). Known licence sentences have identifiers; the identifiers of a text, in
-order, are matched against rules. A rule is a run of identifiers; rules are tried in the
+single spaces), so marks of comments go. A known licence sentence may be wrapped over lines
+and may start or end at any line. Known sentences have identifiers; the identifiers of a
+text, in order, are matched against rules. A rule is a run of identifiers; rules are tried in the
 order listed, longest texts first, and what one has matched is no longer open to others.
 """
 
@@ -70,11 +71,15 @@ RULES = (
     ("ISC", ("ISCgrant",)),
 )
 #: Every known sentence holds one of these, so other texts are not cut at all.
-HINT = "licen|software|redistribut|copyright|rights reserved"
-#: Sentences end at these marks before white space or the end, and at line ends.
-STOP, LINE = r"[.!?;:]+([ \t\r\n]|\z)", "\n"
+HINT = "licen|software|redistribut|copyright|rights[^a-z0-9]+reserved"
+#: Sentences end at these marks before white space or the end, and at blank lines or lines of marks alone.
+STOP, BLANK = r"[.!?;:]+([ \t\r\n]|\z)", r"\n[^\p{L}\p{N}\n]*(?=\n)"
 #: This colon ends no sentence: the identifier follows it.
 TAG = "spdx-license-identifier:"
+#: Ends of sentences and lines, in texts of lower case.
+END, LINE = "S", "L"
+#: A known sentence over one or more lines, from and to an end; the longest one first.
+KNOWN = "(?<=[SL])(?:" + "|".join(s.replace(" ", "[ L]") for s in sorted(SENTENCES, key=len, reverse=True)) + ")(?=[SL])"
 
 
 def license_scan(docs: DataFrame) -> DataFrame:
@@ -85,10 +90,14 @@ def license_scan(docs: DataFrame) -> DataFrame:
     No shuffle: each row is settled where it is read.
     """
     known = F.create_map(*[F.lit(x) for pair in SENTENCES.items() for x in pair])
-    sentences = F.split(F.regexp_replace(F.replace("lower", F.lit(TAG), F.lit(TAG[:-1] + " ")), STOP, LINE), LINE, -1)
-    ids = F.transform(sentences, lambda s: F.try_element_at(known, F.trim(F.regexp_replace(s, "[^a-z0-9]+", " "))))
+    # a mark keeps the line end after it, which may start a blank line
+    ends = F.regexp_replace(F.replace("lower", F.lit(TAG), F.lit(TAG[:-1] + " ")), STOP, END + "$1")
+    ends = F.concat(F.lit(END), F.translate(F.regexp_replace(ends, BLANK, END), "\n", LINE), F.lit(END))
+    plain = F.regexp_replace(F.regexp_replace(ends, "[^a-z0-9SL]+", " "), " ?([SL]) ?", "$1")
+    sentences = F.regexp_extract_all(plain, F.lit(KNOWN), F.lit(0))
+    ids = F.transform(sentences, lambda s: F.element_at(known, F.translate(s, LINE, " ")))
     nothing = F.array().cast("array<string>")
-    found = F.when(F.col("lower").rlike(HINT), F.filter(ids, lambda x: x.isNotNull())).otherwise(nothing)
+    found = F.when(F.col("lower").rlike(HINT), ids).otherwise(nothing)
     rows = texts_of(docs).select("doc_id", F.lower("text").alias("lower")).select("doc_id", found.alias("sentence_ids"))
     run = F.concat(F.lit("<"), F.array_join("sentence_ids", "><"), F.lit(">"))
     matched = []

@@ -1,6 +1,7 @@
 """Decontamination, licence scan and top-k search."""
 
 import random
+import textwrap
 
 import numpy as np
 import pytest
@@ -123,6 +124,69 @@ def test_spdx_lines(spark):
     assert {r.doc_id: r.licenses for r in license_scan.license_scan(docs).collect()} == {i: [x] for i, x in enumerate(tags.values())}
 
 
+WRAPPED = {
+    "MIT": (
+        "Permission is hereby granted, free of charge, to any person obtaining a copy of this software and associated documentation files "
+        "(the \"Software\"), to deal in the Software without restriction, including without limitation the rights to use, copy, modify, merge, "
+        "publish, distribute, sublicense, and/or sell copies of the Software, and to permit persons to whom the Software is furnished to do so, "
+        "subject to the following conditions:",
+        "The above copyright notice and this permission notice shall be included in all copies or substantial portions of the Software.",
+        "THE SOFTWARE IS PROVIDED \"AS IS\", WITHOUT WARRANTY OF ANY KIND, EXPRESS OR IMPLIED, INCLUDING BUT NOT LIMITED TO THE WARRANTIES OF "
+        "MERCHANTABILITY, FITNESS FOR A PARTICULAR PURPOSE AND NONINFRINGEMENT. IN NO EVENT SHALL THE AUTHORS BE LIABLE FOR ANY CLAIM.",
+    ),
+    "BSD-3-Clause": (
+        "Redistribution and use in source and binary forms, with or without modification, are permitted provided that the following conditions are met:",
+        "1. Redistributions of source code must retain the above copyright notice, this list of conditions and the following disclaimer.",
+        "2. Redistributions in binary form must reproduce the above copyright notice, this list of conditions and the following disclaimer in "
+        "the documentation and/or other materials provided with the distribution.",
+        "3. Neither the name of the copyright holder nor the names of its contributors may be used to endorse or promote products derived from "
+        "this software without specific prior written permission.",
+    ),
+    "GPL-3.0-or-later": (
+        "This program is free software: you can redistribute it and/or modify it under the terms of the GNU General Public License as published "
+        "by the Free Software Foundation, either version 3 of the License, or (at your option) any later version.",
+    ),
+    "ISC": (
+        "Permission to use, copy, modify, and/or distribute this software for any purpose with or without fee is hereby granted, provided that "
+        "the above copyright notice and this permission notice appear in all copies.",
+    ),
+}
+IDS = {
+    "MIT": ["MITgrant", "MITnotice", "MITwarranty"], "BSD-3-Clause": ["BSDgrant", "BSDsource", "BSDbinary", "BSDendorse"],
+    "GPL-3.0-or-later": ["GPLfree", "GPL3plusGrant"], "ISC": ["ISCgrant"],
+}
+
+
+@pytest.mark.parametrize("width", [40, 72])
+@pytest.mark.parametrize("mark", ["", "# ", "// ", " * ", "## "])
+@pytest.mark.parametrize("end", ["\n", "\r\n"])
+def test_wrapped_licences(spark, width, mark, end):
+    """Paragraphs apart or not, below a heading with no mark at its end."""
+    texts, want = [], []
+    for name, parts in WRAPPED.items():
+        for gap in ([""], []):
+            lines = ["Copyright (c) 2020 Somebody", *gap]
+            for part in parts:
+                lines += [*textwrap.wrap(part, width), *gap]
+            texts.append(end.join((mark + x).rstrip() for x in lines))
+            want.append(([name], IDS[name]))
+    rows = license_scan.license_scan(spark.createDataFrame(list(enumerate(texts)), DOCS)).collect()
+    got = {r.doc_id: (r.licenses, r.sentence_ids) for r in rows}
+    assert [got[i] for i in range(len(texts))] == want
+
+
+def test_sentences_end_at_blank_lines(spark):
+    texts = [
+        "Released under\n\nthe MIT License", "Released under\n# \n# the MIT License", "Released. Under\nthe MIT License.", "All rights\n// reserved",
+        "one\nReleased under the MIT License\ntwo", "xReleased under the MIT License", "Released under the MIT Licenses", "a:\n\nReleased under the\nMIT License",
+        "Released under the MIT License\nAll rights reserved\nall rights reserved", "\n" * 200_000 + "All rights reserved" + " " * 200_000 + "\n" + "*" * 200_000,
+    ]
+    rows = license_scan.license_scan(spark.createDataFrame(list(enumerate(texts)), DOCS)).collect()
+    assert {r.doc_id: r.sentence_ids for r in rows} == {
+        **{i: [] for i in range(len(texts))}, 3: ["AllRights"], 4: ["MITref"], 7: ["MITref"], 8: ["MITref", "AllRights", "AllRights"], 9: ["AllRights"],
+    }
+
+
 def test_licence_plan_is_native(spark):
     docs = spark.createDataFrame([(1, "x")], DOCS)
     plan = license_scan.license_scan(docs)._jdf.queryExecution().executedPlan().toString()
