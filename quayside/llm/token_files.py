@@ -57,11 +57,12 @@ class Encoder:
     a space are cut there too by a plain split, so these take a pattern instead.
     """
 
-    def __init__(self, path: str, width: int):
+    def __init__(self, path: str, width: int, plain: bool = False):
+        """``plain``: as the library does unasked, special tokens' names in a text are those tokens; else ordinary text."""
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
-        self.tokenizer.encode_special_tokens = True  # their names in a text are ordinary text
+        self.tokenizer.encode_special_tokens = not plain
         self.kind = "H" if width == 2 else "I"
         self.words: dict[str, bytes] = {}  # by the word after a space; none has white space at its ends
         self.tails: dict[str, bytes] = {}  # of marks that end words
@@ -109,9 +110,9 @@ class Encoder:
 
 
 @lru_cache(maxsize=1)
-def encoder(path: str, width: int) -> Encoder:
+def encoder(path: str, width: int, plain: bool) -> Encoder:
     """A worker's encoder, which remembers words from batch to batch."""
-    return Encoder(path, width)
+    return Encoder(path, width, plain)
 
 
 def id_width(tokenizer: str) -> int:
@@ -121,11 +122,11 @@ def id_width(tokenizer: str) -> int:
     return 2 if Tokenizer.from_file(tokenizer).get_vocab_size() <= 1 << 16 else 4
 
 
-def encode_rows(tokenizer: str, width: int):
+def encode_rows(tokenizer: str, width: int, plain: bool):
     """Rows ``kind, doc_id, value``: the ids of a document, and its id and length for the index."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encode = encoder(tokenizer, width).encode
+        encode = encoder(tokenizer, width, plain).encode
         for rows in batches:
             docs = rows.column("doc_id").to_pylist()
             ids = encode(rows.column("text").to_pylist())
@@ -174,11 +175,12 @@ def offset_rows(bases: dict[int, int]):
     return run
 
 
-def write_token_files(docs: DataFrame, path: str, tokenizer: str) -> None:
+def write_token_files(docs: DataFrame, path: str, tokenizer: str, plain: bool = False) -> None:
     """Encode ``docs`` and write ids and index below ``path``, which must be new.
 
     ``tokenizer``: its file, which all executors can open. Null texts count as empty;
-    every document ends with id 0, so an empty one is that id alone. Rows without doc_id
+    every document ends with id 0, so an empty one is that id alone. With ``plain`` the
+    names of special tokens in a text are those tokens, else ordinary text. Rows without doc_id
     are left out; rows that repeat a doc_id are written once each, one after another.
     An empty table gives an empty folder.
     """
@@ -186,7 +188,7 @@ def write_token_files(docs: DataFrame, path: str, tokenizer: str) -> None:
     size = texts.agg(F.sum(F.octet_length("text") + 1)).first()[0] or 0
     placed = texts.repartitionByRange(by_rows(spark, size, FILE_BYTES), "doc_id")
     spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(ENCODE_ROWS))
-    rows = mapped(placed, encode_rows(tokenizer, width), "kind string, doc_id long, value binary")
+    rows = mapped(placed, encode_rows(tokenizer, width, plain), "kind string, doc_id long, value binary")
     write_raw(rows.sortWithinPartitions("kind", "doc_id"), f"{path}/data", width, "kind")
     if not size:
         return
@@ -249,9 +251,12 @@ class TokenFiles:
 
 
 def token_table(docs: DataFrame, tokenizer: str) -> DataFrame:
-    """Write ``docs`` as token files in the shared folder and describe each document from them."""
+    """Write ``docs`` as token files in the shared folder and describe each document from them.
+
+    The ids are those of the library's plain call, with special tokens where a text names them.
+    """
     spark, path = docs.sparkSession, workspace(docs.sparkSession, "tokens")
     if texts_of(docs).isEmpty():
         return spark.createDataFrame([], TABLE)
-    write_token_files(docs, path, tokenizer)
+    write_token_files(docs, path, tokenizer, plain=True)
     return read_token_files(spark, path, tokenizer)

@@ -66,6 +66,15 @@ def test_files_of_odd_rows(spark, library):
     assert [zlib.crc32(files[i].astype("<u4").tobytes()) for i in range(len(files))] == [r[3] for r in got]
 
 
+def test_table_has_the_plain_calls_ids(spark):
+    """Named special tokens too, with a tokenizer as it comes from its file."""
+    plain = Tokenizer.from_file(tokenizer_path())
+    marked = ["a <|endoftext|> b", "x<|endoftext|>y  <|endoftext|>.", "\n<|endoftext|>\n <|endoftext|><|endoftext|> end"]
+    texts = list(enumerate(ODD + marked))
+    got = token_files.token_table(spark.createDataFrame([(i, t, "s") for i, t in texts], DOCS), tokenizer_path())
+    assert sorted(map(tuple, got.collect())) == by_hand(plain, texts)
+
+
 def test_empty_table_has_no_tokens(spark):
     empty = token_files.token_table(spark.createDataFrame([], DOCS), tokenizer_path())
     assert empty.collect() == [] and empty.columns == ["doc_id", "start", "n_tokens", "ids_crc32"]
