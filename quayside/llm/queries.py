@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from quayside.llm import decontaminate, language, license_scan, line_dedup, mixing, quality, simhash, suffix_dedup, token_files, topk
+from quayside.llm import decontaminate, language, license_scan, line_dedup, mixing, permutation, quality, simhash, suffix_dedup, token_files, topk
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -86,6 +86,10 @@ def op10_language(spark: SparkSession, sf_dir: str) -> DataFrame:
     return language.identify(docs, language.train(docs))
 
 
+def op13_permutation_index(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return permutation.nearest(table(spark, sf_dir, "embeddings"), F.col("vec_id") % 20 == 0)
+
+
 def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
     import corpus_pipeline
 
@@ -105,6 +109,7 @@ QUERIES: dict[str, Query] = {
         op8_top_k,
         op9_simhash,
         op10_language,
+        op13_permutation_index,
         pipeline,
     )
 }
