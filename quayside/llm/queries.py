@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from quayside.llm import decontaminate, language, license_scan, line_dedup, mixing, permutation, quality, simhash, suffix_dedup, token_files, topk
+from quayside.llm import collocations, decontaminate, language, license_scan, line_dedup, mixing, permutation, quality, simhash, suffix_dedup, token_files, topk
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -86,6 +86,10 @@ def op10_language(spark: SparkSession, sf_dir: str) -> DataFrame:
     return language.identify(docs, language.train(docs))
 
 
+def op11_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return collocations.collocations(table(spark, sf_dir, "documents"))
+
+
 def op13_permutation_index(spark: SparkSession, sf_dir: str) -> DataFrame:
     return permutation.nearest(table(spark, sf_dir, "embeddings"), F.col("vec_id") % 20 == 0)
 
@@ -109,6 +113,7 @@ QUERIES: dict[str, Query] = {
         op8_top_k,
         op9_simhash,
         op10_language,
+        op11_collocations,
         op13_permutation_index,
         pipeline,
     )
@@ -213,9 +218,53 @@ SELECT query_id, rank::INT AS rank, vec_id, score FROM (
 ) WHERE rank <= 10
 """
 
+COLLOCATION_SQL = f"""
+WITH pieces AS (
+    SELECT coalesce(lang, 'und') AS lang, unnest(regexp_split_to_array(
+        translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[.,;:!?\\x0A-\\x0D]')) AS piece
+    FROM documents
+), words AS (
+    SELECT lang, regexp_extract_all(piece, '[^\\x20\\x09]+') AS w FROM pieces
+), one AS (
+    SELECT lang, w, count(*) AS f FROM (SELECT lang, unnest(w) AS w FROM words) GROUP BY ALL
+), two AS (
+    SELECT lang, w, count(*) AS f FROM (
+        SELECT lang, unnest(list_transform(range(1, len(w)), lambda i: w[i:i+1])) AS w FROM words
+    ) GROUP BY ALL HAVING count(*) >= {collocations.LEAST}
+), three AS (
+    SELECT lang, w, count(*) AS f FROM (
+        SELECT lang, unnest(list_transform(range(1, len(w) - 1), lambda i: w[i:i+2])) AS w FROM words
+    ) GROUP BY ALL HAVING count(*) >= {collocations.LEAST}
+), longer AS (
+    SELECT lang, w, max(f) AS f FROM (
+        SELECT lang, w[1:2] AS w, f FROM three UNION ALL SELECT lang, w[2:3], f FROM three
+    ) GROUP BY ALL
+), parts AS (
+    SELECT t.lang, t.w, t.f, 1 AS k, l.f AS l, r.f AS r FROM two t
+    JOIN one l ON l.lang = t.lang AND l.w = t.w[1] JOIN one r ON r.lang = t.lang AND r.w = t.w[2]
+    LEFT JOIN longer x ON x.lang = t.lang AND x.w = t.w WHERE coalesce(100 * x.f < {collocations.INSIDE} * t.f, true)
+    UNION ALL
+    SELECT t.lang, t.w, t.f, 1, l.f, r.f FROM three t
+    JOIN one l ON l.lang = t.lang AND l.w = t.w[1] JOIN two r ON r.lang = t.lang AND r.w = t.w[2:3]
+    UNION ALL
+    SELECT t.lang, t.w, t.f, 2, l.f, r.f FROM three t
+    JOIN two l ON l.lang = t.lang AND l.w = t.w[1:2] JOIN one r ON r.lang = t.lang AND r.w = t.w[3]
+), scored AS (
+    SELECT *, ((1000000 * f::HUGEINT * f) // (l::HUGEINT * r))::BIGINT AS score FROM parts
+), lowest AS (
+    SELECT *, array_to_string(w, ' ') AS phrase FROM scored QUALIFY row_number() OVER (PARTITION BY lang, w ORDER BY score, k) = 1
+), ranked AS (
+    SELECT *, row_number() OVER (PARTITION BY lang ORDER BY score DESC, f DESC, phrase) AS rank FROM lowest
+), sizes AS (
+    SELECT lang, sum(f)::BIGINT AS n FROM one GROUP BY lang
+)
+SELECT lang, rank, phrase, f AS a, l, r, n, score FROM ranked JOIN sizes USING (lang) WHERE rank <= {collocations.FIRST}
+"""
+
 ORACLES: dict[str, str] = {
     "op1_line_dedup": LINE_SQL,
     "op6_mix": MIX_SQL,
     "op7_license_scan": license_sql(),
     "op8_top_k": TOP_SQL,
+    "op11_collocations": COLLOCATION_SQL,
 }
