@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from quayside.llm import collocations, decontaminate, language, license_scan, line_dedup, mixing, permutation, quality, simhash, suffix_dedup, token_files, topk
+from quayside.llm import alignment, collocations, decontaminate, language, license_scan, line_dedup, mixing, permutation, quality, simhash, suffix_dedup, token_files, topk
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -16,10 +16,10 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def tokenizer_path() -> str:
+def tokenizer_path(name: str = "byte_bpe_50k.json") -> str:
     import public_tokenizers
 
-    return str(public_tokenizers.path("byte_bpe_50k.json"))
+    return str(public_tokenizers.path(name))
 
 
 def op1_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -90,6 +90,11 @@ def op11_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
     return collocations.collocations(table(spark, sf_dir, "documents"))
 
 
+def op12_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    return alignment.align(docs, tokenizer_path(), tokenizer_path("piece_bpe_32k.model")).scored()
+
+
 def op13_permutation_index(spark: SparkSession, sf_dir: str) -> DataFrame:
     return permutation.nearest(table(spark, sf_dir, "embeddings"), F.col("vec_id") % 20 == 0)
 
@@ -114,6 +119,7 @@ QUERIES: dict[str, Query] = {
         op9_simhash,
         op10_language,
         op11_collocations,
+        op12_alignment,
         op13_permutation_index,
         pipeline,
     )
