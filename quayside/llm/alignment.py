@@ -217,7 +217,7 @@ class Chunk:
         n = len(packed)
         empty = {name: pa.nulls(n, pa.int64()) for name in ("doc_id", "n_a", "n_b", "n_groups")}
         return batch(
-            kind=["pairs"] * n, chunk=np.full(n, number), number=pa.nulls(n, pa.int32()), **empty,
+            kind=pa.array(["pairs"] * n, pa.string()), chunk=np.full(n, number), number=pa.nulls(n, pa.int32()), **empty,
             n_links=np.add.reduceat(times, bounds).astype(np.int64) if n else pa.nulls(0, pa.int64()), groups_sha256=pa.nulls(n, pa.string()),
             **({"groups": pa.nulls(n, pa.string())} if groups else {}),
             pair=pairs, n_docs=np.diff(ends).astype(np.int32) if n else pa.nulls(0, pa.int32()),

@@ -73,7 +73,7 @@ class Chunk:
             local += list(known.values())[1:]
         none, at = len(words), np.array(local, np.int64)
         yield batch(
-            kind=["words"] * none, chunk=np.full(none, number), lang=pa.array(langs, pa.string()), word=pa.array(words, pa.binary()),
+            kind=pa.array(["words"] * none, pa.string()), chunk=np.full(none, number), lang=pa.array(langs, pa.string()), word=pa.array(words, pa.binary()),
             local=place[at].astype(np.int32), n=counts[at], ids=pa.nulls(none, pa.binary()),
         )
         packed = pa.compress(place[ids].tobytes(), "zstd", asbytes=True)

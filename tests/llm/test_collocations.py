@@ -98,6 +98,7 @@ def test_numbers_beyond_64_bits(spark):
 
 
 def test_no_phrases(spark):
-    docs = spark.createDataFrame([(1, "en", "a b c"), (2, None, None)], DOCS)
+    docs = spark.createDataFrame([(1, "en", "a b c"), (2, None, None), (3, "de", ".")], DOCS).repartition(3)
     assert collocations.collocations(docs).collect() == []
+    assert collocations.collocations(docs.filter("doc_id = 3")).collect() == []
     assert collocations.collocations(docs.limit(0)).collect() == []
