@@ -25,7 +25,7 @@ from quayside.plans.serving import Monitor
 from quayside.session import stage
 from quayside.sinks import batches, tables
 from quayside.sinks.external import publish
-from quayside.sinks.state import StuckState, touched_buckets
+from quayside.sinks.state import StuckState
 from quayside.sources import raw
 
 WRITE_ORDER = "write_order"
@@ -83,12 +83,17 @@ def clean_to_tables(
     spark, state = messages.sparkSession, StuckState(stored.path("stuck_state"))
     validated = stage(validate_messages(messages, kinds), "validated")
     valid, _ = split_valid(validated)
-    prior = state.before(spark, batch_id, touched_buckets(valid))
+    prior = state.before(spark, batch_id, only=valid)
     outcome = stage(clean_validated(validated, kinds, threshold, prior=prior), "outcome")
     clean, rejected = split_valid(outcome)
     tables.write_clean(tables.clean_rows(clean, kinds), stored.clean, batch_id)
     tables.write_rejected(to_rejected_mixed(rejected, kinds), stored.rejected, batch_id)
-    state.write(next_state(outcome, prior), batch_id)
+    state.write(next_state(outcome), batch_id)
+
+
+def loaded_state(spark: SparkSession, stored: Tables) -> DataFrame | None:
+    """The stuck state that all loads so far left, for a stream to begin from."""
+    return StuckState(stored.path("stuck_state")).before(spark)
 
 
 def merge_batches(

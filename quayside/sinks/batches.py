@@ -41,7 +41,7 @@ def _file_system(spark: SparkSession, folder: str):
     return path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()), path
 
 
-def _named(spark: SparkSession, folder: str, prefix: str) -> list[str]:
+def named(spark: SparkSession, folder: str, prefix: str) -> list[str]:
     files, path = _file_system(spark, folder)
     if not files.exists(path):
         return []
@@ -62,9 +62,9 @@ def remove(spark: SparkSession, folder: str) -> None:
 def folders(spark: SparkSession, path: str) -> list[Folder]:
     """Batches and committed merges of a table: a name per folder, no files."""
     found = []
-    for writer in _named(spark, path, "writer="):
+    for writer in named(spark, path, "writer="):
         merged = _MERGED.fullmatch(writer)
-        for number in map(int, _named(spark, f"{path}/writer={writer}", "batch_id=")):
+        for number in map(int, named(spark, f"{path}/writer={writer}", "batch_id=")):
             folder = f"{path}/writer={writer}/batch_id={number}"
             if merged is None:
                 found.append(Folder(folder, writer, number, number, False))
@@ -90,8 +90,8 @@ def refuse_merged(spark: SparkSession, path: str, batch_id: int, writer: str) ->
     if _MERGED.fullmatch(writer):
         raise ValueError(f"{writer} is the name of a merge")
     numbers = {
-        first: _named(spark, f"{path}/writer=merged-{writer}-{first}", "batch_id=")
-        for name in _named(spark, path, f"writer=merged-{writer}-")
+        first: named(spark, f"{path}/writer=merged-{writer}-{first}", "batch_id=")
+        for name in named(spark, path, f"writer=merged-{writer}-")
         if name.isdigit() and (first := int(name)) <= batch_id
     }
     for first, lasts in numbers.items():

@@ -1,19 +1,13 @@
-"""Stored state of the stuck-value runs: hash buckets, of which a batch rewrites the touched ones.
-
-Layout: ``bucket=b/version=n``. Batch ``n`` reads, in each bucket, the newest version
-below ``n`` and writes version ``n``; so a repeated batch starts from the same state and
-ends in the same. Buckets that a batch does not touch are neither read nor written.
-"""
+"""Stored state of the stuck-value runs: a row per equipment."""
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from quayside.catalogue import struct_of
+from quayside.sinks.keyed import EVERY, KeyedLog
 
-#: Fixed when a state is begun; a bucket is the unit that is read and rewritten.
-BUCKETS = 256
 STATE_KEYS = ("equipment_type", "equipment_id")
 STATE_SCHEMA = struct_of(
     "equipment_type STRING, equipment_id STRING, last_value DOUBLE, repeat_count BIGINT, "
@@ -21,59 +15,13 @@ STATE_SCHEMA = struct_of(
 )
 
 
-def bucket_of():
-    return F.pmod(F.xxhash64(*STATE_KEYS), F.lit(BUCKETS)).cast("int")
-
-
-def touched_buckets(valid: DataFrame) -> list[int]:
-    """Buckets of a batch's keys: at most ``BUCKETS`` numbers."""
-    return [r[0] for r in valid.select(bucket_of().alias("b")).distinct().collect()]
-
-
-class StuckState:
-    """The state below one folder that all executors share."""
+class StuckState(KeyedLog):
+    """The state below one folder; batches are its versions."""
 
-    def __init__(self, path: str):
-        self.path = path.rstrip("/")
-
-    def _folder(self, spark: SparkSession, folder: str):
-        path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(folder)
-        return path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()), path
-
-    def versions(self, spark: SparkSession, bucket: int) -> list[int]:
-        files, path = self._folder(spark, f"{self.path}/bucket={bucket}")
-        if not files.exists(path):
-            return []
-        names = [status.getPath().getName() for status in files.listStatus(path)]
-        return sorted(int(n.removeprefix("version=")) for n in names if n.startswith("version="))
-
-    def before(self, spark: SparkSession, version: int, buckets: list[int]) -> DataFrame | None:
-        """The state of these buckets that batches below ``version`` left."""
-        newest = {b: [v for v in self.versions(spark, b) if v < version] for b in buckets}
-        paths = [f"{self.path}/bucket={b}/version={v[-1]}" for b, v in newest.items() if v]
-        return spark.read.schema(STATE_SCHEMA).parquet(*paths) if paths else None
+    def __init__(self, path: str, every: int = EVERY):
+        super().__init__(path, STATE_KEYS, STATE_SCHEMA, every)
 
     def write(self, state: DataFrame, version: int) -> None:
-        """Store the touched buckets' state; what this version wrote before is replaced."""
-        (
-            state.select(
-                *STATE_KEYS,
-                "last_value",
-                F.col("repeat_count").cast("bigint").alias("repeat_count"),
-                F.current_timestamp().alias("updated_at"),
-                bucket_of().alias("bucket"),
-                F.lit(version).cast("bigint").alias("version"),
-            )
-            .hint("rebalance", F.col("bucket"))
-            .write.mode("overwrite")
-            .option("partitionOverwriteMode", "dynamic")
-            .partitionBy("bucket", "version")
-            .parquet(self.path)
-        )
-
-    def forget(self, spark: SparkSession, version: int, buckets: list[int]) -> None:
-        """Remove what no batch from ``version`` on can read any more."""
-        for bucket in buckets:
-            for old in [v for v in self.versions(spark, bucket) if v < version][:-1]:
-                files, path = self._folder(spark, f"{self.path}/bucket={bucket}/version={old}")
-                files.delete(path, True)
+        count = F.col("repeat_count").cast("bigint").alias("repeat_count")
+        now = F.current_timestamp().alias("updated_at")
+        super().write(state.select(*STATE_KEYS, "last_value", count, now), version)

@@ -20,7 +20,7 @@ from quayside.plans.cleaning import (
     pieces_needed,
     validate_messages,
 )
-from quayside.sinks.state import StuckState, touched_buckets
+from quayside.sinks.state import StuckState
 from quayside.sinks.tables import clean_rows, write_clean, write_rejected
 from quayside.streaming.state import dedupe_stream
 
@@ -40,6 +40,7 @@ def start_clean_stream(
     trigger: dict | None = None,
     rows_per_piece: int | None = ROWS_PER_PIECE,
     on_counts: Callable[[int, dict], None] | None = None,
+    begin_from: DataFrame | None = None,
 ) -> StreamingQuery:
     """Start cleaning ``topic, value, offset`` messages into the two tables.
 
@@ -49,7 +50,9 @@ def start_clean_stream(
 
     Stuck runs use the batch operator with the state of the batch before, so a
     busy equipment is split over tasks here as well and no row passes through
-    Python. ``checkpoint`` must be a folder that all executors share.
+    Python. ``checkpoint`` must be a folder that all executors share. A stream without
+    a state of its own starts from ``begin_from`` (``plans.etl.loaded_state``: where the
+    batch loads ended), so that runs go on from loads to the stream.
     """
     validated = observe_counts(validate_messages(messages, kinds), "validation")
     if dedupe == "watermark":
@@ -60,6 +63,7 @@ def start_clean_stream(
     # batches are numbered per checkpoint, so the checkpoint names the writer
     writer = f"stream-{md5(checkpoint.rstrip('/').encode()).hexdigest()[:12]}"
     state = StuckState(f"{checkpoint.rstrip('/')}/stuck-state")
+    state.begin(begin_from)
 
     def write(batch: DataFrame, batch_id: int) -> None:
         spark = batch.sparkSession
@@ -75,8 +79,7 @@ def start_clean_stream(
             if not rows:  # nothing to write, and the state stays as it is
                 return
             valid, rejected = split_valid(batch)
-            touched = touched_buckets(valid)
-            prior = state.before(spark, batch_id, touched)
+            prior = state.before(spark, batch_id, only=valid)
             pieces = pieces_needed(rows, rows_per_piece)
             flagged = flag_stuck(
                 valid, kinds, threshold, prior=prior, rows_per_piece=pieces, keep=keep
@@ -87,8 +90,8 @@ def start_clean_stream(
             clean, bad = split_valid(outcome)
             write_clean(clean_rows(clean, kinds), clean_path, batch_id, writer)
             write_rejected(to_rejected_mixed(bad, kinds), rejected_path, batch_id, writer)
-            state.write(next_state(outcome, prior), batch_id)
-            state.forget(spark, batch_id, touched)
+            state.write(next_state(outcome), batch_id)
+            state.forget(spark, batch_id)
             log.info("batch %d: %s", batch_id, counts)
             if on_counts is not None:
                 on_counts(batch_id, counts)

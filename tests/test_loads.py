@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from quayside.catalogue import ELEVATOR
 from quayside.operators.stuck import stuck_runs
 from quayside.plans import serving
-from quayside.plans.etl import Tables, clean_to_tables, ingest_files, raw_messages
+from quayside.plans.etl import Tables, clean_to_tables, ingest_files, loaded_state, raw_messages
 from quayside.session import workspace
 from quayside.sinks import tables
 from quayside.sinks.state import StuckState
@@ -41,27 +41,74 @@ def test_runs_go_on_over_loads(spark):
     assert stuck() == [4, 5, 6, 7, 8]  # a repeated load starts from the same state
 
 
-def test_untouched_buckets_keep_their_files(spark):
-    stored = Tables(workspace(spark, "buckets"))
-    first = [message(equipment_id=f"E{i}") for i in range(20)]
+def states(spark, rows):
+    return spark.createDataFrame(rows, "equipment_type string, equipment_id string, last_value double, repeat_count bigint")
+
+
+def counts(state, spark, version=None, only=None):
+    rows = state.before(spark, version, only)
+    return None if rows is None else {r.equipment_id: r.repeat_count for r in rows.collect()}
+
+
+def test_a_batch_writes_its_own_keys_in_one_file(spark):
+    stored = Tables(workspace(spark, "deltas"))
+    first = [message(equipment_id=f"E{i}") for i in range(300)]
     clean_to_tables(elevator_messages(spark, first), stored, 0)
     before = files_below(stored.path("stuck_state"))
-    clean_to_tables(elevator_messages(spark, [message(equipment_id="E3")], start=20), stored, 1)
-    after = files_below(stored.path("stuck_state"))
-    assert before <= after and len(after - before) == 1
+    assert len(before) == 1  # however many keys
+    clean_to_tables(elevator_messages(spark, [message(equipment_id="E3")], start=300), stored, 1)
+    new = files_below(stored.path("stuck_state")) - before
+    assert len(new) == 1 and spark.read.parquet(*new).count() == 1
+    assert sum(loaded_state(spark, stored).select("repeat_count").toPandas().repeat_count) == 301
+
+
+def test_state_of_snapshots_and_deltas(spark):
+    state = StuckState(workspace(spark, "log"), every=3)
+    assert counts(state, spark) is None and counts(state, spark, 7) is None
+    for version in (0, 1, 4, 5, 6, 9):
+        state.write(states(spark, [("elevator", "E", 1.0, version), ("elevator", f"E{version}", None, -version)]), version)
+    assert state.versions(spark, "snapshot") == [4, 9] and state.versions(spark, "delta") == [0, 1, 4, 5, 6, 9]
+    assert counts(state, spark, 0) is None and counts(state, spark, 1) == {"E": 0, "E0": 0}
+    assert counts(state, spark, 6) == {"E": 5, "E0": 0, "E1": -1, "E4": -4, "E5": -5}
+    assert counts(state, spark) == {"E": 9, "E0": 0, "E1": -1, "E4": -4, "E5": -5, "E6": -6, "E9": -9}
+    assert counts(state, spark, 6, states(spark, [("elevator", "E4", 0.0, 0), ("rmg", "E", 0.0, 0)])) == {"E4": -4}
+    # what is read: one snapshot and the deltas after it
+    read = {f.rsplit("/", 2)[-2] for f in state.before(spark, 7).inputFiles()}
+    assert read == {"version=4", "version=5", "version=6"}
+    # a repeated batch replaces its own rows, and snapshots that hold the old ones go
+    state.write(states(spark, [("elevator", "E", 1.0, 50)]), 5)
+    assert state.versions(spark, "snapshot") == [4]
+    assert counts(state, spark, 6) == {"E": 50, "E0": 0, "E1": -1, "E4": -4}
+    assert counts(state, spark) == {"E": 9, "E0": 0, "E1": -1, "E4": -4, "E6": -6, "E9": -9}
+    # a folder that was not finished is not read
+    os.remove(f"{state.path.removeprefix('file:')}/part=snapshot/version=4/_SUCCESS")
+    assert counts(state, spark, 6) == {"E": 50, "E0": 0, "E1": -1, "E4": -4}
 
 
 def test_state_forgets_what_nobody_reads(spark):
-    state = StuckState(workspace(spark, "state"))
-    row = [("elevator", "E1", 1.0, 1)]
-    rows = spark.createDataFrame(row, "equipment_type string, equipment_id string, last_value double, repeat_count bigint")
-    for version in (0, 1, 4, 5):
-        state.write(rows.withColumn("repeat_count", F.lit(version)), version)
-    bucket = next(b for b in range(256) if state.versions(spark, b))
-    assert state.before(spark, 4, [bucket]).first().repeat_count == 1
-    assert state.before(spark, 0, [bucket]) is None
-    state.forget(spark, 5, [bucket])
-    assert state.versions(spark, bucket) == [4, 5]
+    state = StuckState(workspace(spark, "state"), every=2)
+    for version in range(6):
+        state.write(states(spark, [("elevator", "E1", 1.0, version)]), version)
+    state.forget(spark, 5)
+    assert (state.versions(spark, "snapshot"), state.versions(spark, "delta")) == ([3, 5], [4, 5])
+    assert counts(state, spark, 5) == {"E1": 4}
+
+
+def test_stream_begins_where_loads_ended(spark):
+    stored, home = Tables(workspace(spark, "loads")), workspace(spark, "after-loads")
+    clean_to_tables(elevator_messages(spark, [reading(i, 4.0) for i in range(3)]), stored, 0)
+    for part in range(2):
+        rows = [reading(3 + 2 * part + i, 4.0) for i in range(2)]
+        elevator_messages(spark, rows, start=10 * (part + 1)).coalesce(1).write.mode("append").parquet(f"{home}/inbox")
+        query = start_clean_stream(
+            stream_source(spark, fmt="parquet", path=f"{home}/inbox"),
+            clean_path=stored.clean, rejected_path=stored.rejected, checkpoint=f"{home}/checkpoint",
+            trigger={"availableNow": True}, begin_from=loaded_state(spark, stored),
+        )
+        query.awaitTermination()
+    rejected = tables.read_rejected(spark, stored.rejected)
+    assert sorted(r[0] for r in rejected.select(F.second("event_timestamp")).collect()) == [4, 5, 6]
+    assert loaded_state(spark, stored).first().repeat_count == 3  # the loads' state is their own
 
 
 def test_empty_micro_batch_writes_nothing(spark):
