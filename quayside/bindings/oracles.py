@@ -361,6 +361,12 @@ INGESTED = f"""{ctes(SHEET, KEPT)}SELECT part, count(*) AS row_count FROM (
 PUBLISHED = f"""{ctes(SHEET, KEPT)}SELECT type AS topic, equipment_id AS key,
   strftime(timestamp, {ISO}) AS timestamp FROM kept"""
 
+HOURS = (
+    f"{VALID_CTES}SELECT equipment_id, date_key, hour_key, {aggregates(READING)}"
+    f" FROM (SELECT *, {date_hour('event_timestamp')} FROM valid)"
+    " GROUP BY equipment_id, date_key, hour_key"
+)
+
 ORACLES: dict[str, str] = {
     "reject_reason": f"{ctes(READINGS, CHECKED)}"
     "SELECT seq, equipment_id, event_timestamp, state, alarm, reject_reason FROM checked",
@@ -407,6 +413,7 @@ FROM events""",
     "batch_loads_stuck": VERDICTS,
     "compacted_clean": VERDICTS,
     "load_then_stream": VERDICTS,
+    "stream_after_load": VERDICTS,
     "latest_many": f"SELECT equipment_id, event_timestamp FROM ({VERDICTS})"
     f" WHERE topic = '{KINDS[0].topic}' AND reject_reason IS NULL"
     f" ORDER BY event_timestamp DESC, equipment_id DESC LIMIT {MANY}",
@@ -451,6 +458,7 @@ FROM events""",
     "stuck_runs": RUN_ROWS,
     "stuck_runs_split": RUN_ROWS,
     "stuck_stream": RUN_ROWS,
+    "stuck_stream_ordered": RUN_ROWS,
     "stuck_runs_gaps": GAP_ROWS,
     "stuck_stream_gaps": GAP_ROWS,
     "state_snapshot": f"{RUN_ROWS} WHERE event_timestamp >= TIMESTAMP '{CUT:%Y-%m-%d}'",
@@ -590,11 +598,21 @@ FROM runs WHERE run_length < 5 OR abs(watched) <= 1e-9 GROUP BY 1, 2""",
     f" CAST(user_id % {len(KINDS)} AS INTEGER) + 1) AS topic, CAST(user_id AS VARCHAR) AS key,"
     f' event_id * 2 + copy AS "offset" FROM ev WHERE user_id % {len(KINDS)} <> 3',
     "stream_dedupe": f"{ctes(LEVELS)}SELECT equipment_id, event_timestamp, level FROM levels",
-    # An hour comes out once readings one hour after its end have been seen.
-    "stream_hourly": f"""{VALID_CTES}SELECT equipment_id, date_key, hour_key, {aggregates(READING)}
-FROM (SELECT *, {date_hour('event_timestamp')}, date_trunc('hour', event_timestamp) AS h FROM valid)
-WHERE h + INTERVAL 1 HOUR <= (SELECT max(event_timestamp) - INTERVAL 1 HOUR FROM valid)
-GROUP BY equipment_id, date_key, hour_key""",
+    "stream_hourly": HOURS,
+    "stream_hourly_open": HOURS,
+    # A row is late if the batches before its own have seen a time three days after its own.
+    "stream_late_rows": f"""{ctes(LEVELS)}, placed AS (
+  SELECT *, CASE WHEN event_timestamp < '2024-01-11' THEN 0 WHEN event_timestamp < '2024-01-21' THEN 1 ELSE 2 END AS slice FROM levels
+), arrived AS (
+  SELECT *, slice + CASE WHEN seq % 31 = 0 AND slice < 2 THEN 1 ELSE 0 END AS batch FROM placed
+  UNION ALL SELECT *, slice + 1 FROM placed WHERE seq % 50 = 0 AND seq % 31 <> 0 AND slice < 2
+), latest AS (
+  SELECT batch, date_trunc('milliseconds', max(max(event_timestamp)) OVER (ORDER BY batch ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING))
+    - INTERVAL 3 DAYS AS passed FROM arrived GROUP BY batch
+)
+SELECT seq, CASE WHEN event_timestamp < passed THEN 'en_retard'
+  WHEN row_number() OVER (PARTITION BY equipment_id, event_timestamp ORDER BY batch, seq) > 1 THEN 'doublon' END AS verdict
+FROM arrived JOIN latest USING (batch)""",
 }
 
 _LONG = "\nUNION ALL ".join(
@@ -608,6 +626,7 @@ _LONG = "\nUNION ALL ".join(
         for f, lo, hi in READING.limits
     ]
 )
+ORACLES["late_hours_load"] = ORACLES["warehouse_load"]
 ORACLES["violations"] = f"{ctes(READINGS, CHECKED)}SELECT seq, rule, field FROM ({_LONG})"
 ORACLES["violation_counts"] = (
     f"{ctes(READINGS, CHECKED)}SELECT topic, rule, field, count(*) AS row_count"

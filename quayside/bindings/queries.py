@@ -23,9 +23,10 @@ from quayside.bindings.frames import (
     telemetry,
     telemetry_of,
 )
-from quayside.bindings.replay import replay, slices
+from quayside.bindings.replay import BORDERS, replay, slices
 from quayside.catalogue import KINDS, Kind
 from quayside.functions import text, time
+from quayside.functions.time import timestamp_literal
 from quayside.operators import counts, merge, quality
 from quayside.operators.dedupe import dedupe_first
 from quayside.operators.publish import to_keyed_json
@@ -38,6 +39,7 @@ from quayside.plans.etl import (
     drop_merged,
     ingest_files,
     load_hours,
+    loaded_state,
     merge_batches,
     raw_messages,
 )
@@ -46,8 +48,10 @@ from quayside.sinks import tables
 from quayside.sources import raw
 from quayside.sources.topics import parse_payload, stream_source
 from quayside.streaming.clean import start_clean_stream
+from quayside.plans.maintenance import load_changed_hours
+from quayside.streaming.ordered import admit, rocksdb, stuck_stream_ordered
 from quayside.streaming.state import dedupe_stream, stuck_stream
-from quayside.streaming.windows import stream_hourly
+from quayside.streaming.windows import hourly_now, start_hourly_stream, stream_hourly
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -697,6 +701,21 @@ def batch_loads_stuck(spark: SparkSession, sf_dir: str) -> DataFrame:
     return stored_verdicts(spark, stored.clean, stored.rejected)
 
 
+@query
+def late_hours_load(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every fifth equipment arrives in a batch of its own, hours after the others' facts.
+
+    The job finds the hours by itself, each time; facts are those of all messages at once.
+    """
+    stored, messages = Tables(workspace(spark, "late")), telemetry(spark, sf_dir)
+    late = F.col("key").cast("bigint") % 5 == 0
+    first, second, third = slices(messages.filter(~late))
+    for number, part in enumerate([first, messages.filter(late), second.unionByName(third)]):
+        clean_to_tables(part, stored, batch_id=number)
+        load_changed_hours(spark, stored, LAST_HOUR + timedelta(days=1))
+    return warehouse_totals(spark, stored)
+
+
 @query
 def compacted_clean(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Three loads, the first two merged to one set of files, their own folders deleted."""
@@ -727,6 +746,10 @@ def warehouse_load(spark: SparkSession, sf_dir: str) -> DataFrame:
     # The second load starts inside the first one's hours and goes on to the end.
     load_hours(spark, stored, FIRST_HOUR, CUT)
     load_hours(spark, stored, CUT - timedelta(hours=5), LAST_HOUR)
+    return warehouse_totals(spark, stored)
+
+
+def warehouse_totals(spark: SparkSession, stored: Tables) -> DataFrame:
     totals = []
     for kind in KINDS:
         fact = tables.read_fact(spark, stored.fact(kind), kind)
@@ -930,6 +953,80 @@ def stuck_stream_gaps(spark: SparkSession, sf_dir: str) -> DataFrame:
     return runs.select("seq", "level", "run_length", "is_stuck")
 
 
+@query("stuck_stream_ordered")
+def stuck_stream_ordered_levels(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every seventh reading of a slice's last two days arrives a slice later, in its place none the less."""
+    rows, edges = levels(spark, sf_dir), [timestamp_literal(b) for b in BORDERS]
+    early, middle, last = slices(rows, "event_timestamp")
+    held = lambda part, edge: part.filter(
+        (F.col("seq") % 7 == 0) & (F.col("event_timestamp") >= edge - F.expr("INTERVAL 2 DAYS"))
+    )
+    rest = lambda part, edge: part.exceptAll(held(part, edge))
+    end = rows.limit(1).select(
+        F.lit(-1).cast("bigint").alias("seq"),
+        F.lit("end of the replay").alias("equipment_id"),
+        F.lit(AS_OF + timedelta(days=60)).alias("event_timestamp"),
+        F.lit(0.0).alias("level"),
+    )
+    parts = [
+        rest(early, edges[0]),
+        held(early, edges[0]).unionByName(rest(middle, edges[1])),
+        held(middle, edges[1]).unionByName(last).unionByName(end),
+    ]
+    build = lambda s: stuck_stream_ordered(s, LEVEL_KEYS, LEVEL_ORDER, "level", "3 days")
+    with rocksdb(spark):
+        runs = run_stream(spark, "ordered", parts, build)
+    return runs.select("seq", "level", "run_length", "is_stuck")
+
+
+@query
+def stream_late_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Readings that come a slice late, and some that come twice: kept, copies and late rows are all of them."""
+    first, second, third = slices(levels(spark, sf_dir), "event_timestamp")
+    late, twice = F.col("seq") % 31 == 0, F.col("seq") % 50 == 0
+    parts = [
+        first.filter(~late),
+        second.filter(~late).unionByName(first.filter(late | twice)),
+        third.unionByName(second.filter(late | twice)),
+    ]
+    judged = run_stream(spark, "late", parts, lambda s: admit(s, LEVEL_KEYS, delay="3 days"))
+    return judged.select("seq", "verdict")
+
+
+@query
+def stream_after_load(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The first slice loaded, the others streamed from the state the load left: verdicts of one load."""
+    stored, home = Tables(workspace(spark, "first-load")), workspace(spark, "then-stream")
+    first, *others = slices(telemetry(spark, sf_dir))
+    clean_to_tables(first, stored, batch_id=0)
+
+    def start():
+        return start_clean_stream(
+            stream_source(spark, fmt="parquet", path=f"{home}/inbox"),
+            clean_path=stored.clean,
+            rejected_path=stored.rejected,
+            checkpoint=f"{home}/checkpoint",
+            trigger=ONCE,
+            begin_from=loaded_state(spark, stored),
+        )
+
+    replay(others, f"{home}/inbox", start)
+    return stored_verdicts(spark, stored.clean, stored.rejected)
+
+
+@query
+def stream_hourly_open(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Hours as they stand after the last slice, open ones among them: all facts of all readings."""
+    home, parts = workspace(spark, "hours"), slices(valid_readings(spark, sf_dir), "event_timestamp")
+
+    def start():
+        source = spark.readStream.schema(parts[0].schema).parquet(f"{home}/inbox")
+        return start_hourly_stream(source, READING, f"{home}/hours", f"{home}/checkpoint", trigger=ONCE)
+
+    replay(parts, f"{home}/inbox", start)
+    return hourly_now(spark, f"{home}/hours", READING).drop("provisional")
+
+
 @query
 def stream_dedupe(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every 50th reading arrives a second time, one slice later."""
@@ -946,8 +1043,16 @@ def stream_dedupe(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query("stream_hourly")
 def stream_hourly_readings(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Each hour once it is complete; a reading of two days later, which stays open itself, completes the last."""
     rows = valid_readings(spark, sf_dir)
-    parts = slices(rows, "event_timestamp")
+    *parts, last = slices(rows, "event_timestamp")
+    end = rows.orderBy(F.desc("event_timestamp")).limit(1).withColumns(
+        {
+            "event_timestamp": F.col("event_timestamp") + F.expr("INTERVAL 2 DAYS"),
+            "equipment_id": F.lit("end of the replay"),
+        }
+    )
+    parts.append(last.unionByName(end))
     return run_stream(spark, "hourly", parts, lambda s: stream_hourly(s, READING, "1 hour"))
 
 

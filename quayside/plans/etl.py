@@ -172,7 +172,7 @@ def publish_raw(
         publish(messages.select("key", "value"), servers, kind.topic)
 
 
-def _add_missing(new: DataFrame, path: str, key: str) -> None:
+def add_missing(new: DataFrame, path: str, key: str) -> None:
     existing = tables.read_if_exists(new.sparkSession, path)
     tables.append(new if existing is None else insert_if_absent(new, existing, [key]), path)
 
@@ -189,9 +189,9 @@ def load_hours(
     Late rows and skipped hours are loaded by naming their hours again.
     """
     end = last_hour + warehouse.HOUR
-    _add_missing(warehouse.build_dim_hour(spark), stored.path("dim_hour"), "hour_key")
+    add_missing(warehouse.build_dim_hour(spark), stored.path("dim_hour"), "hour_key")
     days = warehouse.build_dim_date(spark, first_hour.date(), last_hour.date())
-    _add_missing(days, stored.path("dim_date"), "date_key")
+    add_missing(days, stored.path("dim_date"), "date_key")
 
     clean = tables.open_clean(spark, stored.clean, kinds)
     window = {
@@ -208,10 +208,10 @@ def load_hours(
     for kind in kinds:
         by_id = warehouse.hourly_by_id(window[kind.name], kind)
         fact = warehouse.with_equipment_key(by_id, dim)
-        tables.upsert_fact(_stamped(fact), stored.fact(kind), hours=(first_hour, last_hour))
+        tables.upsert_fact(stamped(fact), stored.fact(kind), hours=(first_hour, last_hour))
     rejected = tables.read_rejected(spark, stored.rejected)
     counted = warehouse.rejected_hourly(rejected, first_hour, end)
-    tables.upsert_fact(_stamped(counted), stored.rejected_fact, hours=(first_hour, last_hour))
+    tables.upsert_fact(stamped(counted), stored.rejected_fact, hours=(first_hour, last_hour))
 
 
 def load_last_hour(
@@ -222,7 +222,7 @@ def load_last_hour(
     load_hours(spark, stored, hour, hour, kinds)
 
 
-def _stamped(fact: DataFrame) -> DataFrame:
+def stamped(fact: DataFrame) -> DataFrame:
     return fact.withColumn("processed_at", F.current_timestamp())
 
 

@@ -181,7 +181,11 @@ def rejected_hourly(
     rejected: DataFrame, hour_start: datetime, hour_end: datetime | None = None
 ) -> DataFrame:
     """Rejections per hour of processing, topic and reason; ``hour_end`` is excluded."""
-    rows = hour_window(rejected, "rejected_at", hour_start, hour_end)
+    return rejections(hour_window(rejected, "rejected_at", hour_start, hour_end))
+
+
+def rejections(rows: DataFrame) -> DataFrame:
+    """``rejected_hourly`` of all ``rows``."""
     return (
         with_date_hour_keys(rows, "rejected_at")
         .groupBy(*REJECTED_FACT_KEYS)

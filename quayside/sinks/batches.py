@@ -30,6 +30,11 @@ class Folder:
     last: int
     merged: bool
 
+    @property
+    def folder_writer(self) -> str:
+        """The writer as the folder, and so the partition column, names it."""
+        return f"merged-{self.writer}-{self.first}" if self.merged else self.writer
+
     def covers(self, other: Folder) -> bool:
         """A merge hides its batches; merges never reach over one another."""
         inside = self.first <= other.first and other.last <= self.last
@@ -54,6 +59,12 @@ def exists(spark: SparkSession, path: str) -> bool:
     return files.exists(target)
 
 
+def written_at(spark: SparkSession, folder: str) -> int:
+    """Milliseconds at which a folder was committed, 0 if it was not."""
+    files, path = _file_system(spark, f"{folder}/_SUCCESS")
+    return files.getFileStatus(path).getModificationTime() if files.exists(path) else 0
+
+
 def remove(spark: SparkSession, folder: str) -> None:
     files, path = _file_system(spark, folder)
     files.delete(path, True)

@@ -154,15 +154,17 @@ def upsert_fact(
     mode: str = "hour",
     keys: Sequence[str] = ("equipment_key", "date_key", "hour_key"),
     hours: tuple[datetime, datetime] | None = None,
+    whole: DataFrame | None = None,
 ) -> None:
     """Write facts into a table partitioned by ``date_key``.
 
     ``hour``: ``df`` holds whole hours and replaces them: those from ``hours[0]``
-    to ``hours[1]`` included, or else those it has rows of. ``key``: ``df`` holds
+    to ``hours[1]`` included, those of ``whole`` (date_key, hour_key), or else those it
+    has rows of. ``key``: ``df`` holds
     some rows of its hours; their other rows stay. Other hours always stay.
 
-    Only the days of ``hours``, or else of ``df``, are rewritten; days of ``hours``
-    that have no rows any more are removed. The merge is staged, as it
+    Only the days of ``hours`` or ``whole``, or else of ``df``, are rewritten; of the former,
+    days that have no rows any more are removed. The merge is staged, as it
     reads the partitions that it replaces. Partitions of an hour each would need
     no merge, but a fleet of a thousand would fill a table with tiny files.
     """
@@ -174,6 +176,9 @@ def upsert_fact(
         if hours is not None:
             first, last = (int(f"{h:%Y%m%d}") for h in hours)
             existing = existing.filter(F.col("date_key").between(first, last))
+        elif whole is not None:
+            touched = [r.date_key for r in whole.select("date_key").distinct().collect()]
+            existing = existing.filter(F.col("date_key").isin(touched))
         else:
             existing = _touched(existing, df, FACT_PARTITIONS, "date_key")
         if mode == "key":
@@ -182,10 +187,12 @@ def upsert_fact(
             at = F.col("date_key") * 100 + F.col("hour_key")
             low, high = (int(f"{h:%Y%m%d%H}") for h in hours)
             merged = existing.filter(~at.between(low, high)).unionByName(df)
+        elif whole is not None:
+            merged = existing.join(whole, ["date_key", "hour_key"], "left_anti").unionByName(df)
         else:
             merged = upsert_by_key(df, existing, ["date_key", "hour_key"])
         df = stage(merged, "fact-merge")
-        if hours is not None:
+        if hours is not None or whole is not None:
             days = existing.select("date_key").distinct()  # of the range: a row per day
             emptied = [r.date_key for r in days.join(df, "date_key", "left_anti").collect()]
     _overwrite_partitions(df, path, FACT_PARTITIONS)

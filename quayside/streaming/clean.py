@@ -7,6 +7,7 @@ from collections.abc import Callable, Sequence
 from hashlib import md5
 
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from quayside.catalogue import KINDS, STUCK_THRESHOLD, Kind
@@ -14,7 +15,7 @@ from quayside.operators.counts import observe_counts, outcome_counts
 from quayside.operators.quality import split_valid, to_rejected_mixed, union_rejects
 from quayside.operators.stuck import ROWS_PER_PIECE
 from quayside.plans.cleaning import (
-    READING_KEY,
+    STATE_KEYS,
     flag_stuck,
     next_state,
     pieces_needed,
@@ -22,7 +23,7 @@ from quayside.plans.cleaning import (
 )
 from quayside.sinks.state import StuckState
 from quayside.sinks.tables import clean_rows, write_clean, write_rejected
-from quayside.streaming.state import dedupe_stream
+from quayside.streaming.ordered import COPY, LATE, admit
 
 log = logging.getLogger(__name__)
 
@@ -44,9 +45,9 @@ def start_clean_stream(
 ) -> StreamingQuery:
     """Start cleaning ``topic, value, offset`` messages into the two tables.
 
-    ``dedupe="per_batch"`` drops copies inside a micro-batch and never drops a
-    late row. ``"watermark"`` drops copies across batches too, but also rows
-    more than ``delay`` behind; ``dropped_by_watermark`` tells how many.
+    ``dedupe="per_batch"`` drops copies inside a micro-batch and takes late rows as
+    any other. ``"watermark"`` drops copies across batches too; valid rows more than
+    ``delay`` behind, of which it cannot tell, go to the dead letter as ``LATE``.
 
     Stuck runs use the batch operator with the state of the batch before, so a
     busy equipment is split over tasks here as well and no row passes through
@@ -57,7 +58,9 @@ def start_clean_stream(
     validated = observe_counts(validate_messages(messages, kinds), "validation")
     if dedupe == "watermark":
         valid, rejected = split_valid(validated)
-        validated = union_rejects(rejected, dedupe_stream(valid, READING_KEY, delay=delay))
+        admitted = admit(valid, STATE_KEYS, delay=delay).filter(~F.col("verdict").eqNullSafe(COPY))
+        late = F.when(F.col("verdict") == LATE, F.lit(LATE))
+        validated = union_rejects(rejected, admitted.withColumn("reject_reason", late).drop("verdict"))
     elif dedupe != "per_batch":
         raise ValueError(f"dedupe must be 'per_batch' or 'watermark', not {dedupe!r}")
     # batches are numbered per checkpoint, so the checkpoint names the writer
@@ -109,7 +112,7 @@ def start_clean_stream(
 
 
 def dropped_by_watermark(query: StreamingQuery) -> int:
-    """Late rows that watermark deduplication dropped in the batches the query still reports:
+    """Late rows that a stream of ``dedupe_stream`` dropped in the batches it still reports:
     the last 100 since it was started (``spark.sql.streaming.numRecentProgressUpdates``).
     """
     return sum(
