@@ -19,6 +19,7 @@ from typing import NamedTuple
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
@@ -30,7 +31,7 @@ from quayside.session import stage, workspace
 #: occurrences inside one longer phrase from which it is dropped.
 LEAST, FIRST, INSIDE = 10, 2000, 50
 #: Bytes of text of a chunk, and phrases of a range of quotients on average.
-CHUNK_BYTES, RANGE_PHRASES = 8 << 20, 2_000_000
+CHUNK_BYTES, RANGE_PHRASES = 5 << 20, 2_000_000
 #: Bits of a quotient: about one phrase of a chunk to each.
 QUOTIENT = 21
 #: Groups that a language is ranked in before its best meet.
@@ -42,20 +43,32 @@ _END = re.compile(rb"[.,;:!?\n\x0b\x0c\r]")
 _FOLD = bytes.maketrans(bytes(range(65, 91)) + b"\t" + _ENDS, bytes(range(97, 123)) + b" " + _MARK * len(_ENDS))
 
 
+class Words(dict):
+    """Numbers of one language's words; a new one gets the next number of its chunk."""
+
+    def __init__(self, chunk: Chunk):
+        super().__init__({_MARK: 0})
+        self.chunk = chunk
+
+    def __missing__(self, word: bytes) -> int:
+        number = self[word] = self.chunk.known
+        self.chunk.known += 1
+        return number
+
+
 class Chunk:
     """Words of some texts as numbers of its own, 0 between pieces."""
 
     def __init__(self):
-        self.words: dict[str, dict[bytes, int]] = {}
+        self.words: dict[str, Words] = {}
         self.ids: list[np.ndarray] = []
         self.size, self.known = 0, 1
 
     def add(self, lang: str, folded: bytes) -> None:
         words = folded.replace(_MARK, b" " + _MARK + b" ").split()
-        known = self.words.setdefault(lang, {_MARK: 0})
-        for word in set(words).difference(known):
-            known[word] = self.known
-            self.known += 1
+        known = self.words.get(lang)
+        if known is None:
+            known = self.words[lang] = Words(self)
         self.ids += [np.fromiter(map(known.__getitem__, words), np.int32, len(words)), np.zeros(1, np.int32)]
         self.size += len(folded)
 
@@ -179,10 +192,13 @@ class Counted(NamedTuple):
         return np.flatnonzero(fresh)
 
     @classmethod
-    def merged(cls, filters: list[Counted]) -> Counted:
-        """The sum of sorted filters: a stable sort finds their runs and merges them."""
+    def merged(cls, filters: list[Counted], bits: int) -> Counted:
+        """The sum of sorted filters with remainders of ``bits`` bits: a stable sort finds their runs and merges them."""
         quotients, remainders, counts = (np.concatenate(x) for x in zip(*filters, strict=True))
-        order = np.lexsort((remainders, quotients))
+        if int(quotients.max(initial=0)).bit_length() + bits <= 64:
+            order = np.argsort((quotients << np.uint64(bits)) | remainders, kind="stable")
+        else:
+            order = np.lexsort((remainders, quotients))
         quotients, remainders, counts = quotients[order], remainders[order], counts[order]
         heads = cls.heads(quotients, remainders)
         return cls(quotients[heads], remainders[heads], np.add.reduceat(counts, heads) if len(heads) else counts)
@@ -244,7 +260,7 @@ def count_chunk(packing: Packing, ranges: int):
 def merge_range(packing: Packing, ranges: int, least: int):
     def run(key: tuple, filters: pa.Table) -> pa.Table:
         width = 1 << (packing.quotient - ranges)
-        found = Counted.merged([Counted.unpacked(x, width, packing.remainder) for x in filters.column("filter").to_pylist()])
+        found = Counted.merged([Counted.unpacked(x, width, packing.remainder) for x in filters.column("filter").to_pylist()], packing.remainder)
         often = found.counts >= least
         a, b, c = (x.astype(np.int64) for x in packing.words(found.quotients[often], found.remainders[often]))
         return pa.table({"a": a, "b": b, "c": c, "f": found.counts[often].astype(np.int64)})
@@ -252,19 +268,25 @@ def merge_range(packing: Packing, ranges: int, least: int):
     return run
 
 
-def numbered(vocabulary: DataFrame) -> tuple[DataFrame, int]:
-    """``vocabulary`` with ``id`` from 1 on, and its number of rows; sizes of partitions alone meet on the driver."""
-    spark = vocabulary.sparkSession
-    placed = stage(vocabulary.withColumn("place", F.monotonically_increasing_id()), "vocabulary")
-    sizes = placed.groupBy(F.shiftright("place", 33).alias("part")).count().orderBy("part").collect()
-    bases, total = [], 0
-    for part, n in sizes:
-        bases.append((part, total))
-        total += n
-    base = F.broadcast(spark.createDataFrame(bases, "part long, base long"))  # a row per partition
-    row = F.col("place").bitwiseAND((1 << 33) - 1)
-    ids = placed.withColumn("part", F.shiftright("place", 33)).join(base, "part").withColumn("id", F.col("base") + row + 1)
-    return ids.drop("place", "part", "base"), total
+def numbered(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Rows in the order of word and language, with the number of their word in this partition, from 0 on."""
+    part, number, last = TaskContext.get().partitionId(), -1, None
+    for rows in batches:
+        if not len(rows):
+            continue
+        words, langs = rows.column("word"), rows.column("lang")
+        fresh = np.ones(len(rows), bool)
+        fresh[0] = last != (words[0].as_py(), langs[0].as_py())
+        for column in (words, langs):
+            differ = pc.not_equal(column[1:], column[:-1]).to_numpy(zero_copy_only=False)
+            fresh[1:] = differ if column is words else fresh[1:] | differ
+        numbers = number + np.cumsum(fresh)
+        number, last = int(numbers[-1]), (words[-1].as_py(), langs[-1].as_py())
+        none = pa.array(~fresh)  # language, word and count stand in a word's first row alone
+        yield batch(
+            chunk=rows.column("chunk"), local=rows.column("local"), part=np.full(len(rows), part, np.int32), place=numbers,
+            lang=pc.if_else(none, None, langs), word=pc.if_else(none, pa.scalar(None, pa.binary()), words), f=pc.if_else(none, None, rows.column("f")),
+        )
 
 
 def phrase_counts(docs: DataFrame, least: int, chunk_bytes: int = CHUNK_BYTES) -> tuple[DataFrame, DataFrame, DataFrame]:
@@ -276,17 +298,23 @@ def phrase_counts(docs: DataFrame, least: int, chunk_bytes: int = CHUNK_BYTES) -
     mapped(texts, encode_chunks(chunk_bytes), schema).write.partitionBy("kind").parquet(path)
     chunks = spark.read.schema(schema).parquet(path)
     words = chunks.filter("kind = 'words'").select("lang", "word", "chunk", "local", "n")
-    # a word has a row per chunk at most
-    frequent = words.withColumn("f", F.sum("n").over(Window.partitionBy("lang", "word"))).filter(F.col("f") >= least)
-    frequent = stage(frequent.drop("n"), "frequent-words")
-    vocabulary, size = numbered(frequent.groupBy("lang", "word").agg(F.max("f").alias("f")))
-    total = vocabulary.agg(F.sum("f")).first()[0] or 0
+    # a word has a row per chunk at most, and its rows lie together: they are numbered as they come
+    frequent = words.withColumn("f", F.sum("n").over(Window.partitionBy("word", "lang"))).filter(F.col("f") >= least)
+    places = "chunk long, local int, part int, place long, lang string, word binary, f long"
+    placed = stage(mapped(frequent.select("lang", "word", "f", "chunk", "local"), numbered, places), "frequent-words")
+    size, total, bases = 0, 0, []
+    for part, n, own in placed.groupBy("part").agg(F.max("place") + 1, F.sum("f")).orderBy("part").collect():  # a row per partition
+        bases.append((part, size))
+        size, total = size + n, total + own
+    base = F.broadcast(spark.createDataFrame(bases, "part int, base long"))
+    numbers = placed.join(base, "part").withColumn("id", F.col("base") + F.col("place") + 1)
+    vocabulary = numbers.filter("word IS NOT NULL").select("id", "lang", "word", "f")
     packing = Packing(max(size.bit_length(), 1))
     if packing.width > 32:
         raise ValueError("more than 2**32 frequent words")
     spread = int(spark.conf.get("spark.sql.shuffle.partitions")).bit_length() + 2
     ranges = min(max(spread, (2 * total // RANGE_PHRASES).bit_length()), packing.quotient)
-    numbers = frequent.join(vocabulary.drop("f"), ["lang", "word"]).select("chunk", "local", "id")
+    numbers = numbers.select("chunk", "local", "id")
     ids = chunks.filter("kind = 'ids'").select("chunk", "ids")
     filters = ids.groupBy("chunk").cogroup(numbers.groupBy("chunk")).applyInArrow(count_chunk(packing, ranges), "range long, filter binary")
     phrases = filters.groupBy("range").applyInArrow(merge_range(packing, ranges, least), "a long, b long, c long, f long")

@@ -58,7 +58,7 @@ def test_filters_lose_nothing(width):
         if packing.quotient <= 22:
             packed = [p.packed(first, first + (1 << shift), packing.remainder) for p in cut]
             cut = [Counted.unpacked(x, 1 << shift, packing.remainder) for x in packed]
-        merged = Counted.merged(cut)
+        merged = Counted.merged(cut, packing.remainder)
         words = packing.words(merged.quotients, merged.remainders)
         total.update({tuple(map(int, w[:3])): int(w[3]) for w in zip(*words, merged.counts, strict=True)})
     assert total == Counter(tuple(map(int, t)) for t in triples.T)
