@@ -90,12 +90,17 @@ class Cursor:
 class ItemIndex:
     """Inverted index of items, with weights that add up to one for each item."""
 
-    def __init__(self, items: list[tuple[int, str]], frequency: dict[str, int] | None = None, total: int | None = None, mean: float | None = None):
-        """``frequency``, ``total`` and ``mean`` length describe all items if these are but a part of them."""
+    def __init__(
+        self, items: list[tuple[int, str]], frequency: dict[str, int] | None = None, total: int | None = None, mean: float | None = None, longest: int | None = None
+    ):
+        """``frequency``, ``total``, ``mean`` and ``longest`` length describe all items if these are but a part of them.
+
+        Passages are as long for every part, so what is found does not depend on how items are dealt to parts.
+        """
         words = [words_of(text) for _, text in items]
         self.ids = [item_id for item_id, _ in items]
         self.parts = [tuple(map(shingles, question_answer(text))) for _, text in items]
-        self.longest = max(map(len, words), default=0)
+        self.longest = longest if longest is not None else max(map(len, words), default=0)
         frequency = frequency if frequency is not None else Counter(w for x in words for w in set(x))
         total = total if total is not None else len(items)
         mean = mean if mean is not None else sum(map(len, words)) / max(len(words), 1)
@@ -217,23 +222,23 @@ def item_indexes(items: DataFrame, chars: int = INDEX_CHARS) -> Iterator[ItemInd
             yield batch(words=pa.array([sorted(set(x)) for x in found], pa.list_(pa.string())), n=pa.array(list(map(len, found)), pa.int64()))
 
     counts = stage(mapped(rows, counted, "words array<string>, n long"), "items")
-    total, mean = counts.agg(F.count("*"), F.avg("n")).first()
+    known = counts.agg(F.count("*"), F.avg("n"), F.max("n")).first()
     frequencies = stage(counts.select(F.explode("words").alias("word")).groupBy("word").agg(F.count("*").alias("n")), "item-words")
     block, used = [], 0
     for row in rows.orderBy("item_id", "text").toLocalIterator():
         block.append((row.item_id, row.text))
         used += len(row.text)
         if used >= chars:
-            yield part_index(spark, block, frequencies, total, mean)
+            yield part_index(spark, block, frequencies, *known)
             block, used = [], 0
     if block:
-        yield part_index(spark, block, frequencies, total, mean)
+        yield part_index(spark, block, frequencies, *known)
 
 
-def part_index(spark, block: list[tuple[int, str]], frequencies: DataFrame, total: int, mean: float) -> ItemIndex:
+def part_index(spark, block: list[tuple[int, str]], frequencies: DataFrame, total: int, mean: float, longest: int) -> ItemIndex:
     own = sorted({w for _, text in block for w in words_of(text)})
     own_words = spark.createDataFrame([(w,) for w in own], "word string")
-    return ItemIndex(block, dict(map(tuple, frequencies.join(own_words, "word").collect())), total, mean)
+    return ItemIndex(block, dict(map(tuple, frequencies.join(own_words, "word").collect())), total, mean, longest)
 
 
 def contaminated(docs: DataFrame, items: DataFrame) -> DataFrame:

@@ -77,6 +77,21 @@ def test_leaks_of_odd_rows(spark, chars, monkeypatch):
     assert kept.columns == docs.columns and sorted(r.doc_id for r in kept.collect()) == [0, 1, 2, 7, 9]
 
 
+def test_leaks_do_not_depend_on_the_size_of_an_index(spark, monkeypatch):
+    """A short item beside one of 200 words, and a text that holds question and answer 150 words apart."""
+    question, answer = words(12, 1), words(7, 2)
+    items = spark.createDataFrame([(1, f"{question}. {answer}."), (2, words(200, 3)), (3, words(15, 4))], "item_id long, text string")
+    far = f"{words(100, 5)} {question} {words(150, 6)} {answer} {words(100, 7)}"
+    docs = spark.createDataFrame([(1, far), (2, words(300, 8)), (3, f"{words(400, 9)} {words(15, 4)}")], DOCS)
+    found = {}
+    for chars in (2_000_000, 300, 30):
+        monkeypatch.setattr(decontaminate.item_indexes, "__defaults__", (chars,))
+        rows = decontaminate.contaminated(docs, items).collect()
+        found[chars] = sorted((r.doc_id, r.item_id, round(r.score, 9), r.question_overlap, r.answer_overlap) for r in rows)
+    assert found[2_000_000] == found[300] == found[30] and (3, 3) in [r[:2] for r in found[30]]
+    assert (1, 1) in [r[:2] for r in found[30]]
+
+
 def test_no_items_or_no_documents(spark):
     docs, items = spark.createDataFrame([(1, "a b")], DOCS), spark.createDataFrame([(1, "a b")], "item_id long, text string")
     assert decontaminate.contaminated(docs, items.limit(0)).collect() == []
