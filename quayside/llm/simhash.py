@@ -31,6 +31,8 @@ from quayside.session import stage
 WORDS = 4
 SEED = 42
 DISTANCE = 4
+#: Words of a shingle and similarity of near-duplicates where one document of each group is kept.
+STAGE_WORDS, STAGE_SIMILARITY = 5, 0.8
 #: Low bit and width of the segments.
 SEGMENTS = ((42, 22), (21, 21), (0, 21))
 #: Distinct fingerprints of one key that are compared in one task; more are dealt as pairs of blocks.
@@ -39,28 +41,31 @@ KEY_LIMIT = 50_000
 GOLAY = 0b110001110101
 
 
-def fingerprint(text: bytes) -> bytes:
-    """8 bytes: a bit is set if it is set in over half the hashes of the 4-word shingles."""
+def fingerprint(text: bytes, width: int = WORDS) -> bytes:
+    """8 bytes: a bit is set if it is set in over half the hashes of the shingles of ``width`` words."""
     words = text.lower().split()  # bytes: A-Z only, and white space is \\x20 and \\x09-\\x0D
     if not words:
         return bytes(8)
     joined = memoryview(b" ".join(words))
     ends = np.cumsum(np.fromiter(map(len, words), np.int64, len(words)) + 1) - 1
     digest = xxhash.xxh64_digest
-    if len(words) <= WORDS:
+    if len(words) <= width:
         return digest(joined, SEED)
-    starts = np.concatenate([[0], ends[:-WORDS] + 1]).tolist()
-    hashes = b"".join([digest(joined[i:j], SEED) for i, j in zip(starts, ends[WORDS - 1 :].tolist(), strict=True)])
+    starts = np.concatenate([[0], ends[:-width] + 1]).tolist()
+    hashes = b"".join([digest(joined[i:j], SEED) for i, j in zip(starts, ends[width - 1 :].tolist(), strict=True)])
     bits = np.unpackbits(np.frombuffer(hashes, np.uint8).reshape(-1, 8), axis=1)
     return np.packbits(2 * bits.sum(axis=0, dtype=np.int64) > len(bits)).tobytes()
 
 
-def hash_texts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for rows in batches:
-        view, bounds = text_bytes(rows.column("text"))
-        bounds = bounds.tolist()
-        prints = b"".join(fingerprint(bytes(view[i:j])) for i, j in zip(bounds, bounds[1:], strict=False))
-        yield batch(doc_id=rows.column("doc_id"), fp=np.frombuffer(prints, ">i8").astype(np.int64))
+def hash_texts(width: int = WORDS):
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for rows in batches:
+            view, bounds = text_bytes(rows.column("text"))
+            bounds = bounds.tolist()
+            prints = b"".join(fingerprint(bytes(view[i:j]), width) for i, j in zip(bounds, bounds[1:], strict=False))
+            yield batch(doc_id=rows.column("doc_id"), fp=np.frombuffer(prints, ">i8").astype(np.int64))
+
+    return run
 
 
 def syndromes(words: np.ndarray) -> np.ndarray:
@@ -187,7 +192,6 @@ def fingerprint_links(prints: DataFrame) -> DataFrame:
     tasks, so no task holds more than two blocks and no link is lost.
     """
     spark = prints.sparkSession
-    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "20000")
     keys = mapped(prints.select("fp"), golay_keys, "key long, fp long")
     hot = keys.groupBy("key").agg(F.count("*").alias("n")).filter(F.col("n") > KEY_LIMIT)
     hot = hot.select("key", F.ceil(F.col("n") / KEY_LIMIT).cast("int").alias("blocks"))
@@ -208,13 +212,16 @@ def fingerprint_links(prints: DataFrame) -> DataFrame:
     return mapped(grouped, link_groups, "a long, b long").distinct()
 
 
-def near_duplicates(docs: DataFrame) -> DataFrame:
+def near_duplicates(docs: DataFrame, words: int = WORDS) -> DataFrame:
     """``doc_id, fp, component_id``: every document's fingerprint and the smallest doc_id it can reach.
 
+    Fingerprints are of shingles of so many ``words``; links are at ``DISTANCE``, for which
+    the keys are made.
+
     Texts are read whole; null and empty texts have fingerprint zero and are linked like
     any other. Rows without doc_id are left out; rows that repeat a doc_id each give a row.
     """
-    prints = stage(mapped(texts_of(docs), hash_texts, "doc_id long, fp long"), "fingerprints")
+    prints = stage(mapped(texts_of(docs), hash_texts(words), "doc_id long, fp long"), "fingerprints")
     distinct = stage(prints.groupBy("fp").agg(F.min("doc_id").alias("first_id")), "distinct-fingerprints")
     roots = stage(components(stage(fingerprint_links(distinct), "links"), "components"), "roots")
     labelled = distinct.join(roots.withColumnRenamed("node", "fp"), "fp", "left")
@@ -223,10 +230,53 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
     return prints.join(labelled.join(least, "root").select("fp", "component_id"), "fp").select("doc_id", "fp", "component_id")
 
 
-def keep_one(docs: DataFrame) -> DataFrame:
-    """The documents without near-duplicates: of each component the one with the smallest doc_id stays.
+def shingle_set(text: str, width: int) -> set[tuple[bytes, ...]]:
+    words = text.encode().lower().split()
+    return {tuple(words[i : i + width]) for i in range(max(len(words) - width + 1, 1))}
+
+
+def alike(width: int, similarity: float):
+    """Rows ``doc_id, root, near``: whether a text has that similarity (Jaccard, of shingles) with its group's ``kept`` text."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        last, held = None, set()
+        for rows in batches:
+            near = []
+            for text, kept in zip(rows.column("text").to_pylist(), rows.column("kept").to_pylist(), strict=True):
+                if kept != last:
+                    last, held = kept, shingle_set(kept, width)
+                own = shingle_set(text, width) if text != kept else held
+                both = len(own & held)
+                near.append(both >= similarity * (len(own) + len(held) - both))
+            yield batch(doc_id=rows.column("doc_id"), root=rows.column("root"), near=pa.array(near, pa.bool_()))
+
+    return run
+
+
+def keep_one(docs: DataFrame, words: int = STAGE_WORDS, similarity: float = STAGE_SIMILARITY) -> DataFrame:
+    """The documents without near-duplicates: those that are that similar to a document which stays go.
 
-    Rows that repeat that doc_id stay as they are; rows without doc_id go.
+    Candidates are the components of fingerprints. In each the smallest doc_id stays, and
+    documents with ``similarity`` of its shingles or more go; of the others the smallest stays,
+    and so on until none is left. So a document goes only for one that stays, and a chain
+    of links alone removes nothing. Rows that repeat a doc_id stay or go together; they are
+    compared by the first of their texts. Rows without doc_id go.
     """
-    kept = near_duplicates(docs).filter("doc_id = component_id").select("doc_id").distinct()
-    return docs.join(kept, "doc_id", "left_semi").select(*docs.columns)
+    spark, number = docs.sparkSession, F.col("doc_id").cast("long")
+    near = stage(near_duplicates(docs, words).select("doc_id", F.col("component_id").alias("root")).distinct(), "near")
+    several = near.groupBy("root").agg(F.count("*").alias("n")).filter("n > 1").select("root")
+    texts = texts_of(docs).groupBy("doc_id").agg(F.min("text").alias("text"))
+    left = stage(texts.join(near.join(several, "root"), "doc_id"), "near-texts")
+    gone = None
+    while not left.isEmpty():
+        kept = left.groupBy(F.col("root").alias("of")).agg(F.min(F.struct("doc_id", F.col("text").alias("kept"))).alias("first"))
+        kept = kept.select("of", F.col("first.doc_id").alias("first"), "first.kept")
+        pairs = left.join(kept, F.col("root") == F.col("of")).filter("doc_id <> first").select("doc_id", "root", "text", "kept")
+        judged = stage(mapped(pairs, alike(words, similarity), "doc_id long, root long, near boolean"), "near-judged")
+        found = judged.filter("near").select("doc_id")
+        gone = found if gone is None else gone.union(found)
+        left = stage(left.join(judged.filter("NOT near").select("doc_id"), "doc_id", "left_semi"), "near-texts")
+    present = docs.filter(number.isNotNull())
+    if gone is None:
+        return present
+    return present.join(gone.withColumnRenamed("doc_id", "near_duplicate"), number == F.col("near_duplicate"), "left_anti").select(*docs.columns)

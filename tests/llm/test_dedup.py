@@ -159,12 +159,16 @@ def test_lines_of_the_tables(spark, sf_dir):
     assert got == {k: (n, hashlib.sha256(x.encode()).hexdigest()) for k, (n, x) in lines_by_hand(texts).items()}
 
 
-def print_by_hand(text):
+def runs_by_hand(text, width):
     data = "".join(c.lower() if "A" <= c <= "Z" else c for c in text or "")
     for c in "\t\n\x0b\x0c\r":
         data = data.replace(c, " ")
     found = [w for w in data.split(" ") if w]
-    runs = [" ".join(found[i : i + 4]) for i in range(max(len(found) - 3, 1))] if found else []
+    return [" ".join(found[i : i + width]) for i in range(max(len(found) - width + 1, 1))] if found else []
+
+
+def print_by_hand(text, width=4):
+    runs = runs_by_hand(text, width)
     hashes = [xxhash.xxh64_intdigest(r.encode(), 42) for r in runs]
     return sum(1 << b for b in range(64) if 2 * sum(h >> b & 1 for h in hashes) > len(hashes))
 
@@ -187,6 +191,32 @@ def components_by_hand(prints):
     return {d: top(d) for d in ids}
 
 
+def kept_by_hand(texts):
+    """Of texts by doc_id those that stay: by component, ascending, if not similar to one that stays."""
+    root, kept = components_by_hand({d: print_by_hand(t, 5) for d, t in texts.items()}), {}
+    for d in sorted(texts):
+        own = set(runs_by_hand(texts[d], 5))
+        others = (set(runs_by_hand(texts[k], 5)) for k in kept.get(root[d], []))
+        if not any(len(own & x) >= 0.8 * len(own | x) for x in others):
+            kept.setdefault(root[d], []).append(d)
+    return {d for group in kept.values() for d in group}
+
+
+def test_one_of_each_group_stays(spark):
+    base, draw = words(300, 5).split(), random.Random(6)
+    texts = {}
+    for i in range(60):  # a chain: each a little further from the first
+        texts[i] = " ".join(base)
+        base[draw.randrange(300)] = f"new{i}"
+        if i % 3 == 0:
+            base[draw.randrange(300)] = f"and{i}"
+    texts.update({100 + i: words(40, i % 7) for i in range(20)} | {200: "", 201: " \n", 202: "a b", 203: "A  b", 204: "a c"})
+    docs = spark.createDataFrame([(i, t, 0) for i, t in texts.items()], "doc_id long, text string, root int").repartition(3)
+    got = {r.doc_id for r in simhash.keep_one(docs).collect()}
+    want = kept_by_hand(texts)
+    assert got == want and 2 < len([d for d in want if d < 60]) < 60 and len([d for d in want if 100 <= d < 200]) == 7
+
+
 def test_fingerprints_as_by_hand():
     texts = ["", " \n\t", "One", "One two Three", "a b c d", "a b c d e", "Ä Ö a\x0bb\x1cc d e f g h", words(500, 3), "x " * 4000]
     for text in texts:
