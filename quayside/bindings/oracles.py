@@ -457,6 +457,7 @@ FROM events""",
     ),
     "stuck_runs": RUN_ROWS,
     "stuck_runs_split": RUN_ROWS,
+    "stuck_runs_bucketed": RUN_ROWS,
     "stuck_stream": RUN_ROWS,
     "stuck_stream_ordered": RUN_ROWS,
     "stuck_runs_gaps": GAP_ROWS,
@@ -626,6 +627,10 @@ _LONG = "\nUNION ALL ".join(
         for f, lo, hi in READING.limits
     ]
 )
+ORACLES["history_stored"] = (
+    f"SELECT * FROM ({ORACLES['raw_upsert_table']}) WHERE equipment_id = '7'"
+    " AND day_bucket IN ('2024-01-05', '2024-01-06', '2024-01-20')"
+)
 ORACLES["late_hours_load"] = ORACLES["warehouse_load"]
 ORACLES["violations"] = f"{ctes(READINGS, CHECKED)}SELECT seq, rule, field FROM ({_LONG})"
 ORACLES["violation_counts"] = (

@@ -45,6 +45,7 @@ from quayside.plans.etl import (
 )
 from quayside.session import configure, stage, workspace
 from quayside.sinks import tables
+from quayside.sinks.clustered import write_clustered
 from quayside.sources import raw
 from quayside.sources.topics import parse_payload, stream_source
 from quayside.streaming.clean import start_clean_stream
@@ -354,6 +355,20 @@ def stuck_runs_split(spark: SparkSession, sf_dir: str) -> DataFrame:
     return runs.select("seq", "level", "run_length", "is_stuck")
 
 
+def clustered_levels(spark: SparkSession, sf_dir: str) -> DataFrame:
+    path = workspace(spark, "levels")
+    name = f"levels_{path.rsplit('-', 1)[1]}"
+    return write_clustered(levels(spark, sf_dir), name, path, LEVEL_KEYS, LEVEL_ORDER, buckets=8)
+
+
+@query
+def stuck_runs_bucketed(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Runs of a table that is stored by key: nothing is shuffled."""
+    rows = clustered_levels(spark, sf_dir)
+    runs = stuck_runs(rows, LEVEL_KEYS, LEVEL_ORDER, "level", rows_per_piece=None)
+    return runs.select("seq", "level", "run_length", "is_stuck")
+
+
 @query
 def state_snapshot(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Second half of the readings, started from the state the first half left."""
@@ -405,16 +420,30 @@ def raw_upsert(spark: SparkSession, sf_dir: str) -> DataFrame:
     return merge.raw_upsert(monthly(new), merged, keys, "seq")
 
 
-@query
-def raw_upsert_table(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Two merges into a stored table partitioned by day: even rows, then odd ones."""
+def merged_raw_table(spark: SparkSession, sf_dir: str) -> str:
     path = workspace(spark, "raw")
     odd = F.col("seq") % 2 == 1
     rows = raw_rows(spark, sf_dir)
     tables.upsert_raw_table(rows.filter(~odd), path, "seq")
     later = rows.filter(odd).withColumn("seq", F.col("seq") + LATER)
     tables.upsert_raw_table(later, path, "seq")
-    return spark.read.parquet(path).select(*_text_keys(), "timestamp", "state", "speed", "seq")
+    return path
+
+
+@query
+def raw_upsert_table(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Two merges into a stored table partitioned by day: even rows, then odd ones."""
+    rows = spark.read.parquet(merged_raw_table(spark, sf_dir))
+    return rows.select(*_text_keys(), "timestamp", "state", "speed", "seq")
+
+
+@query
+def history_stored(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """One equipment's days out of the stored raw table, which lies by day and id."""
+    rows = spark.read.parquet(merged_raw_table(spark, sf_dir))
+    days = [datetime.strptime(d, "%Y-%m-%d").date() for d in HISTORY_DAYS]
+    found = raw.history(rows, "7", days)
+    return found.select(*_text_keys(), "timestamp", "state", "speed", "seq")
 
 
 def _text_keys() -> list[Column]:

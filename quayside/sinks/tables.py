@@ -33,6 +33,10 @@ _CLEAN_EXTRA = struct_of(
 CLEAN_PARTITIONS = ("equipment_type", "event_date")
 REJECTED_PARTITIONS = ("rejected_date",)
 RAW_PARTITIONS = ("equipment_type", "day_bucket")
+#: Raw rows of a day lie by this column, which look-ups of one equipment go by.
+RAW_CLUSTER = "equipment_id"
+#: Different values that a file's Bloom filter is made for.
+FILTERED_VALUES = 100_000
 
 
 def rebalanced(df: DataFrame, by: Sequence[str]) -> DataFrame:
@@ -207,7 +211,7 @@ def upsert_raw_table(new: DataFrame, path: str, seq_col: str) -> None:
     if existing is not None:
         existing = _touched(text_days(existing, path), new, RAW_PARTITIONS, "day_bucket")
     merged = stage(raw_upsert(new, existing, keys, seq_col), "raw-merge")
-    _overwrite_partitions(merged, path, RAW_PARTITIONS)
+    _overwrite_partitions(merged, path, RAW_PARTITIONS, RAW_CLUSTER)
 
 
 def _touched(
@@ -223,10 +227,23 @@ def _touched(
     return existing.filter(inside).join(touched, list(partitions), "left_semi")
 
 
-def _overwrite_partitions(df: DataFrame, path: str, partitions: Sequence[str]) -> None:
+def _overwrite_partitions(
+    df: DataFrame, path: str, partitions: Sequence[str], cluster: str | None = None
+) -> None:
+    """Replace the partitions that ``df`` has rows of.
+
+    Inside them rows are dealt to files by ranges of ``cluster`` and sorted by it, and files have
+    a Bloom filter of it, so a look-up of one value skips files, row groups and pages.
+    """
+    if cluster is None:
+        dealt = rebalanced(df, partitions).write
+    else:
+        by = [*partitions, cluster]
+        dealt = df.repartitionByRange(*by).sortWithinPartitions(*by).write
+        dealt = dealt.option(f"parquet.bloom.filter.enabled#{cluster}", "true")
+        dealt = dealt.option(f"parquet.bloom.filter.expected.ndv#{cluster}", str(FILTERED_VALUES))
     (
-        rebalanced(df, partitions)
-        .write.mode("overwrite")
+        dealt.mode("overwrite")
         .option("partitionOverwriteMode", "dynamic")
         .partitionBy(*partitions)
         .parquet(path)
