@@ -413,6 +413,16 @@ FROM events""",
     "batch_loads_stuck": VERDICTS,
     "compacted_clean": VERDICTS,
     "load_then_stream": VERDICTS,
+    "stream_batch_counts": f"SELECT 3 AS batches, count(*) FILTER (reject_reason IS NULL) AS valid_count,"
+    " count(reject_reason) AS rejected_count, count(*) FILTER (reject_reason = 'capteur_bloque') AS stuck_count"
+    f" FROM ({VERDICTS})",
+    "payload_drift": f"""{ctes(EV)}, more AS (
+  SELECT list_extract({[k.topic for k in KINDS]}, CAST(user_id % {len(KINDS)} AS INTEGER) + 1) AS topic, event_id * 2 + copy AS "offset"
+  FROM ev WHERE (event_id * 2 + copy) % 10 = 0 AND event_id % 211 <> 0
+)
+SELECT topic, field, type, count(*) AS message_count FROM more, LATERAL (VALUES
+  ('firmware', 'STRING'), ('nested', 'OBJECT<a: DECIMAL(2,1)>'), ('retries', CASE WHEN "offset" % 20 = 0 THEN 'BIGINT' ELSE 'VOID' END)) AS found(field, type)
+GROUP BY ALL""",
     "stream_after_load": VERDICTS,
     "latest_many": f"SELECT equipment_id, event_timestamp FROM ({VERDICTS})"
     f" WHERE topic = '{KINDS[0].topic}' AND reject_reason IS NULL"
@@ -489,6 +499,7 @@ FROM events""",
     "import_file": IMPORTED,
     "import_folder": IMPORTED,
     "raw_ingest": INGESTED,
+    "raw_ingest_stream": INGESTED,
     "publish_raw": PUBLISHED,
     "route_by_type": f"{ctes(SHEET)}SELECT CASE WHEN type <> 'VIEW' THEN lower(type) END"
     " AS equipment_type, type, count(*) AS row_count FROM sheet GROUP BY ALL",

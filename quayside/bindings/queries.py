@@ -48,8 +48,10 @@ from quayside.sinks import tables
 from quayside.sinks.clustered import write_clustered
 from quayside.sources import raw
 from quayside.sources.topics import parse_payload, stream_source
+from quayside.streaming.clean import batch_counts as counts_of_batches
 from quayside.streaming.clean import start_clean_stream
 from quayside.plans.maintenance import load_changed_hours
+from quayside.streaming.ingest import start_ingest_stream
 from quayside.streaming.ordered import admit, rocksdb, stuck_stream_ordered
 from quayside.streaming.state import dedupe_stream, stuck_stream
 from quayside.streaming.windows import hourly_now, start_hourly_stream, stream_hourly
@@ -315,6 +317,20 @@ def topic_profile(spark: SparkSession, sf_dir: str) -> DataFrame:
     return counts.topic_profile(telemetry(spark, sf_dir), key="key")
 
 
+@query
+def payload_drift(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Fields that a tenth of the messages have beyond the catalogue."""
+    added = F.concat(
+        F.regexp_extract("value", r"^(.*)\}$", 1),
+        F.lit(',"firmware":"1.2","retries":'),
+        F.when(F.col("offset") % 20 == 0, "3").otherwise("null"),
+        F.lit(',"nested":{"a":1.5}}'),
+    )
+    more = (F.col("offset") % 10 == 0) & F.col("value").endswith("}")
+    messages = telemetry(spark, sf_dir)
+    return counts.unknown_fields(messages.withColumn("value", F.when(more, added).otherwise(F.col("value"))))
+
+
 @query
 def union_rejects(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Validation rejects and stuck rows of each kind, one side lacking ``run_length``."""
@@ -538,16 +554,35 @@ def ingested(spark: SparkSession, sf_dir: str) -> Tables:
     return stored
 
 
-@query
-def raw_ingest(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Files to raw table: rows by type, and rejects by reason."""
-    stored = ingested(spark, sf_dir)
+def ingested_parts(spark: SparkSession, stored: Tables) -> DataFrame:
     rows = spark.read.parquet(stored.raw).select(F.col("equipment_type").alias("part"))
     rejected = spark.read.parquet(stored.rejected_import)
     both = rows.unionByName(rejected.select(F.col("reject_reason").alias("part")))
     return both.groupBy("part").agg(F.count("*").alias("row_count"))
 
 
+@query
+def raw_ingest_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Sheets that arrive in three turns, the stream started anew for each: one ingest of all."""
+    stored, home = Tables(workspace(spark, "arrivals")), workspace(spark, "sheets")
+    sheet = exported(spark, sf_dir)
+    third = F.coalesce(F.pmod(F.xxhash64("seq", "type", "equipment_id"), F.lit(3)), F.lit(0))
+    for turn in range(3):
+        part = sheet.filter(third == turn)
+        part = part.select(*reversed(sheet.columns)) if turn else part
+        part.write.mode("append").option("header", True).csv(f"{home}/inbox")
+        start_ingest_stream(
+            spark, f"{home}/inbox", stored, f"{home}/checkpoint", AS_OF, SHEET_KINDS, trigger=ONCE
+        ).awaitTermination()
+    return ingested_parts(spark, stored)
+
+
+@query
+def raw_ingest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Files to raw table: rows by type, and rejects by reason."""
+    return ingested_parts(spark, ingested(spark, sf_dir))
+
+
 @query
 def publish_raw(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The stored raw table as keyed messages."""
@@ -927,6 +962,26 @@ def stream_clean(spark: SparkSession, sf_dir: str) -> DataFrame:
     return stored_verdicts(spark, clean, rejected)
 
 
+@query
+def stream_batch_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What the batches of a stream counted, three starts together."""
+    home = workspace(spark, "counted-stream")
+
+    def start():
+        return start_clean_stream(
+            stream_source(spark, fmt="parquet", path=f"{home}/inbox"),
+            clean_path=f"{home}/clean",
+            rejected_path=f"{home}/rejected",
+            checkpoint=f"{home}/checkpoint",
+            trigger=ONCE,
+            counts_path=f"{home}/counts",
+        )
+
+    replay(slices(telemetry(spark, sf_dir)), f"{home}/inbox", start)
+    names = [F.sum(c).alias(c) for c in ("valid_count", "rejected_count", "stuck_count")]
+    return counts_of_batches(spark, f"{home}/counts").agg(F.count("*").alias("batches"), *names)
+
+
 @query
 def load_then_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Three kinds loaded as a batch, then three streamed into the same tables: rows of both."""

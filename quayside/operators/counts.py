@@ -7,7 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from quayside.catalogue import STUCK_SENSOR
+from quayside.catalogue import KINDS, STUCK_SENSOR, Kind
 
 
 def outcome_counts() -> list[Column]:
@@ -52,3 +52,22 @@ def reject_rate(df: DataFrame, by: Sequence[str] = ()) -> DataFrame:
         rejected.alias("rejected_count"),
         F.try_divide(rejected, F.count("*")).alias("reject_rate"),
     )
+
+
+def unknown_fields(messages: DataFrame, kinds: Sequence[Kind] = KINDS) -> DataFrame:
+    """``topic, field, type, message_count``: payload fields that the catalogue does not know.
+
+    Payloads are read as VARIANT, so a field's type is that of its values, message by
+    message; a field of several types has a row for each. Text that is no JSON object has
+    no fields, and topics that no kind has are left out.
+    """
+    known = F.coalesce(*[F.when(F.col("topic") == k.topic, F.array(*map(F.lit, k.fields))) for k in kinds])
+    parsed = messages.select("topic", F.try_parse_json("value").alias("payload")).filter(
+        F.schema_of_variant("payload").startswith("OBJECT<")
+    )
+    fields = messages.sparkSession.sql(
+        "SELECT topic, key AS field, schema_of_variant(value) AS type FROM {parsed}, LATERAL variant_explode(payload)",
+        parsed=parsed,
+    )
+    strange = fields.filter(~F.array_contains(known, F.col("field")))
+    return strange.groupBy("topic", "field", "type").agg(F.count("*").alias("message_count"))

@@ -123,7 +123,7 @@ def drop_merged(spark: SparkSession, stored: Tables) -> None:
 
 def ingest_files(
     spark: SparkSession,
-    path: str,
+    path: str | list[str],
     stored: Tables,
     load_id: int,
     as_of: datetime,

@@ -26,10 +26,12 @@ def import_file(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.option("header", True).option("mode", "PERMISSIVE").csv(path)
 
 
-def import_folder(spark: SparkSession, path: str, multi_line: bool = False) -> DataFrame:
+def import_folder(
+    spark: SparkSession, path: str | list[str], multi_line: bool = False
+) -> DataFrame:
     """Many exported sheets at once, each read by its own header; columns meet by name.
 
-    ``path`` may hold wildcards. ``multi_line`` lets cells hold line breaks, at the price
+    ``path`` may hold wildcards, or be a list. ``multi_line`` lets cells hold line breaks, at the price
     of files that are not split. The driver sees each file's name and header line only;
     files of equal header are read together.
     """

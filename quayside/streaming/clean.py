@@ -6,11 +6,11 @@ import logging
 from collections.abc import Callable, Sequence
 from hashlib import md5
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
-from quayside.catalogue import KINDS, STUCK_THRESHOLD, Kind
+from quayside.catalogue import KINDS, STUCK_THRESHOLD, Kind, struct_of
 from quayside.operators.counts import observe_counts, outcome_counts
 from quayside.operators.quality import split_valid, to_rejected_mixed, union_rejects
 from quayside.operators.stuck import ROWS_PER_PIECE
@@ -21,11 +21,23 @@ from quayside.plans.cleaning import (
     pieces_needed,
     validate_messages,
 )
+from quayside.sinks.keyed import KeyedLog
 from quayside.sinks.state import StuckState
 from quayside.sinks.tables import clean_rows, write_clean, write_rejected
 from quayside.streaming.ordered import COPY, LATE, admit
 
 log = logging.getLogger(__name__)
+COUNTS = ("valid_count", "rejected_count", "stuck_count")
+BATCH_COLUMNS = ", ".join(["batch_id BIGINT", *(f"{c} BIGINT" for c in COUNTS)])
+
+
+def batch_log(path: str) -> KeyedLog:
+    return KeyedLog(path, ["batch_id"], struct_of(f"{BATCH_COLUMNS}, finished_at TIMESTAMP"))
+
+
+def batch_counts(spark: SparkSession, path: str) -> DataFrame | None:
+    """``batch_id``, counts and ``finished_at`` of every batch that a stream has written."""
+    return batch_log(path).before(spark)
 
 
 def start_clean_stream(
@@ -42,6 +54,7 @@ def start_clean_stream(
     rows_per_piece: int | None = ROWS_PER_PIECE,
     on_counts: Callable[[int, dict], None] | None = None,
     begin_from: DataFrame | None = None,
+    counts_path: str | None = None,
 ) -> StreamingQuery:
     """Start cleaning ``topic, value, offset`` messages into the two tables.
 
@@ -53,7 +66,8 @@ def start_clean_stream(
     busy equipment is split over tasks here as well and no row passes through
     Python. ``checkpoint`` must be a folder that all executors share. A stream without
     a state of its own starts from ``begin_from`` (``plans.etl.loaded_state``: where the
-    batch loads ended), so that runs go on from loads to the stream.
+    batch loads ended), so that runs go on from loads to the stream. ``counts_path`` keeps
+    every batch's counts (``batch_counts``), over restarts, a repeated batch's once.
     """
     validated = observe_counts(validate_messages(messages, kinds), "validation")
     if dedupe == "watermark":
@@ -96,6 +110,10 @@ def start_clean_stream(
             state.write(next_state(outcome), batch_id)
             state.forget(spark, batch_id)
             log.info("batch %d: %s", batch_id, counts)
+            if counts_path is not None:
+                row = (batch_id, *(counts[c] for c in COUNTS))
+                counted = spark.createDataFrame([row], BATCH_COLUMNS)
+                batch_log(counts_path).write(counted.withColumn("finished_at", F.current_timestamp()), batch_id)
             if on_counts is not None:
                 on_counts(batch_id, counts)
         finally:

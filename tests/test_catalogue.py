@@ -1,5 +1,7 @@
 """The catalogue's limits, pinned: the SQL twins read the same object and would not notice."""
 
+from helpers import message
+
 from quayside.catalogue import KINDS, STUCK_THRESHOLD
 
 # Lowest and highest valid measure of each kind, in the order they are reported.
@@ -34,3 +36,17 @@ def test_limits_and_watched_fields():
     assert {k.name: k.watched for k in KINDS} == WATCHED
     assert [k.topic for k in KINDS] == [f"{name}_data" for name in LIMITS]
     assert STUCK_THRESHOLD == 5
+
+
+def test_fields_that_the_catalogue_does_not_know(spark):
+    from quayside.operators.counts import unknown_fields
+
+    values = [
+        message(firmware="1"), message(firmware=None, extra=[1, 2]), message(), message(Speed=1), "[1]", "{", None, "5", '"x"', "{}",
+    ]
+    rows = [("elevator_data", v) for v in values] + [("other", message(firmware="1"))]
+    found = unknown_fields(spark.createDataFrame(rows, "topic string, value string")).collect()
+    assert sorted((r.topic, r.field, r.type, r.message_count) for r in found) == [
+        ("elevator_data", "Speed", "BIGINT", 1), ("elevator_data", "extra", "ARRAY<BIGINT>", 1),
+        ("elevator_data", "firmware", "STRING", 1), ("elevator_data", "firmware", "VOID", 1),
+    ]

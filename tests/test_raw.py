@@ -1,14 +1,18 @@
 from datetime import datetime
 
+import pytest
 from pyspark.sql import functions as F
 
 from quayside.catalogue import ELEVATOR, TRACTOR
 from quayside.functions import text
 from quayside.operators.merge import raw_upsert
 from quayside.operators.publish import to_keyed_json
+from quayside.plans import etl
 from quayside.plans.cleaning import validate_messages
+from quayside.session import workspace
 from quayside.sinks import tables
 from quayside.sources import raw
+from quayside.streaming import ingest
 
 AS_OF = datetime(2026, 1, 2, 3, 4, 5)
 
@@ -103,3 +107,40 @@ def test_published_messages_are_readable_again(spark):
     assert m.key == "A" and m.value == '{"equipment_id":"A","timestamp":"2026-01-01T10:00:00.000005","speed":1.5}'
     back = validate_messages(sent.withColumns({"topic": F.lit("elevator_data"), "offset": F.lit(0)})).first()
     assert (back.speed, back.event_timestamp) == (1.5, datetime(2026, 1, 1, 10, 0, 0, 5))
+
+
+def test_sheets_are_taken_in_once(spark, tmp_path):
+    """A batch that is lost after its rows were written is repeated without copies; the later sheet wins."""
+    stored, inbox = etl.Tables(workspace(spark, "taken")), tmp_path / "inbox é"
+    inbox.mkdir()
+
+    def start():
+        return ingest.start_ingest_stream(
+            spark, str(inbox), stored, str(tmp_path / "checkpoint"), datetime(2026, 1, 5), [ELEVATOR], 1, {"availableNow": True}
+        )
+
+    def send(name, *rows):
+        (inbox / name).write_text("equipment_id,type,timestamp,speed\n" + "\n".join(rows) + "\n")
+
+    send("a.csv", "E1,ELEVATOR,2026-01-01 10:00:00,1", "E2,ELEVATOR,2026-01-01 10:00:00,2", "E3,OTHER,2026-01-01 10:00:00,3")
+    start().awaitTermination()
+    send("b b.csv", "E1,ELEVATOR,2026-01-01 10:00:00,7")
+    whole, lost = ingest.ingest_files, []
+
+    def fail(*args):
+        whole(*args)
+        lost.append(args[3])
+        raise RuntimeError("lost")
+
+    ingest.ingest_files = fail
+    try:
+        with pytest.raises(Exception, match="lost"):
+            start().awaitTermination()
+    finally:
+        ingest.ingest_files = whole
+    start().awaitTermination()
+    start().awaitTermination()  # nothing is new
+    rows = {r.equipment_id: r.speed for r in spark.read.parquet(stored.raw).collect()}
+    assert lost == [1] and rows == {"E1": "7", "E2": "2"}
+    rejected = spark.read.parquet(stored.rejected_import)
+    assert [(r.reject_reason, r.load_id) for r in rejected.collect()] == [("type_inconnu", 0)]
