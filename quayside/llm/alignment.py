@@ -28,7 +28,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from quayside.llm.common import batch, mapped, texts_of
+from quayside.llm.common import batch, byte_letters, mapped, texts_of
 from quayside.session import stage, workspace
 
 #: Bytes of text and documents of a chunk; pieces that are encoded at once.
@@ -41,13 +41,6 @@ DOC_ROWS = "chunk long, number int, doc_id long, n_a long, n_b long, n_groups lo
 PAIR_ROWS = "chunk long, pair long, n_docs int, n_links long, docs binary, planes binary"
 
 
-def byte_letters() -> dict[str, int]:
-    """The letters by which byte-level vocabularies write bytes: visible Latin-1 as it is, the others from 256 on."""
-    visible = [*range(33, 127), *range(161, 173), *range(174, 256)]
-    hidden = [x for x in range(256) if x not in visible]
-    return {chr(x): x for x in visible} | {chr(256 + i): x for i, x in enumerate(hidden)}
-
-
 class Spans(NamedTuple):
     """Tokens, groups and links of some pieces; ``*_ends`` count them up to each piece's end."""
 

@@ -12,16 +12,18 @@ from pyspark.sql.types import StructType
 
 from quayside.session import ship, stage
 
-#: Rows and bytes of one Arrow batch, as texts may be long.
-BATCH_ROWS, BATCH_BYTES = 256, 8 << 20
+#: Bytes of one Arrow batch, as texts may be long.
+BATCH_BYTES = 1 << 20
 #: Rows up to which a staged table of a row per source or language is sent to all executors.
 SENT_ROWS = 10_000
 
 
 def prepare(spark: SparkSession) -> SparkSession:
-    """Session settings of the Python operators: small batches, as texts may be long."""
+    """What the Python operators need: the package, and batches that are bounded in bytes.
+
+    This one setting is the same for all operators; it bounds memory and changes no result.
+    """
     ship(spark)
-    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(BATCH_ROWS))
     spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(BATCH_BYTES))
     return spark
 
@@ -80,6 +82,13 @@ def batch(**columns: Sequence | np.ndarray | pa.Array) -> pa.RecordBatch:
     return pa.RecordBatch.from_arrays([c if isinstance(c, pa.Array) else pa.array(c) for c in columns.values()], names=list(columns))
 
 
+def byte_letters() -> dict[str, int]:
+    """The letters by which byte-level vocabularies write bytes: visible Latin-1 as it is, the others from 256 on."""
+    visible = [*range(33, 127), *range(161, 173), *range(174, 256)]
+    hidden = [x for x in range(256) if x not in visible]
+    return {chr(x): x for x in visible} | {chr(256 + i): x for i, x in enumerate(hidden)}
+
+
 def components(links: DataFrame, name: str) -> DataFrame:
     """``node, root`` for every node of ``links`` (a, b): root is the smallest node reachable.
 

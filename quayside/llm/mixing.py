@@ -80,27 +80,35 @@ def mix(docs: DataFrame, weights: dict[str, float] | None = None, seed: int = SE
 
     Rows without doc_id or with a null or empty text are drawn like others; rows that
     share a doc_id are drawn alike. Columns of ``docs`` that are called copy or
-    shuffle_key are replaced.
+    shuffle_key, in whatever case, are replaced; all others keep name and value, as the
+    operator's own columns live beside numbered ones.
     """
     spark = docs.sparkSession
     rates = stage(source_rates(docs, weights), "source-rates")
     total = rates.agg(F.sum("size")).first()[0] or 0
-    drawn = sent_if_small(distributions(rates).select(F.struct("*").alias("_dealt")))
+    drawn = sent_if_small(distributions(rates).select(F.struct("*").alias("dealt")))
+    kept = [c for c in docs.columns if c.lower() not in ("copy", "shuffle_key")]
+    plain = {f"in_{i}": c for i, c in enumerate(kept)}
+    inner = docs.select(*[quoted(c).alias(i) for i, c in plain.items()], doc_key().alias("key"), F.col("source").alias("of"))
     numbers = F.transform(
-        F.sequence(F.lit(0), F.col("_dealt.parts") - 1),
-        lambda part: uniform(F.lit(str(seed)), doc_key(), part.cast("string")),
+        F.sequence(F.lit(0), F.col("dealt.parts") - 1),
+        lambda part: uniform(F.lit(str(seed)), F.col("key"), part.cast("string")),
     )
-    draws = F.aggregate(numbers, F.lit(0), lambda n, u: n + F.size(F.filter("_dealt.cdf", lambda c: c <= u)))
-    kept = [c for c in docs.columns if c not in ("copy", "shuffle_key")]
+    draws = F.aggregate(numbers, F.lit(0), lambda n, u: n + F.size(F.filter("dealt.cdf", lambda c: c <= u)))
     copies = (
-        docs.select(*kept)
-        .join(drawn, F.col("source").eqNullSafe(F.col("_dealt.source")))
-        .withColumn("_n", draws)
-        .filter("_n > 0")
-        .select(*kept, F.explode(F.sequence(F.lit(1), F.col("_n"))).alias("copy"))
-        .withColumn("shuffle_key", F.md5(F.concat_ws(":", F.lit(f"{seed}-order"), doc_key(), F.col("copy").cast("string"))))
+        inner.join(drawn, F.col("of").eqNullSafe(F.col("dealt.source")))
+        .withColumn("n", draws)
+        .filter("n > 0")
+        .select(*plain, "key", F.explode(F.sequence(F.lit(1), F.col("n"))).alias("copy"))
+        .withColumn("shuffle_key", F.md5(F.concat_ws(":", F.lit(f"{seed}-order"), F.col("key"), F.col("copy").cast("string"))))
+        .drop("key")
     )
-    return copies.repartitionByRange(by_rows(spark, total, TASK_CHARS), "shuffle_key").sortWithinPartitions("shuffle_key")
+    dealt = copies.repartitionByRange(by_rows(spark, total, TASK_CHARS), "shuffle_key").sortWithinPartitions("shuffle_key")
+    return dealt.select(*[F.col(i).alias(c) for i, c in plain.items()], "copy", "shuffle_key")
+
+
+def quoted(name: str) -> Column:
+    return F.col(f"`{name.replace('`', '``')}`")
 
 
 def doc_key() -> Column:

@@ -13,6 +13,7 @@ separator; for the index it is the zero byte on top of a 64-bit number below 2**
 
 from __future__ import annotations
 
+import json
 import re
 import sys
 import zlib
@@ -27,15 +28,17 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from quayside.llm.common import batch, by_rows, mapped, texts_of
+from quayside.llm.common import batch, by_rows, byte_letters, mapped, texts_of
 from quayside.session import workspace
 
 #: Bytes of text that one file covers on average; its ids are about as large again.
 FILE_BYTES = 12 << 20
-#: Words a task remembers the ids of.
-MEMORY = 700_000
-#: Rows that are encoded at once: more recurring words, fewer look-ups.
-ENCODE_ROWS = 1024
+#: Words a worker remembers the ids of.
+MEMORY = 450_000
+#: Bytes of text that are encoded at once: more recurring words, fewer look-ups.
+ENCODE_BYTES = 2 << 20
+#: Words of one call of the library.
+CALL = 5_000
 #: The index is sent to all executors up to this size, beyond it is joined by a shuffle.
 INDEX_BYTES = 32 << 20
 
@@ -44,6 +47,9 @@ TABLE = "doc_id long, start long, n_tokens long, ids_crc32 long"
 
 _SPACE = re.compile(r"(?<=\S) (?=\S)")
 #: Latin letters, then marks of ASCII other than the apostrophe.
+_LETTERS = re.compile(r"[A-Za-zÀ-ÖØ-öø-ÿ]+")
+#: How byte-level vocabularies write each byte.
+_LETTER = {x: c for c, x in byte_letters().items()}
 _TAILED = re.compile(r"([A-Za-zÀ-ÖØ-öø-ÿ]+)([!-&(-/:-@\[-`{-~]+)")
 
 
@@ -64,19 +70,25 @@ class Encoder:
         self.tokenizer = Tokenizer.from_file(path)
         self.tokenizer.encode_special_tokens = not plain
         self.kind = "H" if width == 2 else "I"
-        self.words: dict[str, bytes] = {}  # by the word after a space; none has white space at its ends
+        made = json.loads(self.tokenizer.to_str())
+        plainly = made["normalizer"] is None and (made["pre_tokenizer"] or {}).get("type") == "ByteLevel"
+        #: A space and letters are one piece of the pattern, which its model can be asked for directly.
+        self.direct = plainly and made["model"]["type"] == "BPE" and sys.byteorder == "little"
+        # by the word after a space; none has white space at its ends
+        self.words: dict[str, bytes] = {}
+        self.once: set[str] = set()  # those of them that one batch alone has held
         self.tails: dict[str, bytes] = {}  # of marks that end words
 
     def encode(self, texts: list[str]) -> list[bytes]:
-        if len(self.words) > MEMORY:  # the older half goes
-            self.words = dict(islice(self.words.items(), MEMORY // 2, None))
-            self.tails = {}
+        if len(self.words) > MEMORY:
+            self.forget()
         words = self.words
         pieces = [text.split(" ") for text in texts]
         heads = [rest.pop(0) for rest in pieces]
         new: set[str] = set()
         for rest in pieces:
             new.update(rest)
+        self.once.difference_update(new)
         new.difference_update(words)
         odd = {w for w in new if w != w.strip() or not w}
         if odd:
@@ -90,23 +102,44 @@ class Encoder:
         out = [head + b"".join(map(words.__getitem__, rest)) for head, rest in zip(self.ids(heads), pieces, strict=True)]
         for w in odd:  # not known to stand alone in a plain split
             words.pop(w, None)
+        self.once.difference_update(odd)
         return out
 
+    def forget(self) -> None:
+        """Words that one batch alone has held go; if that is less than half, the younger half."""
+        for w in self.once:
+            self.words.pop(w, None)
+        if len(self.words) > MEMORY // 2:
+            self.words = dict(islice(self.words.items(), MEMORY // 2))
+        self.once, self.tails = set(), {}
+
     def learn(self, new: set[str]) -> None:
         """Remember words. Letters and the marks after them are apart in the pattern, and in memory."""
         words, tails = self.words, self.tails
+        self.once.update(new)
         cut = {w: found.groups() for w in new if (found := _TAILED.fullmatch(w))}
         whole = list(new.difference(cut).union(base for base, _ in cut.values()).difference(words))
+        if self.direct:
+            ask, kind, space = self.tokenizer.model.tokenize, self.kind, _LETTER[32]
+            letters = [w for w in whole if _LETTERS.fullmatch(w)]
+            for w in letters:
+                text = w if w.isascii() else w.encode().decode("latin-1").translate(_LETTER)
+                words[w] = array(kind, [t.id for t in ask(space + text)]).tobytes()
+            whole = list(set(whole).difference(letters))
         words.update(zip(whole, self.ids([" " + w for w in whole]), strict=True))
         marks = list({tail for _, tail in cut.values()}.difference(tails))
         tails.update(zip(marks, self.ids(marks), strict=True))
         words.update((w, words[base] + tails[tail]) for w, (base, tail) in cut.items())
 
     def ids(self, texts: list[str]) -> list[bytes]:
-        found = self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)
-        if sys.byteorder == "big":
-            return [np.array(x.ids, self.kind).byteswap().tobytes() for x in found]
-        return [array(self.kind, x.ids).tobytes() for x in found]
+        out: list[bytes] = []
+        for i in range(0, len(texts), CALL):
+            found = self.tokenizer.encode_batch_fast(texts[i : i + CALL], add_special_tokens=False)
+            if sys.byteorder == "big":
+                out += [np.array(x.ids, self.kind).byteswap().tobytes() for x in found]
+            else:
+                out += [array(self.kind, x.ids).tobytes() for x in found]
+        return out
 
 
 @lru_cache(maxsize=1)
@@ -123,20 +156,37 @@ def id_width(tokenizer: str) -> int:
 
 
 def encode_rows(tokenizer: str, width: int, plain: bool):
-    """Rows ``kind, doc_id, value``: the ids of a document, and its id and length for the index."""
+    """Rows ``kind, doc_id, row, value``: the ids of a document, and its id and length for the index.
+
+    ``row`` tells a task's documents apart, so both kinds have them in one order.
+    """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encode = encoder(tokenizer, width, plain).encode
-        for rows in batches:
-            docs = rows.column("doc_id").to_pylist()
-            ids = encode(rows.column("text").to_pylist())
+        encode, first = encoder(tokenizer, width, plain).encode, 0
+        for docs, texts in gathered(batches):
+            ids = encode(texts)
             sizes = [doc.to_bytes(8, "little", signed=True) + (len(x) // width + 1).to_bytes(8 - width, "little") for doc, x in zip(docs, ids, strict=True)]
-            kinds = pa.array(["ids"] * len(docs) + ["sizes"] * len(docs))
-            yield batch(kind=kinds, doc_id=pa.array(docs + docs, pa.int64()), value=pa.array(ids + sizes, pa.binary()))
+            kinds, rows = pa.array(["ids"] * len(docs) + ["sizes"] * len(docs)), np.arange(first, first + len(docs))
+            first += len(docs)
+            yield batch(kind=kinds, doc_id=pa.array(docs + docs, pa.int64()), row=np.concatenate([rows, rows]), value=pa.array(ids + sizes, pa.binary()))
 
     return run
 
 
+def gathered(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[list[int], list[str]]]:
+    """Ids and texts of so many rows that they make ``ENCODE_BYTES``."""
+    docs, texts, size = [], [], 0
+    for rows in batches:
+        docs += rows.column("doc_id").to_pylist()
+        texts += rows.column("text").to_pylist()
+        size += rows.column("text").nbytes
+        if size >= ENCODE_BYTES:
+            yield docs, texts
+            docs, texts, size = [], [], 0
+    if docs:
+        yield docs, texts
+
+
 def write_raw(df: DataFrame, path: str, width: int, *folders: str) -> None:
     """Values of ``df`` in row order, each followed by ``width`` zero bytes, in folders by the columns named."""
     rows = df.select(*folders, F.col("value").cast("string").alias("value"))
@@ -150,6 +200,7 @@ def read_parts(spark: SparkSession, path: str, number: str) -> DataFrame:
 
 
 def part_sizes(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    encoder.cache_clear()  # workers are used again, and have encoded enough
     for rows in batches:
         sums = [int(np.frombuffer(x, "<i8")[1::2].sum()) for x in rows.column("content").to_pylist()]
         yield batch(part=rows.column("part"), n=pa.array(sums, pa.int64()))
@@ -181,15 +232,15 @@ def write_token_files(docs: DataFrame, path: str, tokenizer: str, plain: bool =
     ``tokenizer``: its file, which all executors can open. Null texts count as empty;
     every document ends with id 0, so an empty one is that id alone. With ``plain`` the
     names of special tokens in a text are those tokens, else ordinary text. Rows without doc_id
-    are left out; rows that repeat a doc_id are written once each, one after another.
-    An empty table gives an empty folder.
+    are left out; rows that repeat a doc_id are written once each, one after another, over
+    as many files as they need. An empty table gives an empty folder.
     """
     spark, texts, width = docs.sparkSession, texts_of(docs), id_width(tokenizer)
     size = texts.agg(F.sum(F.octet_length("text") + 1)).first()[0] or 0
-    placed = texts.repartitionByRange(by_rows(spark, size, FILE_BYTES), "doc_id")
-    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(ENCODE_ROWS))
-    rows = mapped(placed, encode_rows(tokenizer, width, plain), "kind string, doc_id long, value binary")
-    write_raw(rows.sortWithinPartitions("kind", "doc_id"), f"{path}/data", width, "kind")
+    ties = (F.xxhash64("text"), F.monotonically_increasing_id())
+    placed = texts.repartitionByRange(by_rows(spark, size, FILE_BYTES), "doc_id", *ties)
+    rows = mapped(placed, encode_rows(tokenizer, width, plain), "kind string, doc_id long, row long, value binary")
+    write_raw(rows.sortWithinPartitions("kind", "doc_id", "row"), f"{path}/data", width, "kind")
     if not size:
         return
     sizes = read_parts(spark, f"{path}/data/kind=sizes", FILE_PART)
@@ -209,9 +260,9 @@ def read_token_files(spark: SparkSession, path: str, tokenizer: str) -> DataFram
     index = read_parts(spark, f"{path}/index", FOLDER_PART).withColumnRenamed("content", "entries")
     small = (index.agg(F.sum(F.octet_length("entries"))).first()[0] or 0) <= INDEX_BYTES
     joined = ids.join(F.broadcast(index) if small else index, "part")
-    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "1")
 
     def documents(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        encoder.cache_clear()
         for rows in batches:
             for content, entries in zip(rows.column("content"), rows.column("entries"), strict=True):
                 tokens = np.frombuffer(content.as_buffer(), f"<u{width}")

@@ -114,7 +114,6 @@ def top_k(vectors: DataFrame, is_query: Column, k: int = 10, scale: float = 1024
     rows = integer_vectors(vectors, scale)
     queries = rows.filter(is_query).groupBy("vec_id").agg(F.min("vector").alias("vector"))
     n, m = rows.count(), queries.count()
-    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "10000")
     slices, blocks = max(-(-n // CANDIDATE_ROWS), 1), max(-(-m // QUERY_ROWS), 1)
     place = F.xxhash64(F.lit("place"), "vec_id")
     asked = queries.select(

@@ -66,6 +66,38 @@ def test_files_of_odd_rows(spark, library):
     assert [zlib.crc32(files[i].astype("<u4").tobytes()) for i in range(len(files))] == [r[3] for r in got]
 
 
+def test_recurring_words_stay_in_memory(library, monkeypatch):
+    monkeypatch.setattr(token_files, "MEMORY", 60)
+    encoder, seen = token_files.Encoder(tokenizer_path(), 2), []
+    encoder.direct = False
+    ids = encoder.ids
+    encoder.ids = lambda texts: seen.extend(texts) or ids(texts)
+    for i in range(20):
+        texts = ["x common, words! here  odd", *(f"a rare{i}-{j}" for j in range(30)), " ".join(f"w{i}q{j}" for j in range(100))]
+        for text, found in zip(texts, encoder.encode(texts), strict=True):
+            assert np.frombuffer(found, "<u2").tolist() == library.encode(text, add_special_tokens=False).ids, text
+        assert len(encoder.words) <= 60 + 140
+    assert seen.count(" common") == 1 and seen.count(" words") == 1
+
+
+def test_files_of_one_hot_id(spark, library, monkeypatch):
+    """Rows of one doc_id spread over several files, in one order in ids and index."""
+    monkeypatch.setattr(token_files, "FILE_BYTES", 200)
+    rows = [(5, f"text {i % 40} of id five", "s") for i in range(200)] + [(i, f"text of {i}", "s") for i in range(10)]
+    docs, path = spark.createDataFrame(rows, DOCS).repartition(4), workspace(spark, "token-hot")
+    token_files.write_token_files(docs, path, tokenizer_path())
+    files = token_files.TokenFiles(path, 2)
+    assert sum(len(x) > 0 and bool((x[:, 0] == 5).any()) for x in files.index) > 3
+    ids = [int(x) for part in files.index for x in part[:, 0]]
+    assert ids == sorted(r[0] for r in rows)
+    crc = lambda x: zlib.crc32(x.astype("<u4").tobytes())
+    got = Counter((doc, crc(files[i])) for i, doc in enumerate(ids))
+    assert got == Counter((r[0], by_hand(library, [r[:2]])[0][3]) for r in rows)
+    table = sorted((r.start, r.doc_id, r.n_tokens, r.ids_crc32) for r in token_files.read_token_files(spark, path, tokenizer_path()).collect())
+    assert [(r[1], r[3]) for r in table] == [(doc, crc(files[i])) for i, doc in enumerate(ids)]
+    assert all(a[0] + a[2] == b[0] for a, b in zip(table, table[1:], strict=False))
+
+
 def test_table_has_the_plain_calls_ids(spark):
     """Named special tokens too, with a tokenizer as it comes from its file."""
     plain = Tokenizer.from_file(tokenizer_path())
@@ -114,6 +146,19 @@ def test_mix_of_odd_tables(spark):
     assert {r.source: r.rate > 0 for r in null_only} == {None: True, "s": False, "t": False}
 
 
+def test_mix_keeps_columns_of_any_name(spark):
+    rows = [(i, "x" * (i % 50), "ab"[i % 2]) for i in range(40)] + [(100, "long " * 50_000, "a")]
+    plain = mixing.mix(spark.createDataFrame(rows, DOCS)).collect()
+    names = ["_n", "_dealt", "Copy", "n", "dealt", "key", "of", "in_0", "a.b", "size", "rate", "SHUFFLE_KEY", "parts"]
+    docs = spark.createDataFrame([(*r, *([r[0]] * len(names))) for r in rows], [*DOCS.replace(" long", "").replace(" string", "").split(", "), *names])
+    mixed = mixing.mix(docs)
+    own = [c for c in names if c not in ("Copy", "SHUFFLE_KEY")]
+    assert mixed.columns == ["doc_id", "text", "source", *own, "copy", "shuffle_key"]
+    got = mixed.collect()
+    assert [(r.doc_id, r.text, r.source, r.copy, r.shuffle_key) for r in got] == [tuple(r) for r in plain]
+    assert all(r[c] == r.doc_id for r in got for c in own)
+
+
 def test_mix_is_shuffled_and_repeatable(spark, sf_dir):
     rows = op6_mix(spark, sf_dir).collect()
     keys = [r.shuffle_key for r in rows]
