@@ -485,8 +485,6 @@ GROUP BY ALL""",
     "split_anti": f"{RUNS}SELECT seq, equipment_id, level FROM runs"
     f" WHERE (equipment_id, event_timestamp) NOT IN"
     f" (SELECT (equipment_id, event_timestamp) FROM runs WHERE {IS_STUCK})",
-    "raw_upsert": ctes(RAW.replace("'%Y-%m-%d') AS day", "'%Y-%m') AS day"))
-    + last_write("equipment_type, equipment_id, day_bucket"),
     "raw_upsert_table": ctes(
         RAW.replace("event_id AS seq", f"event_id + event_id % 2 * {LATER} AS seq")
     )
@@ -638,6 +636,7 @@ _LONG = "\nUNION ALL ".join(
         for f, lo, hi in READING.limits
     ]
 )
+ORACLES["raw_upsert"] = ORACLES["raw_upsert_table"]
 ORACLES["history_stored"] = (
     f"SELECT * FROM ({ORACLES['raw_upsert_table']}) WHERE equipment_id = '7'"
     " AND day_bucket IN ('2024-01-05', '2024-01-06', '2024-01-20')"

@@ -426,14 +426,12 @@ def split_anti(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query
 def raw_upsert(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Rows before the cut as the stored table, later ones as new writes."""
-    stored, new = slices(raw_rows(spark, sf_dir), "timestamp", [CUT])
-    keys = ["equipment_type", "equipment_id", "day_bucket"]
-    monthly = lambda df: df.withColumn(
-        "day_bucket", F.substring("day_bucket", 1, 7)
-    ).drop("timestamp")
-    merged = merge.raw_upsert(monthly(stored), None, keys, "seq")
-    return merge.raw_upsert(monthly(new), merged, keys, "seq")
+    """Even rows as the stored table, odd ones as new writes, some of them to the same keys."""
+    rows, odd = raw_rows(spark, sf_dir), F.col("seq") % 2 == 1
+    keys = ["equipment_type", *raw.RAW_KEYS]
+    stored = merge.raw_upsert(rows.filter(~odd), None, keys, "seq")
+    later = rows.filter(odd).withColumn("seq", F.col("seq") + LATER)
+    return merge.raw_upsert(later, stored, keys, "seq")
 
 
 def merged_raw_table(spark: SparkSession, sf_dir: str) -> str:
@@ -611,16 +609,16 @@ def stored_verdicts(spark: SparkSession, clean: str, rejected: str) -> DataFrame
 # --- warehouse -------------------------------------------------------------------------
 
 
-def reading_dim(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return warehouse.build_dim_equipment(
-        {READING.name: valid_readings(spark, sf_dir)}, kinds=[READING]
-    )
+def dim_of(rows: DataFrame) -> DataFrame:
+    """The readings' dimension, staged: its keys are counted off once."""
+    return stage(warehouse.build_dim_equipment({READING.name: rows}, kinds=[READING]), "dim")
 
 
-def reading_fact(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return warehouse.hourly_backfill(
-        valid_readings(spark, sf_dir), reading_dim(spark, sf_dir), READING, FIRST_HOUR, LAST_HOUR
-    )
+def reading_star(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
+    """Facts and dimension of all readings, which are parsed and checked once."""
+    rows = stage(valid_readings(spark, sf_dir), "valid")
+    dim = dim_of(rows)
+    return warehouse.hourly_backfill(rows, dim, READING, FIRST_HOUR, LAST_HOUR), dim
 
 
 @query
@@ -634,14 +632,13 @@ def hour_window(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def hourly_fact(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The last complete hour before the reference moment."""
-    return warehouse.hourly_fact(
-        valid_readings(spark, sf_dir), reading_dim(spark, sf_dir), READING, AS_OF
-    )
+    rows = stage(valid_readings(spark, sf_dir), "valid")
+    return warehouse.hourly_fact(rows, dim_of(rows), READING, AS_OF)
 
 
 @query
 def hourly_backfill(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return reading_fact(spark, sf_dir)
+    return reading_star(spark, sf_dir)[0]
 
 
 @query
@@ -850,18 +847,18 @@ def latest_one(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query
 def hourly_by_equipment(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return serving.hourly(reading_fact(spark, sf_dir), reading_dim(spark, sf_dir), "7", hours=48)
+    return serving.hourly(*reading_star(spark, sf_dir), "7", hours=48)
 
 
 @query
 def hourly_fleet(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return serving.hourly(reading_fact(spark, sf_dir), reading_dim(spark, sf_dir), hours=48)
+    return serving.hourly(*reading_star(spark, sf_dir), hours=48)
 
 
 @query
 def hourly_fleet_weighted(spark: SparkSession, sf_dir: str) -> DataFrame:
     return serving.hourly(
-        reading_fact(spark, sf_dir), reading_dim(spark, sf_dir), "all", hours=720, weighted=True
+        *reading_star(spark, sf_dir), "all", hours=720, weighted=True
     )
 
 
