@@ -33,6 +33,7 @@ SEED = 42
 DISTANCE = 4
 #: Words of a shingle and similarity of near-duplicates where one document of each group is kept.
 STAGE_WORDS, STAGE_SIMILARITY = 5, 0.8
+PRINTS = "doc_id long, fp long, same binary"
 #: Low bit and width of the segments.
 SEGMENTS = ((42, 22), (21, 21), (0, 21))
 #: Distinct fingerprints of one key that are compared in one task; more are dealt as pairs of blocks.
@@ -58,12 +59,15 @@ def fingerprint(text: bytes, width: int = WORDS) -> bytes:
 
 
 def hash_texts(width: int = WORDS):
+    """Rows ``doc_id, fp, same``: the fingerprint, and a hash of 128 bits that equal texts share."""
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for rows in batches:
             view, bounds = text_bytes(rows.column("text"))
             bounds = bounds.tolist()
             prints = b"".join(fingerprint(bytes(view[i:j]), width) for i, j in zip(bounds, bounds[1:], strict=False))
-            yield batch(doc_id=rows.column("doc_id"), fp=np.frombuffer(prints, ">i8").astype(np.int64))
+            same = [xxhash.xxh3_128_digest(view[i:j]) for i, j in zip(bounds, bounds[1:], strict=False)]
+            yield batch(doc_id=rows.column("doc_id"), fp=np.frombuffer(prints, ">i8").astype(np.int64), same=pa.array(same, pa.binary()))
 
     return run
 
@@ -221,7 +225,7 @@ def near_duplicates(docs: DataFrame, words: int = WORDS) -> DataFrame:
     Texts are read whole; null and empty texts have fingerprint zero and are linked like
     any other. Rows without doc_id are left out; rows that repeat a doc_id each give a row.
     """
-    prints = stage(mapped(texts_of(docs), hash_texts(words), "doc_id long, fp long"), "fingerprints")
+    prints = stage(mapped(texts_of(docs), hash_texts(words), PRINTS).drop("same"), "fingerprints")
     distinct = stage(prints.groupBy("fp").agg(F.min("doc_id").alias("first_id")), "distinct-fingerprints")
     roots = stage(components(stage(fingerprint_links(distinct), "links"), "components"), "roots")
     labelled = distinct.join(roots.withColumnRenamed("node", "fp"), "fp", "left")
@@ -236,47 +240,60 @@ def shingle_set(text: str, width: int) -> set[tuple[bytes, ...]]:
 
 
 def alike(width: int, similarity: float):
-    """Rows ``doc_id, root, near``: whether a text has that similarity (Jaccard, of shingles) with its group's ``kept`` text."""
+    """Rows ``a, b`` whose texts have that similarity (Jaccard, of shingles)."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         last, held = None, set()
         for rows in batches:
             near = []
-            for text, kept in zip(rows.column("text").to_pylist(), rows.column("kept").to_pylist(), strict=True):
-                if kept != last:
-                    last, held = kept, shingle_set(kept, width)
-                own = shingle_set(text, width) if text != kept else held
-                both = len(own & held)
-                near.append(both >= similarity * (len(own) + len(held) - both))
-            yield batch(doc_id=rows.column("doc_id"), root=rows.column("root"), near=pa.array(near, pa.bool_()))
+            for one, two in zip(rows.column("text_a").to_pylist(), rows.column("text_b").to_pylist(), strict=True):
+                if one != last:
+                    last, held = one, shingle_set(one, width)
+                other = shingle_set(two, width)
+                both = len(held & other)
+                near.append(both >= similarity * (len(held) + len(other) - both))
+            yield rows.select(["a", "b"]).filter(pa.array(near, pa.bool_()))
 
     return run
 
 
 def keep_one(docs: DataFrame, words: int = STAGE_WORDS, similarity: float = STAGE_SIMILARITY) -> DataFrame:
-    """The documents without near-duplicates: those that are that similar to a document which stays go.
-
-    Candidates are the components of fingerprints. In each the smallest doc_id stays, and
-    documents with ``similarity`` of its shingles or more go; of the others the smallest stays,
-    and so on until none is left. So a document goes only for one that stays, and a chain
-    of links alone removes nothing. Rows that repeat a doc_id stay or go together; they are
-    compared by the first of their texts. Rows without doc_id go.
+    """The documents without near-duplicates: of each group the one with the smallest doc_id stays.
+
+    Candidates are the links of fingerprints of so many ``words``, and texts that share a
+    fingerprint with its first one. Those whose texts have ``similarity`` of their shingles
+    in common join documents to groups, and so do equal texts. Links are those of a spanning
+    forest where many fingerprints share a key, so a group there may stay in parts; nothing
+    goes that is not similar to a text of its group. Rows that repeat a doc_id
+    stay together if all their texts stay; rows without doc_id go.
     """
-    spark, number = docs.sparkSession, F.col("doc_id").cast("long")
-    near = stage(near_duplicates(docs, words).select("doc_id", F.col("component_id").alias("root")).distinct(), "near")
-    several = near.groupBy("root").agg(F.count("*").alias("n")).filter("n > 1").select("root")
-    texts = texts_of(docs).groupBy("doc_id").agg(F.min("text").alias("text"))
-    left = stage(texts.join(near.join(several, "root"), "doc_id"), "near-texts")
-    gone = None
-    while not left.isEmpty():
-        kept = left.groupBy(F.col("root").alias("of")).agg(F.min(F.struct("doc_id", F.col("text").alias("kept"))).alias("first"))
-        kept = kept.select("of", F.col("first.doc_id").alias("first"), "first.kept")
-        pairs = left.join(kept, F.col("root") == F.col("of")).filter("doc_id <> first").select("doc_id", "root", "text", "kept")
-        judged = stage(mapped(pairs, alike(words, similarity), "doc_id long, root long, near boolean"), "near-judged")
-        found = judged.filter("near").select("doc_id")
-        gone = found if gone is None else gone.union(found)
-        left = stage(left.join(judged.filter("NOT near").select("doc_id"), "doc_id", "left_semi"), "near-texts")
-    present = docs.filter(number.isNotNull())
-    if gone is None:
-        return present
-    return present.join(gone.withColumnRenamed("doc_id", "near_duplicate"), number == F.col("near_duplicate"), "left_anti").select(*docs.columns)
+    texts = texts_of(docs)
+    prints = stage(mapped(texts, hash_texts(words), PRINTS), "fingerprints")
+    # a node is the first document of a text
+    nodes = stage(prints.groupBy("fp", "same").agg(F.min("doc_id").alias("node")), "texts-once")
+    heads = stage(nodes.groupBy("fp").agg(F.min("node").alias("head")), "distinct-fingerprints")
+    star = nodes.join(heads, "fp").filter("node <> head").select(F.col("head").alias("a"), F.col("node").alias("b"))
+    links = stage(fingerprint_links(heads), "links")
+    ends = links.join(heads.select(F.col("fp").alias("a"), F.col("head").alias("head_a")), "a")
+    ends = ends.join(heads.select(F.col("fp").alias("b"), F.col("head").alias("head_b")), "b")
+    links = stage(star.union(ends.select("head_a", "head_b")), "candidates")
+    wanted = links.select(F.col("a").alias("node")).union(links.select("b")).distinct()
+    held = nodes.join(wanted, "node", "left_semi").select("node", "same")
+    whole = mapped(texts.join(wanted, F.col("doc_id") == F.col("node"), "left_semi"), with_hash, "node long, same binary, text string")
+    held = stage(whole.join(held, ["node", "same"]).groupBy("node").agg(F.min("text").alias("text")), "near-texts")
+    pairs = links.join(held.select(F.col("node").alias("a"), F.col("text").alias("text_a")), "a")
+    pairs = pairs.join(held.select(F.col("node").alias("b"), F.col("text").alias("text_b")), "b")
+    near = stage(mapped(pairs.select("a", "b", "text_a", "text_b"), alike(words, similarity), "a long, b long"), "near")
+    roots = stage(components(near, "components"), "roots")
+    groups = nodes.join(roots, "node", "left").select("fp", "same", F.coalesce("root", "node").alias("root"))
+    gone = prints.join(groups, ["fp", "same"]).filter("doc_id <> root").select(F.col("doc_id").alias("near_duplicate")).distinct()
+    present = docs.filter("doc_id IS NOT NULL")
+    return present.join(gone, F.col("doc_id").cast("long") == F.col("near_duplicate"), "left_anti").select(*docs.columns)
+
+
+def with_hash(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for rows in batches:
+        view, bounds = text_bytes(rows.column("text"))
+        bounds = bounds.tolist()
+        same = [xxhash.xxh3_128_digest(view[i:j]) for i, j in zip(bounds, bounds[1:], strict=False)]
+        yield batch(node=rows.column("doc_id"), same=pa.array(same, pa.binary()), text=rows.column("text"))

@@ -192,29 +192,48 @@ def components_by_hand(prints):
 
 
 def kept_by_hand(texts):
-    """Of texts by doc_id those that stay: by component, ascending, if not similar to one that stays."""
-    root, kept = components_by_hand({d: print_by_hand(t, 5) for d, t in texts.items()}), {}
-    for d in sorted(texts):
-        own = set(runs_by_hand(texts[d], 5))
-        others = (set(runs_by_hand(texts[k], 5)) for k in kept.get(root[d], []))
-        if not any(len(own & x) >= 0.8 * len(own | x) for x in others):
-            kept.setdefault(root[d], []).append(d)
-    return {d for group in kept.values() for d in group}
+    """Of texts by doc_id the smallest of each group of links at 4 bits and 0.8 of five-word shingles."""
+    prints = {d: print_by_hand(t, 5) for d, t in texts.items()}
+    runs = {d: set(runs_by_hand(t, 5)) for d, t in texts.items()}
+    root = {d: d for d in texts}
+
+    def top(d):
+        while root[d] != d:
+            d = root[d]
+        return d
+
+    ids = sorted(texts)
+    for i, a in enumerate(ids):
+        for b in ids[i + 1 :]:
+            if (prints[a] ^ prints[b]).bit_count() <= 4 and len(runs[a] & runs[b]) >= 0.8 * len(runs[a] | runs[b]):
+                x, y = sorted((top(a), top(b)))
+                root[y] = x
+    return {d for d in ids if top(d) == d}
 
 
 def test_one_of_each_group_stays(spark):
-    base, draw = words(300, 5).split(), random.Random(6)
-    texts = {}
-    for i in range(60):  # a chain: each a little further from the first
-        texts[i] = " ".join(base)
-        base[draw.randrange(300)] = f"new{i}"
-        if i % 3 == 0:
-            base[draw.randrange(300)] = f"and{i}"
-    texts.update({100 + i: words(40, i % 7) for i in range(20)} | {200: "", 201: " \n", 202: "a b", 203: "A  b", 204: "a c"})
+    draw, texts = random.Random(6), {}
+    for group in range(12):
+        base = words(300, 50 + group).split()
+        for i in range(4):
+            texts[group * 10 + i] = " ".join(base)
+            for _ in range(draw.randint(0, 12)):
+                base[draw.randrange(300)] = f"new{draw.randrange(10**6)}"
+    texts.update({200 + i: words(40, i % 7) for i in range(20)} | {300: "", 301: " \n", 302: "a b", 303: "A  b", 304: "a c"})
     docs = spark.createDataFrame([(i, t, 0) for i, t in texts.items()], "doc_id long, text string, root int").repartition(3)
     got = {r.doc_id for r in simhash.keep_one(docs).collect()}
-    want = kept_by_hand(texts)
-    assert got == want and 2 < len([d for d in want if d < 60]) < 60 and len([d for d in want if 100 <= d < 200]) == 7
+    assert got == kept_by_hand(texts) and 12 < len([d for d in got if d < 200]) < 48
+    assert len([d for d in got if 200 <= d < 300]) == 7
+
+
+def test_a_dense_group_loses_no_document_of_its_own(spark):
+    """Sixty steps away from one text: what goes is joined by similar texts to what stays."""
+    base, draw, texts = words(300, 5).split(), random.Random(7), {}
+    for i in range(60):
+        texts[i] = " ".join(base)
+        base[draw.randrange(300)] = f"new{i}"
+    got = {r.doc_id for r in simhash.keep_one(spark.createDataFrame(list(texts.items()), DOCS.replace(", source string", ""))).collect()}
+    assert kept_by_hand(texts) <= got and len(got) < 30
 
 
 def test_fingerprints_as_by_hand():
