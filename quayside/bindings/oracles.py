@@ -411,6 +411,7 @@ FROM events""",
     "clean_messages": VERDICTS,
     "stream_clean": VERDICTS,
     "batch_loads_stuck": VERDICTS,
+    "equipment_ids_indexed": f"SELECT DISTINCT equipment_id FROM ({VERDICTS}) WHERE reject_reason IS NULL",
     "compacted_clean": VERDICTS,
     "load_then_stream": VERDICTS,
     "stream_batch_counts": f"SELECT 3 AS batches, count(*) FILTER (reject_reason IS NULL) AS valid_count,"

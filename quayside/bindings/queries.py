@@ -777,6 +777,15 @@ def late_hours_load(spark: SparkSession, sf_dir: str) -> DataFrame:
     return warehouse_totals(spark, stored)
 
 
+@query
+def equipment_ids_indexed(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The ids of three loads, from what each stored beside its readings."""
+    stored = Tables(workspace(spark, "ids"))
+    for number, part in enumerate(slices(telemetry(spark, sf_dir))):
+        clean_to_tables(part, stored, batch_id=number)
+    return serving.known_ids(tables.read_ids(spark, stored.clean))
+
+
 @query
 def compacted_clean(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Three loads, the first two merged to one set of files, their own folders deleted."""

@@ -86,7 +86,9 @@ def clean_to_tables(
     prior = state.before(spark, batch_id, only=valid)
     outcome = stage(clean_validated(validated, kinds, threshold, prior=prior), "outcome")
     clean, rejected = split_valid(outcome)
-    tables.write_clean(tables.clean_rows(clean, kinds), stored.clean, batch_id)
+    rows = tables.clean_rows(clean, kinds)
+    tables.write_clean(rows, stored.clean, batch_id)
+    tables.write_ids(rows, stored.clean, batch_id)
     tables.write_rejected(to_rejected_mixed(rejected, kinds), stored.rejected, batch_id)
     state.write(next_state(outcome), batch_id)
 

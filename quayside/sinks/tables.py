@@ -30,6 +30,9 @@ REJECTED_SCHEMA = struct_of(
 _CLEAN_EXTRA = struct_of(
     "processed_at TIMESTAMP, writer STRING, batch_id BIGINT, equipment_type STRING, event_date DATE"
 )
+IDS_SCHEMA = struct_of(
+    "equipment_type STRING, event_date DATE, equipment_id STRING, reading_count BIGINT"
+).add("sketch", T.BinaryType())
 CLEAN_PARTITIONS = ("equipment_type", "event_date")
 REJECTED_PARTITIONS = ("rejected_date",)
 RAW_PARTITIONS = ("equipment_type", "day_bucket")
@@ -97,6 +100,32 @@ def write_clean(df: DataFrame, path: str, batch_id: int, writer: str = "batch")
     write_batch(df, path, batch_id, CLEAN_PARTITIONS, writer)
 
 
+def write_ids(clean: DataFrame, path: str, batch_id: int, writer: str = "batch") -> None:
+    """Beside the clean table at ``path``: a batch's ids per kind and day, and a sketch of their number.
+
+    ``clean`` are the rows that ``write_clean`` takes. A row per id, kind and day replaces a scan
+    of the readings; sketches of any days and kinds can be united to an estimate.
+    """
+    ids = clean.groupBy("equipment_type", "event_date", "equipment_id").agg(
+        F.count("*").alias("reading_count")
+    )
+    sketch = F.hll_sketch_agg("equipment_id").alias("sketch")
+    days = ids.groupBy("equipment_type", "event_date").agg(sketch)
+    rows = ids.unionByName(days, allowMissingColumns=True).hint("rebalance")
+    rows.write.mode("overwrite").parquet(f"{path}_ids/writer={writer}/batch_id={batch_id}")
+
+
+def read_ids(spark: SparkSession, path: str) -> DataFrame:
+    """Ids per kind and day of the clean table at ``path``, of all batches."""
+    rows = spark.read.schema(IDS_SCHEMA).parquet(f"{path}_ids")
+    return rows.filter("sketch IS NULL").select(*IDS_SCHEMA.names[:-1])
+
+
+def read_sketches(spark: SparkSession, path: str) -> DataFrame:
+    rows = spark.read.schema(IDS_SCHEMA).parquet(f"{path}_ids")
+    return rows.filter("sketch IS NOT NULL").select("equipment_type", "event_date", "sketch")
+
+
 def write_rejected(df: DataFrame, path: str, batch_id: int, writer: str = "batch") -> None:
     dated = df.withColumn("rejected_date", F.to_date("rejected_at"))
     write_batch(dated, path, batch_id, REJECTED_PARTITIONS, writer)

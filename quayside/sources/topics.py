@@ -35,10 +35,12 @@ def stream_source(
 ) -> DataFrame:
     """One stream over the topics of ``kinds``: ``topic, key, value, offset``.
 
-    ``kafka`` subscribes all topics in one query and reads at most
-    ``max_per_trigger`` offsets per kind and trigger. Any file format reads
-    folders of messages with the same columns instead (``path`` option); there
-    the limit is the format's own ``maxFilesPerTrigger``.
+    ``kafka`` subscribes all topics in one query and reads at most ``max_per_trigger``
+    offsets times the number of kinds per trigger; the topics share that limit by what they
+    have to offer. Messages are keyed by equipment, so one equipment's lie in one partition,
+    where ``offset`` orders them; offsets of different partitions are not compared. Any
+    file format reads folders of messages with the same columns instead (``path`` option);
+    there the limits are the format's own ``maxFilesPerTrigger`` and ``maxBytesPerTrigger``.
     """
     topics = [resolve(k).topic for k in kinds]
     reader = spark.readStream.format(fmt).options(**opts)

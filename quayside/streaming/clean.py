@@ -23,7 +23,7 @@ from quayside.plans.cleaning import (
 )
 from quayside.sinks.keyed import KeyedLog
 from quayside.sinks.state import StuckState
-from quayside.sinks.tables import clean_rows, write_clean, write_rejected
+from quayside.sinks.tables import clean_rows, write_clean, write_ids, write_rejected
 from quayside.streaming.ordered import COPY, LATE, admit
 
 log = logging.getLogger(__name__)
@@ -92,12 +92,12 @@ def start_clean_stream(
 
         try:
             batch = keep(batch)
-            rows = batch.count()
-            if not rows:  # nothing to write, and the state stays as it is
+            arrived = batch.count()
+            if not arrived:  # nothing to write, and the state stays as it is
                 return
             valid, rejected = split_valid(batch)
             prior = state.before(spark, batch_id, only=valid)
-            pieces = pieces_needed(rows, rows_per_piece)
+            pieces = pieces_needed(arrived, rows_per_piece)
             flagged = flag_stuck(
                 valid, kinds, threshold, prior=prior, rows_per_piece=pieces, keep=keep
             )
@@ -105,7 +105,9 @@ def start_clean_stream(
             # Fills the cache in one pass; the three writes below read from it.
             counts = outcome.agg(*outcome_counts()).first().asDict()
             clean, bad = split_valid(outcome)
-            write_clean(clean_rows(clean, kinds), clean_path, batch_id, writer)
+            rows = clean_rows(clean, kinds)
+            write_clean(rows, clean_path, batch_id, writer)
+            write_ids(rows, clean_path, batch_id, writer)
             write_rejected(to_rejected_mixed(bad, kinds), rejected_path, batch_id, writer)
             state.write(next_state(outcome), batch_id)
             state.forget(spark, batch_id)

@@ -2,10 +2,14 @@
 
 from datetime import date
 
+from helpers import elevator_messages, message
 from pyspark.sql import functions as F
 
+from quayside.catalogue import ELEVATOR
 from quayside.operators.dedupe import dedupe_first
 from quayside.operators.stuck import stuck_runs
+from quayside.plans import serving
+from quayside.plans.etl import Tables, clean_to_tables
 from quayside.session import workspace
 from quayside.sinks import tables
 from quayside.sinks.clustered import write_clustered
@@ -61,3 +65,23 @@ def test_look_up_of_one_id_skips_pages(spark):
     assert 50 <= read <= 2000, read  # of 20 000 rows of the day
     newest_first = raw.history(stored, "E0007", [date(2026, 1, 1)])
     assert [r.seq for r in newest_first.collect()] == sorted((r.seq for r in found.collect()), reverse=True)
+
+
+def test_ids_are_known_without_reading_a_reading(spark):
+    stored = Tables(workspace(spark, "ids"))
+
+    def load(batch, first, last, day):
+        rows = [message(equipment_id=f"E{i}", timestamp=f"2026-01-{day:02d}T00:00:00") for i in range(first, last)]
+        clean_to_tables(elevator_messages(spark, [*rows, message(equipment_id=None)], start=batch * 1000), stored, batch, [ELEVATOR])
+
+    load(0, 0, 300, 1)
+    load(1, 200, 500, 2)
+    load(1, 200, 400, 2)  # the batch again, with other rows
+    ids = tables.read_ids(spark, stored.clean)
+    found = serving.known_ids(ids, "elevator")
+    assert {r.equipment_id for r in found.collect()} == {f"E{i}" for i in range(400)}
+    assert all("/clean_ids/" in f for f in found.inputFiles())
+    assert serving.known_ids(ids, "elevator", [date(2026, 1, 2)]).count() == 200
+    assert serving.known_ids(ids, "rmg").count() == 0
+    (row,) = serving.id_estimates(tables.read_sketches(spark, stored.clean)).collect()
+    assert row.equipment_type == "elevator" and abs(row.equipment_count - 400) <= 20

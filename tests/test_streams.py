@@ -217,3 +217,20 @@ def test_hourly_window_emits_complete_hours(spark, tmp_path):
 def test_kafka_source_needs_its_connector(spark):
     with pytest.raises(Exception, match="kafka"):
         stream_source(spark, ["rmg"], **{"kafka.bootstrap.servers": "nowhere:9092"})
+
+
+@pytest.mark.parametrize("limit", [{"maxFilesPerTrigger": "2"}, {"maxBytesPerTrigger": "1"}])
+def test_rate_limits_cut_a_backlog_into_batches(spark, tmp_path, limit):
+    inbox = str(tmp_path / "inbox")
+    for part in range(4):
+        elevator_messages(spark, run_of([1], start=part), start=part).coalesce(1).write.mode("append").parquet(inbox)
+    sizes = []
+    query = (
+        stream_source(spark, [ELEVATOR], fmt="parquet", path=inbox, **limit)
+        .writeStream.foreachBatch(lambda batch, number: sizes.append(batch.count()))
+        .option("checkpointLocation", str(tmp_path / "checkpoint"))
+        .trigger(**ONCE)
+        .start()
+    )
+    query.awaitTermination()
+    assert sizes == ([2, 2] if "maxFilesPerTrigger" in limit else [1, 1, 1, 1])
