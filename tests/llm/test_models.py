@@ -1,5 +1,6 @@
 """Quality classifier and language identification: held-out accuracy and odd rows."""
 
+import math
 import zlib
 
 import numpy as np
@@ -115,3 +116,37 @@ def test_languages_share_the_bound_of_the_sample(spark, monkeypatch):
     decoder = language.train(spark.createDataFrame(rows, DOCS))
     assert decoder.languages == list("abcd")
     assert all(0 < read.count(x) <= 3 for x in "abcd")
+
+
+def grams_by_hand(text):
+    """Gram numbers of one text, a byte at a time, in whole numbers of 32 bits."""
+    kept = "".join(c if ord(c) >= 128 or c.isalpha() else " " for c in (text or "").lower())
+    data = b" " + b" ".join(kept.encode().split()) + b"  "
+    found, mask, shift = [], (1 << 32) - 1, 32 - 14
+    for a, b, c in zip(data, data[1:], data[2:], strict=False):
+        two = (a * 0x9E3779B1 + b * 0x85EBCA77) & mask
+        three = (two * 0xC2B2AE3D + c * 0x27D4EB2F + 1) & mask
+        found += [two >> shift, three >> shift]
+    return found
+
+
+def test_languages_as_decoded_by_hand(spark, sf_dir):
+    """Outputs of the bits, losses against each codeword, and the nearest one, for every row of the query."""
+    docs = table(spark, sf_dir, "documents")
+    decoder = language.train(docs)
+    weights = decoder.weights.astype(float)
+    texts = {r.doc_id: r.text for r in docs.select("doc_id", "text").collect()}
+    rows = op10_language(spark, sf_dir).collect()
+    assert sorted(r.doc_id for r in rows) == sorted(texts)
+    for r in rows:
+        numbers = grams_by_hand(texts[r.doc_id])
+        outputs = [sum(weights[n, bit] for n in numbers) / len(numbers) for bit in range(weights.shape[1])]
+        losses = []
+        for code, trust in zip(decoder.code.tolist(), decoder.trust.tolist(), strict=True):
+            margins = [min(max(x * s, -4.0), 4.0) * c for x, s, c in zip(outputs, decoder.scales.tolist(), code, strict=True)]
+            losses.append(sum(t * math.exp(-m) for t, m in zip(trust, margins, strict=True)))
+        likeness = [math.exp(-(x - min(losses)) * len(losses)) for x in losses]
+        lettered = any(c.isalpha() for c in texts[r.doc_id] or "")
+        assert r.lang_pred == (decoder.languages[losses.index(min(losses))] if lettered else "und")
+        assert math.isclose(r.score, 1 / sum(likeness) if lettered else 0.0, rel_tol=1e-6, abs_tol=1e-9)
+        assert r.ambiguous == (r.score < language.CERTAIN) and r.held_out == held(r.doc_id)
