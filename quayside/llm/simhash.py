@@ -11,18 +11,20 @@ segments (a, b) a fingerprint gives the keys (nearest a, any b) and (any a, near
 24 bits each; fingerprints with at most one error in both segments share one of them.
 
 Candidates that share a key are verified on all 64 bits. Within a key only the links of a
-spanning forest are returned, never all pairs.
+spanning forest are returned, never all pairs; ``keep_one``, which verifies texts too, compares
+more pairs where texts of a forest's link are not alike.
 """
 
 from __future__ import annotations
 
+import math
 from collections.abc import Iterator
 from itertools import combinations
 
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from quayside.llm.common import batch, by_rows, components, mapped, text_bytes, texts_of
@@ -195,25 +197,29 @@ def fingerprint_links(prints: DataFrame) -> DataFrame:
     A key with more than ``KEY_LIMIT`` fingerprints is dealt as pairs of blocks to many
     tasks, so no task holds more than two blocks and no link is lost.
     """
-    spark = prints.sparkSession
     keys = mapped(prints.select("fp"), golay_keys, "key long, fp long")
+    parts = by_rows(prints.sparkSession, prints.count() * 34, 1_000_000)
+    grouped = dealt(keys, "fp").repartition(parts, "grp").sortWithinPartitions("grp", "fp")
+    return mapped(grouped, link_groups, "a long, b long").distinct()
+
+
+def dealt(keys: DataFrame, by: str) -> DataFrame:
+    """``keys`` with ``grp`` for ``key``: a key of more than ``KEY_LIMIT`` rows in blocks (of ``by``), each pair of them a group."""
     hot = keys.groupBy("key").agg(F.count("*").alias("n")).filter(F.col("n") > KEY_LIMIT)
     hot = hot.select("key", F.ceil(F.col("n") / KEY_LIMIT).cast("int").alias("blocks"))
-    own = F.pmod(F.xxhash64("fp"), F.col("blocks")).cast("int")
+    own = F.pmod(F.xxhash64(by), F.col("blocks")).cast("int")
     other = F.explode(F.when(F.col("blocks").isNull(), F.array(F.lit(0))).otherwise(F.sequence(F.lit(0), F.col("blocks") - 1)))
-    dealt = (
+    columns = [c for c in keys.columns if c != "key"]
+    return (
         keys.join(hot, "key", "left")
-        .select("key", "fp", "blocks", own.alias("own"), other.alias("other"))
+        .select("key", *columns, "blocks", own.alias("own"), other.alias("other"))
         .select(
             F.when(F.col("blocks").isNull(), F.col("key"))
             .otherwise(F.xxhash64("key", F.least("own", "other"), F.greatest("own", "other")))
             .alias("grp"),
-            "fp",
+            *columns,
         )
     )
-    parts = by_rows(spark, prints.count() * 34, 1_000_000)
-    grouped = dealt.repartition(parts, "grp").sortWithinPartitions("grp", "fp")
-    return mapped(grouped, link_groups, "a long, b long").distinct()
 
 
 def near_duplicates(docs: DataFrame, words: int = WORDS) -> DataFrame:
@@ -257,36 +263,139 @@ def alike(width: int, similarity: float):
     return run
 
 
+def shingle_keys(width: int, similarity: float):
+    """Rows ``key, t, need`` for every shingle of a text; only texts of one ``comp`` share keys.
+
+    Texts that are alike share ``need`` keys of either at least.
+    """
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for rows in batches:
+            keys, needs = [], []
+            for comp, text in zip(rows.column("comp").to_pylist(), rows.column("text").to_pylist(), strict=True):
+                held = shingle_set(text, width)
+                keys.append(np.unique(np.array([xxhash.xxh64_intdigest(b" ".join(s), comp) for s in held], np.uint64).view(np.int64)))
+                needs.append(math.ceil(similarity * len(held) - 1e-6) - (len(held) - len(keys[-1])))
+            if keys:
+                sizes = list(map(len, keys))
+                yield batch(key=np.concatenate(keys), t=np.repeat(rows.column("t").to_numpy(), sizes), need=np.repeat(needs, sizes))
+
+    return run
+
+
+def open_pairs(similarity: float):
+    """Rows ``a, b`` of each group's texts that lie in different parts and whose prints and sizes allow a link."""
+
+    def pairs(t: np.ndarray, part: np.ndarray, fp: np.ndarray, need: np.ndarray) -> Iterator[pa.RecordBatch]:
+        a, b, found = [], [], 0
+        for i in range(len(t) - 1):
+            rest = slice(i + 1, None)
+            fits = (part[rest] != part[i]) & (differing(fp[rest], fp[i]) <= DISTANCE)
+            # ``need`` is the size times the similarity, rounded up
+            fits &= np.minimum(need[rest], need[i]) + 1 >= similarity * (np.maximum(need[rest], need[i]) - 1)
+            hit = t[rest][fits]
+            a.append(np.minimum(hit, t[i]))
+            b.append(np.maximum(hit, t[i]))
+            found += len(hit)
+            if found >= 100_000:
+                yield batch(a=np.concatenate(a), b=np.concatenate(b))
+                a, b, found = [], [], 0
+        if found:
+            yield batch(a=np.concatenate(a), b=np.concatenate(b))
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        names = ("grp", "t", "part", "fp", "need")
+        wait: list[tuple[np.ndarray, ...]] = []
+        for rows in batches:  # sorted by group; the last group waits for the next block
+            now = tuple(rows.column(c).to_numpy() for c in names)
+            if len(rows) and wait and now[0][-1] != wait[0][0][0]:
+                now, wait = tuple(np.concatenate(x) for x in zip(*wait, now, strict=True)), []
+            if len(rows):
+                heads = np.flatnonzero(np.concatenate([[True], now[0][1:] != now[0][:-1]])).tolist()
+                for i, j in zip(heads, heads[1:], strict=False):
+                    yield from pairs(*(x[i:j] for x in now[1:]))
+                wait.append(tuple(x[heads[-1] :] for x in now))
+        if wait:
+            yield from pairs(*(np.concatenate(x) for x in list(zip(*wait, strict=True))[1:]))
+
+    return run
+
+
+def alike_pairs(pairs: DataFrame, held: DataFrame, words: int, similarity: float) -> DataFrame:
+    """Those of ``pairs`` (a, b) whose texts in ``held`` (t, text) are alike."""
+    pairs = pairs.join(held.select(F.col("t").alias("a"), F.col("text").alias("text_a")), "a")
+    pairs = pairs.join(held.select(F.col("t").alias("b"), F.col("text").alias("text_b")), "b")
+    return mapped(pairs.select("a", "b", "text_a", "text_b"), alike(words, similarity), "a long, b long")
+
+
+def candidates(unsettled: DataFrame, similarity: float, words: int) -> DataFrame:
+    """``a, b``: all pairs of texts (t, text, fp, part, comp) that may be alike, of one ``comp`` but of different parts.
+
+    Of the shingles that texts of a comp share, ordered from the rarest on, two alike texts
+    have one in common among the first few of each; only those are compared.
+    """
+    by_text = Window.partitionBy("t")
+    keys = mapped(unsettled.select("t", "comp", "text"), shingle_keys(words, similarity), "key long, t long, need long")
+    shared = keys.withColumn("n", F.count("*").over(Window.partitionBy("key"))).filter("n > 1")
+    shared = shared.withColumns({"rank": F.row_number().over(by_text.orderBy("n", "key")), "shared": F.count("*").over(by_text)})
+    first = shared.filter("rank <= shared - need + 1").select("key", "t", "need")
+    first = stage(first.join(unsettled.select("t", "part", "fp"), "t"), "rare-shingles")
+    parts = by_rows(first.sparkSession, first.count(), 1_000_000)
+    grouped = dealt(first, "t").repartition(parts, "grp").sortWithinPartitions("grp")
+    return mapped(grouped, open_pairs(similarity), "a long, b long").distinct()
+
+
 def keep_one(docs: DataFrame, words: int = STAGE_WORDS, similarity: float = STAGE_SIMILARITY) -> DataFrame:
     """The documents without near-duplicates: of each group the one with the smallest doc_id stays.
 
-    Candidates are the links of fingerprints of so many ``words``, and texts that share a
-    fingerprint with its first one. Those whose texts have ``similarity`` of their shingles
-    in common join documents to groups, and so do equal texts. Links are those of a spanning
-    forest where many fingerprints share a key, so a group there may stay in parts; nothing
-    goes that is not similar to a text of its group. Rows that repeat a doc_id
+    Two texts are linked if their fingerprints, of so many ``words``, differ in at most
+    ``DISTANCE`` bits and they have ``similarity`` of their shingles in common. Links join
+    documents to groups, and so do equal texts; no link is left out. First the spanning
+    forests of the fingerprints are verified, and texts that share a fingerprint with its
+    first one. Where a text was refused there, all pairs of parts that are not joined
+    yet are compared, as far as they share a rare shingle. Rows that repeat a doc_id
     stay together if all their texts stay; rows without doc_id go.
     """
     texts = texts_of(docs)
     prints = stage(mapped(texts, hash_texts(words), PRINTS), "fingerprints")
-    # a node is the first document of a text
-    nodes = stage(prints.groupBy("fp", "same").agg(F.min("doc_id").alias("node")), "texts-once")
-    heads = stage(nodes.groupBy("fp").agg(F.min("node").alias("head")), "distinct-fingerprints")
-    star = nodes.join(heads, "fp").filter("node <> head").select(F.col("head").alias("a"), F.col("node").alias("b"))
+    # a node is the first document of a text, t the text
+    nodes = prints.groupBy("fp", "same").agg(F.min("doc_id").alias("node"))
+    nodes = stage(nodes.withColumn("t", F.monotonically_increasing_id()), "texts-once")
+    heads = stage(nodes.groupBy("fp").agg(F.min("t").alias("head")), "distinct-fingerprints")
+    star = nodes.join(heads, "fp").filter("t <> head").select(F.col("head").alias("a"), F.col("t").alias("b"))
     links = stage(fingerprint_links(heads), "links")
     ends = links.join(heads.select(F.col("fp").alias("a"), F.col("head").alias("head_a")), "a")
     ends = ends.join(heads.select(F.col("fp").alias("b"), F.col("head").alias("head_b")), "b")
     links = stage(star.union(ends.select("head_a", "head_b")), "candidates")
-    wanted = links.select(F.col("a").alias("node")).union(links.select("b")).distinct()
-    held = nodes.join(wanted, "node", "left_semi").select("node", "same")
-    whole = mapped(texts.join(wanted, F.col("doc_id") == F.col("node"), "left_semi"), with_hash, "node long, same binary, text string")
-    held = stage(whole.join(held, ["node", "same"]).groupBy("node").agg(F.min("text").alias("text")), "near-texts")
-    pairs = links.join(held.select(F.col("node").alias("a"), F.col("text").alias("text_a")), "a")
-    pairs = pairs.join(held.select(F.col("node").alias("b"), F.col("text").alias("text_b")), "b")
-    near = stage(mapped(pairs.select("a", "b", "text_a", "text_b"), alike(words, similarity), "a long, b long"), "near")
-    roots = stage(components(near, "components"), "roots")
-    groups = nodes.join(roots, "node", "left").select("fp", "same", F.coalesce("root", "node").alias("root"))
-    gone = prints.join(groups, ["fp", "same"]).filter("doc_id <> root").select(F.col("doc_id").alias("near_duplicate")).distinct()
+    wanted = links.select(F.col("a").alias("t")).union(links.select("b")).distinct()
+    held = nodes.join(wanted, "t", "left_semi")
+    some = texts.join(held.select("node").distinct(), F.col("doc_id") == F.col("node"), "left_semi")
+    whole = mapped(some, with_hash, "node long, same binary, text string")
+    held = stage(whole.join(held, ["node", "same"]).groupBy("t", "fp").agg(F.min("text").alias("text")), "near-texts")
+    near = stage(alike_pairs(links, held, words, similarity), "near")
+    # texts of one document stand and fall together
+    own = nodes.groupBy("node").agg(F.min("t").alias("a"), F.collect_list("t").alias("all")).filter(F.size("all") > 1)
+    own = own.select("a", F.explode("all").alias("b"))
+    parts = stage(components(near.union(own), "components").withColumnRenamed("root", "part"), "parts")
+    part_of = nodes.select("t").join(parts.withColumnRenamed("node", "t"), "t", "left").select("t", F.coalesce("part", "t").alias("part"))
+
+    refused = links.join(part_of.select(F.col("t").alias("a"), F.col("part").alias("part_a")), "a")
+    refused = refused.join(part_of.select(F.col("t").alias("b"), F.col("part").alias("part_b")), "b")
+    comps = components(refused.filter("part_a <> part_b").select(F.col("part_a").alias("a"), F.col("part_b").alias("b")), "components")
+    comps = stage(comps.select(F.col("node").alias("part"), F.col("root").alias("comp")), "refused")
+    unsettled = held.join(part_of.join(comps, "part"), "t")
+    # of two texts the only link has been tried
+    large = unsettled.groupBy("comp").agg(F.count("*").alias("n")).filter("n > 2").select("comp")
+    unsettled = stage(unsettled.join(large, "comp"), "unsettled")
+    more = stage(alike_pairs(stage(candidates(unsettled, similarity, words), "candidates"), held, words, similarity), "near")
+    more = more.join(part_of.select(F.col("t").alias("a"), F.col("part").alias("part_a")), "a")
+    more = more.join(part_of.select(F.col("t").alias("b"), F.col("part").alias("part_b")), "b")
+    joined = components(more.select(F.col("part_a").alias("a"), F.col("part_b").alias("b")), "components")
+    groups = part_of.join(joined.withColumnRenamed("node", "part"), "part", "left").select("t", F.coalesce("root", "part").alias("root"))
+    groups = stage(nodes.join(groups, "t").select("fp", "same", "node", "root"), "groups")
+    least = groups.groupBy("root").agg(F.min("node").alias("first_id"))
+    groups = groups.join(least, "root").select("fp", "same", "first_id")
+    gone = prints.join(groups, ["fp", "same"]).filter("doc_id <> first_id").select(F.col("doc_id").alias("near_duplicate")).distinct()
     present = docs.filter("doc_id IS NOT NULL")
     return present.join(gone, F.col("doc_id").cast("long") == F.col("near_duplicate"), "left_anti").select(*docs.columns)
 

@@ -236,6 +236,33 @@ def test_a_dense_group_loses_no_document_of_its_own(spark):
     assert kept_by_hand(texts) <= got and len(got) < 30
 
 
+@pytest.mark.parametrize("limit", [50_000, 20])
+def test_no_link_of_a_dense_group_is_left_out(spark, monkeypatch, limit):
+    """Steps away from one text, and texts of one fingerprint that are like each other but not like its first."""
+    monkeypatch.setattr(simhash, "KEY_LIMIT", limit)
+    base, draw, texts = words(300, 5).split(), random.Random(7), {}
+    for i in range(120):
+        texts[i] = " ".join(base)
+        base[draw.randrange(300)] = f"new{i}"
+    for i in range(40):
+        tail = words(60, 900 + i // 2).split()
+        tail[-1] = f"end{i}"
+        texts[200 + i] = "z " * 600 + " ".join(tail)
+    prints = {simhash.fingerprint(t.encode(), 5) for d, t in texts.items() if d >= 200}
+    assert len(prints) == 1
+    docs = spark.createDataFrame(list(texts.items()), DOCS).repartition(3)
+    got = {r.doc_id for r in simhash.keep_one(docs).collect()}
+    assert got == kept_by_hand(texts)
+    assert len([d for d in got if d >= 200]) == 20
+
+
+def test_texts_that_share_an_id_are_all_compared(spark):
+    one, two = words(200, 31), words(200, 32)
+    rows = [(1, one), (1, two), (2, one + " more"), (3, two + " more"), (4, words(200, 33))]
+    got = sorted(r.doc_id for r in simhash.keep_one(spark.createDataFrame(rows, DOCS)).collect())
+    assert got == [1, 1, 4]
+
+
 def test_fingerprints_as_by_hand():
     texts = ["", " \n\t", "One", "One two Three", "a b c d", "a b c d e", "Ä Ö a\x0bb\x1cc d e f g h", words(500, 3), "x " * 4000]
     for text in texts:
