@@ -71,36 +71,37 @@ def stuck_stream(
 
     is_double = isinstance(df.schema[value_col].dataType, T.DoubleType)
 
-    def result(rows: pd.DataFrame, run_length: np.ndarray | None, is_stuck) -> pd.DataFrame:
-        lengths = [None] * len(rows) if run_length is None else run_length
-        out = rows[columns].assign(run_length=pd.array(lengths, dtype="Int64"), is_stuck=is_stuck)
+    def result(rows: pd.DataFrame, run_length: np.ndarray, idle: np.ndarray, is_stuck: np.ndarray) -> pd.DataFrame:
+        out = {c: rows[c].array for c in columns}
         if is_double:  # a NaN stays one
             values = rows[value_col].to_numpy(dtype=float, na_value=np.nan)
             out[value_col] = pd.arrays.FloatingArray(values, rows["_missing"].to_numpy(dtype=bool))
-        return out
+        out["run_length"], out["is_stuck"] = pd.arrays.IntegerArray(run_length, idle), is_stuck
+        return pd.DataFrame(out, copy=False)
 
     def advance(
         key: tuple, frames: Iterator[pd.DataFrame], state: GroupState
     ) -> Iterator[pd.DataFrame]:
         if key[-1] >= 0:
             for rows in frames:
-                yield result(rows, None, False)
+                n = len(rows)
+                yield result(rows, np.zeros(n, np.int64), np.ones(n, bool), np.zeros(n, bool))
             return
         last, count = state.get if state.exists else (None, 0)
         parts = [f for f in frames if len(f)]
-        rows = pd.concat(parts).sort_values(order_cols, kind="stable", na_position="first")
+        rows = parts[0] if len(parts) == 1 else pd.concat(parts)
+        rows = rows.sort_values(order_cols, kind="stable", na_position="first")
         if dedupe_on:
             rows = rows.drop_duplicates(dedupe_on, keep="first")
+        # one frame a key: for short sequences, frames cost more than their rows
         live = ~rows["_missing"].to_numpy(dtype=bool)
-        if not live.all():
-            yield result(rows[~live], None, False)
+        lengths, stuck = np.zeros(len(rows), np.int64), np.zeros(len(rows), bool)
         if live.any():
-            rows = rows[live]
-            values = rows[value_col].to_numpy(dtype=float, na_value=np.nan)
-            lengths = run_lengths(values, last, count, tol)
-            state.update((float(values[-1]), int(lengths[-1])))
-            moving = ~(np.abs(values) <= tol)
-            yield result(rows, lengths, moving & (lengths >= threshold))
+            values = rows[value_col].to_numpy(dtype=float, na_value=np.nan)[live]
+            lengths[live] = run_lengths(values, last, count, tol)
+            state.update((float(values[-1]), int(lengths[live][-1])))
+            stuck[live] = ~(np.abs(values) <= tol) & (lengths[live] >= threshold)
+        yield result(rows, lengths, ~live, stuck)
 
     no_key = reduce(lambda a, b: a | b, [F.col(c).isNull() for c in keys])
     spread = F.pmod(F.xxhash64(*order_cols), F.lit(IDLE_GROUPS))
