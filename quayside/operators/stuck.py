@@ -70,15 +70,16 @@ def hot_slots(
         .groupBy(*keys, _minute(F.col(ts_col)).alias("_minute"))
         .agg(F.count("*").alias("_n"))
     )
-    fullest = (
-        minutes.withColumn("_width", F.explode(F.array(*[F.lit(w) for w in SLOT_MINUTES])))
-        .groupBy(*keys, "_width", F.floor(F.col("_minute") / F.col("_width")).alias("_slot"))
-        .agg(F.sum("_n").alias("_n"))
-        .groupBy(*keys, "_width")
-        .agg(F.max("_n").alias("_n"))
-    )
-    fits = (F.col("_n") <= rows_per_piece) | (F.col("_width") == min(SLOT_MINUTES))
-    return fullest.filter(fits).groupBy(*keys).agg(F.max("_width").alias("_width"))
+    # Each width divides the next, so one shuffle and one sort serve all windows: the finest comes first.
+    slots = {f"_at{w}": F.floor(F.col("_minute") / w) for w in SLOT_MINUTES[:-1]}
+    counted = minutes.withColumns(slots).repartition(*keys, next(iter(slots)))
+    counted = counted.withColumn(f"_n{SLOT_MINUTES[-1]}", F.col("_n"))
+    for i in reversed(range(len(slots))):
+        whole = Window.partitionBy(*keys, *list(slots)[: i + 1])
+        counted = counted.withColumn(f"_n{SLOT_MINUTES[i]}", F.sum("_n").over(whole))
+    fullest = counted.groupBy(*keys).agg(*[F.max(f"_n{w}").alias(f"_n{w}") for w in SLOT_MINUTES])
+    fits = [F.when(F.col(f"_n{w}") <= rows_per_piece, w) for w in SLOT_MINUTES]
+    return fullest.select(*keys, F.coalesce(*fits, F.lit(min(SLOT_MINUTES))).alias("_width"))
 
 
 def _from_state(prior: DataFrame, keys: list[str], piece: int) -> DataFrame:
@@ -102,7 +103,7 @@ def _handed_over(
     ends = F.struct(F.col(value_col).alias("last"), _run().alias("count"), "_start")
     pieces = (
         measured.filter(~F.col("_idle") & (F.col("_piece") != _WHOLE))
-        .groupBy(*keys, "_piece")
+        .groupBy(*keys, "_idle", "_piece")  # as the rows lie
         .agg(F.min("_head").alias("_head"), F.max_by(ends, F.struct(*order_cols)).alias("_end"))
         .select(
             *keys,
@@ -169,6 +170,9 @@ def stuck_runs(
         slot = F.floor(_minute(F.col(order_cols[0])) / F.col("_width"))
         piece = F.coalesce(slot, F.lit(_WHOLE))
     frame = frame.withColumns({"_idle": idle, "_piece": F.when(idle, spread).otherwise(piece)})
+    if rows_per_piece is not None:
+        # Where the slots came by a shuffle of the keys, a key's pieces would stay in one task.
+        frame = frame.repartition(*keys, "_idle", "_piece")
 
     in_order = Window.partitionBy(*keys, "_idle", "_piece").orderBy(*order_cols)
     changed = F.coalesce(~_near(F.col("_prev"), F.col(value_col), tol), F.lit(True))

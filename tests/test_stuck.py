@@ -1,4 +1,6 @@
 import random
+import re
+from collections import Counter
 from datetime import datetime, timedelta
 
 import pytest
@@ -7,7 +9,7 @@ from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
 from quayside.operators.dedupe import dedupe_first
-from quayside.operators.stuck import state_after, stuck_runs
+from quayside.operators.stuck import SLOT_MINUTES, hot_slots, state_after, stuck_runs
 from quayside.streaming.state import run_lengths
 
 START = datetime(2026, 1, 1)
@@ -191,3 +193,27 @@ def test_cleaning_in_pieces(spark):
     assert sorted(map(repr, whole)) == sorted(map(repr, cut))
     assert len(whole) == 60 and any(r.reject_reason for r in whole)
     assert (pieces_needed(5, 5), pieces_needed(6, 5), pieces_needed(6, None)) == (None, 5, None)
+
+
+def test_slots_as_by_hand(spark):
+    draw, rows = random.Random(3), []
+    for n in range(12):
+        spread = draw.choice([90, 4000, 30_000, 200_000])
+        rows += [("k", f"E{n}", START + timedelta(seconds=draw.randrange(spread)), i, 1.0) for i in range(draw.randint(5, 60))]
+    rows += [("k", "none", None, i, 1.0) for i in range(8)]
+    expected = {}
+    for id in {r[1] for r in rows}:
+        at = [r[2] and (r[2] - datetime(1970, 1, 1)) // timedelta(minutes=1) for r in rows if r[1] == id]
+        if len(at) > 7:
+            most = lambda w: max(Counter(t if t is None else t // w for t in at).values())  # noqa: B023, E731
+            expected[id] = next((w for w in SLOT_MINUTES if most(w) <= 7), 1)
+    found = {r.id: r._width for r in hot_slots(frame(spark, rows), KEYS, "ts", 7).collect()}
+    assert found == expected and len(set(found.values())) > 2
+
+
+def test_pieces_of_a_key_are_dealt_apart(spark):
+    """Also where the slots come by a shuffle of the keys, and no minute is multiplied."""
+    runs = stuck_runs(frame(spark, sequence([1.0] * 9)), KEYS, ORDER, "v", rows_per_piece=2)
+    plan = runs._jdf.queryExecution().executedPlan().toString()
+    assert re.search(r"hashpartitioning\(kind#\d+, id#\d+, _idle#\d+, _piece#\d+L?, \d+\)", plan)
+    assert "explode" not in plan
