@@ -18,9 +18,8 @@ import re
 import sys
 import zlib
 from array import array
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from functools import lru_cache
-from itertools import islice
 from pathlib import Path
 
 import numpy as np
@@ -51,6 +50,24 @@ _LETTERS = re.compile(r"[A-Za-zÀ-ÖØ-öø-ÿ]+")
 #: How byte-level vocabularies write each byte.
 _LETTER = {x: c for c, x in byte_letters().items()}
 _TAILED = re.compile(r"([A-Za-zÀ-ÖØ-öø-ÿ]+)([!-&(-/:-@\[-`{-~]+)")
+#: Two words, one at the end of a line and one at the beginning of the next, which has no space.
+_LINES = re.compile(r"([A-Za-zÀ-ÖØ-öø-ÿ]+[!-&(-/:-@\[-`{-~]*)\n([A-Za-zÀ-ÖØ-öø-ÿ]+)")
+
+
+class Apart(Exception):
+    """A text has white space beside a space, and takes a pattern to be cut."""
+
+
+class Words(dict):
+    """Ids by word; a word that is looked up and not there is asked for, and stays."""
+
+    def __init__(self, ask: Callable[[str], bytes]):
+        super().__init__()
+        self.ask = ask
+
+    def __missing__(self, word: str) -> bytes:
+        ids = self[word] = self.ask(word)
+        return ids
 
 
 class Encoder:
@@ -59,8 +76,8 @@ class Encoder:
     Its splitting pattern never joins a space to the character before it, so a text may
     be cut before every single space that stands between two other characters: the
     pieces' ids in a row are the text's ids. Pieces recur, and their ids are remembered;
-    new ones go to the library, a batch at a time. Texts with other white space next to
-    a space are cut there too by a plain split, so these take a pattern instead.
+    new ones go to the library. Texts with other white space next to a space are cut
+    there too by a plain split, so these take a pattern instead.
     """
 
     def __init__(self, path: str, width: int, plain: bool = False):
@@ -75,61 +92,52 @@ class Encoder:
         #: A space and letters are one piece of the pattern, which its model can be asked for directly.
         self.direct = plainly and made["model"]["type"] == "BPE" and sys.byteorder == "little"
         # by the word after a space; none has white space at its ends
-        self.words: dict[str, bytes] = {}
-        self.once: set[str] = set()  # those of them that one batch alone has held
-        self.tails: dict[str, bytes] = {}  # of marks that end words
+        self.words = Words(self.learn)
+        self.before: dict[str, bytes] = {}  # words of the time before, of which those met again come back
+        self.parts = Words(lambda text: self.ids([text])[0])  # marks that end words, and what begins a line
 
     def encode(self, texts: list[str]) -> list[bytes]:
-        if len(self.words) > MEMORY:
+        if len(self.words) > MEMORY // 2:
             self.forget()
-        words = self.words
-        pieces = [text.split(" ") for text in texts]
-        heads = [rest.pop(0) for rest in pieces]
-        new: set[str] = set()
-        for rest in pieces:
-            new.update(rest)
-        self.once.difference_update(new)
-        new.difference_update(words)
-        odd = {w for w in new if w != w.strip() or not w}
-        if odd:
-            for i, rest in enumerate(pieces):
-                if not odd.isdisjoint(rest):
-                    heads[i], *pieces[i] = _SPACE.split(texts[i])
-                    new.update(pieces[i])
-            new.difference_update(words, odd)
-            odd = {w for rest in pieces for w in rest if w != w.strip() or not w}
-        self.learn(new | odd)
-        out = [head + b"".join(map(words.__getitem__, rest)) for head, rest in zip(self.ids(heads), pieces, strict=True)]
-        for w in odd:  # not known to stand alone in a plain split
-            words.pop(w, None)
-        self.once.difference_update(odd)
-        return out
+        find, heads, rests = self.words.__getitem__, [], []
+        for text in texts:
+            head, *rest = text.split(" ")
+            try:
+                rests.append(b"".join(map(find, rest)))
+            except Apart:
+                head, *rest = _SPACE.split(text)
+                rests.append(self.apart(rest))
+            heads.append(head)
+        return [head + rest for head, rest in zip(self.ids(heads), rests, strict=True)]
+
+    def apart(self, pieces: list[str]) -> bytes:
+        """Ids of pieces that a plain split might not have given; those that it would not are not remembered."""
+        odd = list({w for w in pieces if " " in w or w != w.strip() or not w})
+        found = dict(zip(odd, self.ids([" " + w for w in odd]), strict=True))
+        return b"".join(found[w] if w in found else self.words[w] for w in pieces)
 
     def forget(self) -> None:
-        """Words that one batch alone has held go; if that is less than half, the younger half."""
-        for w in self.once:
-            self.words.pop(w, None)
-        if len(self.words) > MEMORY // 2:
-            self.words = dict(islice(self.words.items(), MEMORY // 2))
-        self.once, self.tails = set(), {}
-
-    def learn(self, new: set[str]) -> None:
-        """Remember words. Letters and the marks after them are apart in the pattern, and in memory."""
-        words, tails = self.words, self.tails
-        self.once.update(new)
-        cut = {w: found.groups() for w in new if (found := _TAILED.fullmatch(w))}
-        whole = list(new.difference(cut).union(base for base, _ in cut.values()).difference(words))
+        """Words that were not met since the time before go."""
+        self.before = dict(self.words)
+        self.words.clear()
+        self.parts.clear()
+
+    def learn(self, word: str) -> bytes:
+        """Ids of a new word. Letters, the marks after them and a line's end are apart in the pattern."""
+        known = self.before.pop(word, None)
+        if known is not None:
+            return known
+        if cut := _TAILED.fullmatch(word):
+            return self.words[cut[1]] + self.parts[cut[2]]
         if self.direct:
-            ask, kind, space = self.tokenizer.model.tokenize, self.kind, _LETTER[32]
-            letters = [w for w in whole if _LETTERS.fullmatch(w)]
-            for w in letters:
-                text = w if w.isascii() else w.encode().decode("latin-1").translate(_LETTER)
-                words[w] = array(kind, [t.id for t in ask(space + text)]).tobytes()
-            whole = list(set(whole).difference(letters))
-        words.update(zip(whole, self.ids([" " + w for w in whole]), strict=True))
-        marks = list({tail for _, tail in cut.values()}.difference(tails))
-        tails.update(zip(marks, self.ids(marks), strict=True))
-        words.update((w, words[base] + tails[tail]) for w, (base, tail) in cut.items())
+            if _LETTERS.fullmatch(word):
+                text = word if word.isascii() else word.encode().decode("latin-1").translate(_LETTER)
+                return array(self.kind, [t.id for t in self.tokenizer.model.tokenize(_LETTER[32] + text)]).tobytes()
+            if cut := _LINES.fullmatch(word):
+                return self.words[cut[1]] + self.parts["\n"] + self.parts[cut[2]]
+        if word != word.strip() or not word:
+            raise Apart
+        return self.ids([" " + word])[0]
 
     def ids(self, texts: list[str]) -> list[bytes]:
         out: list[bytes] = []

@@ -80,6 +80,18 @@ def test_recurring_words_stay_in_memory(library, monkeypatch):
     assert seen.count(" common") == 1 and seen.count(" words") == 1
 
 
+def test_known_words_over_a_line_end_are_not_encoded_again(library):
+    encoder, seen = token_files.Encoder(tokenizer_path(), 2), []
+    ids = encoder.ids
+    encoder.ids = lambda texts: seen.extend(texts) or ids(texts)
+    texts = ["one word.\nAnother, word\nand one.", "an other word.\nAnother\n\nline é!\nÉcole", "a  b word.\nAnother 1.\n2 x's\ny"]
+    for text, found in zip(texts, encoder.encode(texts), strict=True):
+        assert np.frombuffer(found, "<u2").tolist() == library.encode(text, add_special_tokens=False).ids, text
+    assert " word.\nAnother" not in seen and " word\nand" not in seen and seen.count("Another") == 1
+    encoder.forget()
+    assert encoder.encode(texts) == [np.array(library.encode(t, add_special_tokens=False).ids, "<u2").tobytes() for t in texts]
+
+
 def test_files_of_one_hot_id(spark, library, monkeypatch):
     """Rows of one doc_id spread over several files, in one order in ids and index."""
     monkeypatch.setattr(token_files, "FILE_BYTES", 200)
