@@ -1048,10 +1048,11 @@ def stuck_stream_ordered_levels(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every seventh reading of a slice's last two days arrives a slice later, in its place none the less."""
     rows, edges = levels(spark, sf_dir), [timestamp_literal(b) for b in BORDERS]
     early, middle, last = slices(rows, "event_timestamp")
-    held = lambda part, edge: part.filter(
-        (F.col("seq") % 7 == 0) & (F.col("event_timestamp") >= edge - F.expr("INTERVAL 2 DAYS"))
+    late = lambda edge: F.coalesce(
+        (F.col("seq") % 7 == 0) & (F.col("event_timestamp") >= edge - F.expr("INTERVAL 2 DAYS")), F.lit(False)
     )
-    rest = lambda part, edge: part.exceptAll(held(part, edge))
+    held = lambda part, edge: part.filter(late(edge))
+    rest = lambda part, edge: part.filter(~late(edge))
     end = rows.limit(1).select(
         F.lit(-1).cast("bigint").alias("seq"),
         F.lit("end of the replay").alias("equipment_id"),

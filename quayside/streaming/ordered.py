@@ -57,24 +57,29 @@ class OrderedRuns(StatefulProcessor):
         self.handle = handle
         self.waiting = handle.getListState("waiting", self.columns)
         self.run = handle.getValueState("run", RUN)
+        self.settled: set = set()  # keys whose other timers of this batch have nothing to do
 
     def handleInitialState(self, key, initialState, timerValues) -> None:  # noqa: N802, N803
         self.run.update((initialState.last_value, initialState.repeat_count))
 
     def handleInputRows(self, key, rows, timerValues) -> Iterator[Row]:  # noqa: N802, N803
         new = [tuple(r)[:-1] for r in rows]  # without the clock
+        self.settled.discard(key)
         self.waiting.appendList(new)
         # one millisecond on, as a row is passed when the watermark lies behind it
         self.handle.registerTimer(min(r[self.at] for r in new) // 1000 + 1)
         return iter(())
 
     def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[Row]:  # noqa: N802, N803
+        if key in self.settled:
+            return
         passed = timerValues.getCurrentWatermarkInMs() * 1000
         rows = sorted((tuple(r) for r in self.waiting.get()), key=lambda r: [(r[i] is not None, r[i]) for i in self.order])
         ready = [r for r in rows if r[self.at] < passed]
         if ready:
             rest = rows[len(ready) :]
             if rest:
+                self.settled.add(key)
                 self.waiting.put(rest)
                 self.handle.registerTimer(rest[0][self.at] // 1000 + 1)
             else:
@@ -85,7 +90,7 @@ class OrderedRuns(StatefulProcessor):
             self.run.clear()  # an id that has been silent for so long
 
     def measured(self, rows: list[tuple]) -> Iterator[Row]:
-        last, count = self.run.get() if self.run.exists() else (None, 0)
+        last, count = self.run.get() or (None, 0)  # one call to the store
         for row in rows:
             value = row[self.value]
             count = count + 1 if last is not None and abs(value - last) < self.tol else 1

@@ -2,18 +2,19 @@
 
 import contextlib
 from datetime import datetime
+from types import SimpleNamespace
 
 import pytest
 from helpers import elevator_messages, message
 from pyspark.sql import functions as F
 
-from quayside.catalogue import ELEVATOR
+from quayside.catalogue import ELEVATOR, struct_of
 from quayside.operators.stuck import stuck_runs
 from quayside.plans.etl import Tables, clean_to_tables, load_hours, merge_batches
 from quayside.plans.maintenance import ledger, load_changed_hours
 from quayside.session import workspace
 from quayside.sinks import tables
-from quayside.streaming.ordered import PROVIDER, admit, rocksdb, stuck_stream_ordered
+from quayside.streaming.ordered import PROVIDER, OrderedRuns, admit, rocksdb, stuck_stream_ordered
 from quayside.streaming.windows import hourly_log, hourly_now, start_hourly_stream
 
 ONCE = {"availableNow": True}
@@ -143,6 +144,53 @@ def test_silent_keys_lose_their_state(spark):
     assert {r.seq: r.run_length for r in got.filter("id = 'a'").collect()} == {1: 1, 4: 1}
 
 
+def test_timers_of_one_batch_read_a_key_once():
+    class State:
+        def __init__(self):
+            self.rows, self.reads = [], 0
+
+        def get(self):
+            self.reads += 1
+            return iter(self.rows)
+
+        def put(self, rows):
+            self.rows = rows
+
+        def appendList(self, rows):  # noqa: N802
+            self.rows = self.rows + rows
+
+    class Run(State):
+        def __init__(self):
+            self.row, self.reads = None, 0
+
+        def get(self):
+            self.reads += 1
+            return self.row
+
+        def update(self, row):
+            self.row = row
+
+        def exists(self):
+            self.reads += 1
+            return self.row is not None
+
+    waiting, run = State(), Run()
+    handle = SimpleNamespace(getListState=lambda *_: waiting, getValueState=lambda *_: run, registerTimer=lambda _: None)
+    columns = struct_of("id STRING, ts BIGINT, v DOUBLE")
+    task = OrderedRuns(columns, "ts", ["ts"], "v", 2, 1e-9, 10**9)
+    task.init(handle)
+    second = 1_000_000
+    list(task.handleInputRows(("a",), iter([("a", i * second, 2.0, None) for i in range(5)]), None))
+    now = SimpleNamespace(getCurrentWatermarkInMs=lambda: 3000)
+    out = [r for _ in range(3) for r in task.handleExpiredTimer(("a",), now, None)]
+    assert [(r.ts // second, r.run_length, r.is_stuck) for r in out] == [(0, 1, False), (1, 2, True), (2, 3, True)]
+    assert (waiting.reads, run.reads) == (1, 1)
+    # rows that come later make the key's timers count again
+    list(task.handleInputRows(("a",), iter([("a", 5 * second, 2.0, None)]), None))
+    later = SimpleNamespace(getCurrentWatermarkInMs=lambda: 5000)
+    assert [r.run_length for r in task.handleExpiredTimer(("a",), later, None)] == [4, 5]
+
+
 @pytest.mark.parametrize("order", [1, -1])
 def test_no_row_of_a_stream_is_lost(spark, order):
     feed = Replay(spark, ROWS, lambda s: admit(s, ["id"], "ts", "1 hour"))
