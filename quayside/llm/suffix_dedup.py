@@ -206,10 +206,9 @@ def class_bounds(bwt: np.ndarray, length: int) -> np.ndarray:
     for depth in range(length):
         wide = high - low > 4 * len(present)
         new_low, new_high = [], []
-        for s in present if wide.any() else ():
-            if s == 0 and depth:
-                continue
-            i, j = (np.searchsorted(listed, s * (n + 1) + x[wide]) for x in (low, high))
+        if wide.any():  # all symbols at once: their ends lie apart; fewer than n / 4 of them
+            each = (present[present > 0] if depth else present)[:, None] * (n + 1)
+            i, j = (np.searchsorted(listed, (each + x[wide]).ravel()) for x in (low, high))
             new = (i < j) & ~found[j]
             found[j[new]] = True
             new_low.append(i[new])

@@ -108,6 +108,15 @@ def test_class_bounds_are_common_prefixes():
                 assert found[i] == (text[a : a + length] != text[b : b + length])
 
 
+def test_symbols_of_wide_intervals_are_looked_up_together(monkeypatch):
+    draw, calls, look = random.Random(5), [], np.searchsorted
+    data = np.array([draw.randint(1, 200) for _ in range(4000)] * 2 + [255], np.uint8)
+    order = suffix_dedup.sorted_suffixes(data)
+    monkeypatch.setattr(np, "searchsorted", lambda *a, **b: calls.append(1) or look(*a, **b))
+    suffix_dedup.class_bounds(data[order - 1], suffix_dedup.LENGTH)
+    assert len(calls) <= 3 * suffix_dedup.LENGTH
+
+
 def test_repeats_of_the_tables(spark, sf_dir):
     texts = {r.doc_id: r.text for r in table(spark, sf_dir, "documents").collect()}
     rows = op2_suffix_dedup(spark, sf_dir).collect()
@@ -256,6 +265,23 @@ def test_no_link_of_a_dense_group_is_left_out(spark, monkeypatch, limit):
     assert len([d for d in got if d >= 200]) == 20
 
 
+def test_texts_are_picked_without_a_shuffle_of_them(spark, monkeypatch):
+    """Ids beyond the session's broadcast limit are sent none the less, up to SENT_IDS of them."""
+    texts = [words(60, i) for i in range(30)]
+    docs = frame(spark, texts + texts[:10])
+    limit = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        for sent, join in ((simhash.SENT_IDS, "BroadcastHashJoin"), (3, "SortMergeJoin")):
+            monkeypatch.setattr(simhash, "SENT_IDS", sent)
+            kept = simhash.keep_one(docs)
+            plan = kept._jdf.queryExecution().executedPlan().toString()
+            assert join in plan and ("Exchange hashpartitioning" in plan) == (join == "SortMergeJoin")
+            assert sorted(r.doc_id for r in kept.collect()) == list(range(30))
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", limit)
+
+
 def test_texts_that_share_an_id_are_all_compared(spark):
     one, two = words(200, 31), words(200, 32)
     rows = [(1, one), (1, two), (2, one + " more"), (3, two + " more"), (4, words(200, 33))]
