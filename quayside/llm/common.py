@@ -65,9 +65,9 @@ def by_rows(spark: SparkSession, n: int, rows_per_task: int) -> int:
     return max(int(spark.conf.get("spark.sql.shuffle.partitions")), -(-n // rows_per_task), 1)
 
 
-def sent_if_small(staged: DataFrame) -> DataFrame:
+def sent_if_small(staged: DataFrame, rows: int = SENT_ROWS) -> DataFrame:
     """``staged``, marked for a broadcast if its rows are counted to be few; else joined by a shuffle."""
-    return F.broadcast(staged) if staged.limit(SENT_ROWS + 1).count() <= SENT_ROWS else staged
+    return F.broadcast(staged) if staged.limit(rows + 1).count() <= rows else staged
 
 
 def mapped(

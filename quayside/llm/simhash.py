@@ -27,7 +27,7 @@ import xxhash
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from quayside.llm.common import batch, by_rows, components, mapped, text_bytes, texts_of
+from quayside.llm.common import batch, by_rows, components, mapped, sent_if_small, text_bytes, texts_of
 from quayside.session import stage
 
 WORDS = 4
@@ -40,6 +40,8 @@ PRINTS = "doc_id long, fp long, same binary"
 SEGMENTS = ((42, 22), (21, 21), (0, 21))
 #: Distinct fingerprints of one key that are compared in one task; more are dealt as pairs of blocks.
 KEY_LIMIT = 50_000
+#: So many ids of documents go to all executors, to pick texts without a shuffle of the texts; more are joined by one.
+SENT_IDS = 2_000_000
 #: Fixed value: the generator polynomial of the binary Golay code of length 23.
 GOLAY = 0b110001110101
 
@@ -369,7 +371,8 @@ def keep_one(docs: DataFrame, words: int = STAGE_WORDS, similarity: float = STAG
     links = stage(star.union(ends.select("head_a", "head_b")), "candidates")
     wanted = links.select(F.col("a").alias("t")).union(links.select("b")).distinct()
     held = nodes.join(wanted, "t", "left_semi")
-    some = texts.join(held.select("node").distinct(), F.col("doc_id") == F.col("node"), "left_semi")
+    their = sent_if_small(stage(held.select("node").distinct(), "wanted"), SENT_IDS)
+    some = texts.join(their, F.col("doc_id") == F.col("node"), "left_semi")
     whole = mapped(some, with_hash, "node long, same binary, text string")
     held = stage(whole.join(held, ["node", "same"]).groupBy("t", "fp").agg(F.min("text").alias("text")), "near-texts")
     near = stage(alike_pairs(links, held, words, similarity), "near")
@@ -396,6 +399,7 @@ def keep_one(docs: DataFrame, words: int = STAGE_WORDS, similarity: float = STAG
     least = groups.groupBy("root").agg(F.min("node").alias("first_id"))
     groups = groups.join(least, "root").select("fp", "same", "first_id")
     gone = prints.join(groups, ["fp", "same"]).filter("doc_id <> first_id").select(F.col("doc_id").alias("near_duplicate")).distinct()
+    gone = sent_if_small(stage(gone, "gone"), SENT_IDS)
     present = docs.filter("doc_id IS NOT NULL")
     return present.join(gone, F.col("doc_id").cast("long") == F.col("near_duplicate"), "left_anti").select(*docs.columns)
 
