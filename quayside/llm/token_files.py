@@ -50,8 +50,8 @@ _LETTERS = re.compile(r"[A-Za-zÀ-ÖØ-öø-ÿ]+")
 #: How byte-level vocabularies write each byte.
 _LETTER = {x: c for c, x in byte_letters().items()}
 _TAILED = re.compile(r"([A-Za-zÀ-ÖØ-öø-ÿ]+)([!-&(-/:-@\[-`{-~]+)")
-#: Two words, one at the end of a line and one at the beginning of the next, which has no space.
-_LINES = re.compile(r"([A-Za-zÀ-ÖØ-öø-ÿ]+[!-&(-/:-@\[-`{-~]*)\n([A-Za-zÀ-ÖØ-öø-ÿ]+)")
+#: Words of several lines, each at the end of one and at the beginning of the next, which has no space.
+_LINES = re.compile(r"[A-Za-zÀ-ÖØ-öø-ÿ]+[!-&(-/:-@\[-`{-~]*(?:\n[A-Za-zÀ-ÖØ-öø-ÿ]+[!-&(-/:-@\[-`{-~]*)+")
 
 
 class Apart(Exception):
@@ -91,13 +91,15 @@ class Encoder:
         plainly = made["normalizer"] is None and (made["pre_tokenizer"] or {}).get("type") == "ByteLevel"
         #: A space and letters are one piece of the pattern, which its model can be asked for directly.
         self.direct = plainly and made["model"]["type"] == "BPE" and sys.byteorder == "little"
+        self.model = self.tokenizer.model  # asking the tokenizer for it makes a new object each time
+        self.coded = [i.to_bytes(width, "little") for i in range(max(self.tokenizer.get_vocab().values(), default=-1) + 1)]
         # by the word after a space; none has white space at its ends
         self.words = Words(self.learn)
         self.before: dict[str, bytes] = {}  # words of the time before, of which those met again come back
-        self.parts = Words(lambda text: self.ids([text])[0])  # marks that end words, and what begins a line
+        self.parts = Words(self.part)  # marks that end words, and what begins a line
 
     def encode(self, texts: list[str]) -> list[bytes]:
-        if len(self.words) > MEMORY // 2:
+        if len(self.words) + len(self.parts) > MEMORY // 2:
             self.forget()
         find, heads, rests = self.words.__getitem__, [], []
         for text in texts:
@@ -132,13 +134,21 @@ class Encoder:
         if self.direct:
             if _LETTERS.fullmatch(word):
                 text = word if word.isascii() else word.encode().decode("latin-1").translate(_LETTER)
-                return array(self.kind, [t.id for t in self.tokenizer.model.tokenize(_LETTER[32] + text)]).tobytes()
-            if cut := _LINES.fullmatch(word):
-                return self.words[cut[1]] + self.parts["\n"] + self.parts[cut[2]]
+                coded = self.coded
+                return b"".join([coded[t.id] for t in self.model.tokenize(_LETTER[32] + text)])
+            if _LINES.fullmatch(word):
+                first, *rest = word.split("\n")
+                return self.parts["\n"].join([self.words[first], *[self.parts[x] for x in rest]])
         if word != word.strip() or not word:
             raise Apart
         return self.ids([" " + word])[0]
 
+    def part(self, text: str) -> bytes:
+        """Ids of what follows no space."""
+        if self.direct and (cut := _TAILED.fullmatch(text)):
+            return self.parts[cut[1]] + self.parts[cut[2]]
+        return self.ids([text])[0]
+
     def ids(self, texts: list[str]) -> list[bytes]:
         out: list[bytes] = []
         for i in range(0, len(texts), CALL):

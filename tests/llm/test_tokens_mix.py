@@ -92,6 +92,18 @@ def test_known_words_over_a_line_end_are_not_encoded_again(library):
     assert encoder.encode(texts) == [np.array(library.encode(t, add_special_tokens=False).ids, "<u2").tobytes() for t in texts]
 
 
+def test_words_over_several_lines_or_before_marks_are_cut(library):
+    encoder, seen = token_files.Encoder(tokenizer_path(), 2), []
+    ids = encoder.ids
+    encoder.ids = lambda texts: seen.extend(texts) or ids(texts)
+    texts = [f"some word{a}.\nLine, of this,\nother!\nÉtéé## it.\nLine!" for a in ("a", "b", "c")]
+    texts += ["a list\nof\nwords.\n\nFar\n", "x <|endoftext|>\nnext, y", "it's\nit's\nl'a b", "end.\nÀ.. 1,\n2, z"]
+    for text, found in zip(texts, encoder.encode(texts), strict=True):
+        assert np.frombuffer(found, "<u2").tolist() == library.encode(text, add_special_tokens=False).ids, text
+    assert not [x for x in seen if "word" in x and "Line" in x or "other" in x and "Été" in x]
+    assert seen.count("Line") == seen.count("\n") == 1
+
+
 def test_files_of_one_hot_id(spark, library, monkeypatch):
     """Rows of one doc_id spread over several files, in one order in ids and index."""
     monkeypatch.setattr(token_files, "FILE_BYTES", 200)
