@@ -150,13 +150,15 @@ def stuck_runs(
     *,
     prior: DataFrame | None = None,
     rows_per_piece: int | None = ROWS_PER_PIECE,
+    dealt: bool = False,
 ) -> DataFrame:
     """Add ``run_length`` (position in the run) and ``is_stuck``.
 
     ``order_cols`` starts with the event time. Rows without key or value pass
     through unflagged and do not interrupt a run. ``prior`` is a state snapshot
     (keys, ``last_value``, ``repeat_count``) of what was processed before.
-    ``rows_per_piece=None`` promises that no key is large and skips the count.
+    ``rows_per_piece=None`` promises that no key is large and skips the count; with
+    ``dealt`` rows lie by ``keys`` already, and meet ``prior`` without moving again.
     """
     keys, order_cols = list(keys), list(order_cols)
     idle = reduce(lambda a, b: a | b, [F.col(c).isNull() for c in [*keys, value_col]])
@@ -192,7 +194,10 @@ def stuck_runs(
     run = _run()
     if carried:
         before = reduce(DataFrame.unionByName, carried).withColumn("_idle", F.lit(False))
-        measured = measured.join(before, [*keys, "_idle", "_piece"], "left")
+        if dealt and rows_per_piece is None:  # idle rows meet a state as well, but have no run
+            measured = measured.join(before.drop("_idle", "_piece"), keys, "left")
+        else:
+            measured = measured.join(before, [*keys, "_idle", "_piece"], "left")
         goes_on = (F.col("_start") == 1) & _near(F.col("_last"), F.col("_head"), tol)
         run = run + F.when(goes_on, F.col("_count")).otherwise(0)
     moving = F.abs(F.col(value_col)) > tol

@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from quayside.catalogue import KINDS, STUCK_SENSOR, STUCK_THRESHOLD, Kind
-from quayside.operators.dedupe import dedupe_first
+from quayside.operators.dedupe import dedupe_first, first_of_sorted
 from quayside.operators.quality import split_valid, union_rejects, with_reject_reason_mixed
 from quayside.operators.stuck import ROWS_PER_PIECE, state_after, stuck_runs
 from quayside.session import stage
@@ -39,6 +39,15 @@ def pieces_needed(rows: int, rows_per_piece: int | None) -> int | None:
     return None if rows_per_piece is None or rows <= rows_per_piece else rows_per_piece
 
 
+def pieces_of(valid: DataFrame, rows: int, rows_per_piece: int | None) -> int | None:
+    """``rows_per_piece`` if a key of ``valid``, copies included, has more of its ``rows``; else None."""
+    pieces = pieces_needed(rows, rows_per_piece)
+    if pieces is None:
+        return None
+    hot = valid.groupBy(*STATE_KEYS).agg(F.count("*").alias("_n")).filter(F.col("_n") > pieces)
+    return None if hot.isEmpty() else pieces
+
+
 def flag_stuck(
     valid: DataFrame,
     kinds: Sequence[Kind] = KINDS,
@@ -53,9 +62,14 @@ def flag_stuck(
 
     Adds ``watched`` and ``run_length``, from which the next state is taken.
     Looking for hot keys reads the deduplicated rows more than once; ``keep``
-    (persist, or stage) saves deduplicating them again each time.
+    (persist, or stage) saves deduplicating them again each time. Without a hot key
+    (``rows_per_piece=None``, ``pieces_of``) rows are dealt and sorted by equipment at once,
+    for copies, runs and ``prior`` alike.
     """
-    survivors = dedupe_first(valid, READING_KEY, [order_col])
+    if rows_per_piece is None:
+        survivors = first_of_sorted(valid, STATE_KEYS, "event_timestamp", [order_col])
+    else:
+        survivors = dedupe_first(valid, READING_KEY, [order_col])
     survivors = survivors.withColumn("watched", watched_value(kinds))
     if keep is not None and rows_per_piece is not None:
         survivors = keep(survivors)
@@ -67,6 +81,7 @@ def flag_stuck(
         threshold,
         prior=prior,
         rows_per_piece=rows_per_piece,
+        dealt=rows_per_piece is None,
     )
     return flagged.withColumn(
         "reject_reason", F.when(F.col("is_stuck"), STUCK_SENSOR)
@@ -100,7 +115,7 @@ def clean_validated(
 ) -> DataFrame:
     """``clean_batch`` from validated rows on; they are read more than once."""
     valid, rejected = split_valid(validated)
-    pieces = pieces_needed(validated.count(), rows_per_piece)
+    pieces = pieces_of(valid, validated.count(), rows_per_piece)
     flagged = flag_stuck(
         valid,
         kinds,

@@ -18,7 +18,7 @@ from quayside.plans.cleaning import (
     STATE_KEYS,
     flag_stuck,
     next_state,
-    pieces_needed,
+    pieces_of,
     validate_messages,
 )
 from quayside.sinks.keyed import KeyedLog
@@ -97,7 +97,7 @@ def start_clean_stream(
                 return
             valid, rejected = split_valid(batch)
             prior = state.before(spark, batch_id, only=valid)
-            pieces = pieces_needed(arrived, rows_per_piece)
+            pieces = pieces_of(valid, arrived, rows_per_piece)
             flagged = flag_stuck(
                 valid, kinds, threshold, prior=prior, rows_per_piece=pieces, keep=keep
             )

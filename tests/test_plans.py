@@ -9,7 +9,7 @@ from quayside.catalogue import ELEVATOR
 from quayside.operators.dedupe import dedupe_first
 from quayside.operators.quality import split_valid, with_reject_reason
 from quayside.plans import serving, warehouse
-from quayside.plans.cleaning import validate_messages
+from quayside.plans.cleaning import flag_stuck, validate_messages
 from quayside.sinks import tables
 from quayside.sources.topics import parse_payload
 
@@ -33,6 +33,14 @@ def test_copies_collapse_before_the_shuffle(spark):
     assert plan.count("Exchange") == 1
 
 
+def test_rows_are_dealt_once_for_copies_runs_and_state(spark):
+    valid, _ = split_valid(validate_messages(elevator_messages(spark, [message()])))
+    prior = spark.createDataFrame([], "equipment_type string, equipment_id string, last_value double, repeat_count bigint")
+    assert physical(flag_stuck(valid, rows_per_piece=None)).count("Exchange") == 1
+    plan = physical(flag_stuck(valid, prior=prior, rows_per_piece=None))
+    assert sum("Exchange hashpartitioning(equipment_type" in line for line in plan.splitlines()) <= 2  # one is the state's
+
+
 def test_fact_reads_only_its_columns_and_aggregates_before_joining(spark, sf_dir):
     by_id = warehouse.hourly_by_id(shipments(spark, sf_dir), SHIPMENT)
     fact = warehouse.with_equipment_key(by_id, supplier_dim(spark, sf_dir))

@@ -8,7 +8,7 @@ from hypothesis import HealthCheck, given, settings
 from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
-from quayside.operators.dedupe import dedupe_first
+from quayside.operators.dedupe import dedupe_first, first_of_sorted
 from quayside.operators.stuck import SLOT_MINUTES, hot_slots, state_after, stuck_runs
 from quayside.streaming.state import run_lengths
 
@@ -195,6 +195,34 @@ def test_cleaning_in_pieces(spark):
     assert (pieces_needed(5, 5), pieces_needed(6, 5), pieces_needed(6, None)) == (None, 5, None)
 
 
+def test_only_loads_with_a_hot_key_are_cut(spark):
+    from helpers import elevator_messages, reading
+
+    from quayside.operators.quality import split_valid
+    from quayside.plans.cleaning import clean_validated, pieces_of, validate_messages
+
+    payloads = [reading(i, 1, equipment_id=f"E{i % 4}") for i in range(20)]
+    for copies, expected in ((0, None), (3, 5)):  # copies of a reading count as well
+        messages = elevator_messages(spark, payloads + payloads[:1] * copies)
+        validated = validate_messages(messages)
+        valid, _ = split_valid(validated)
+        assert pieces_of(valid, 20 + copies, 5) == expected
+        assert pieces_of(valid, 20 + copies, None) is None and pieces_of(valid, 5, 5) is None
+        rows = clean_validated(validated, rows_per_piece=5).select("equipment_id", "event_timestamp", "offset", "run_length").collect()
+        assert sorted(r.offset for r in rows) == list(range(20))
+        assert sorted(r.run_length for r in rows) == sorted([1, 2, 3, 4, 5] * 4)
+
+
+def test_first_of_sorted_is_dedupe_first(spark):
+    draw = random.Random(5)
+    rows = [(draw.choice("ab"), draw.choice(["x", "y", None]), START + timedelta(seconds=draw.randrange(20)), draw.choice([i, None]), float(i)) for i in range(300)]
+    rows = list({(*r[:3], r[3] is None): r for r in rows}.values()) + [("a", "x", None, 7, 1.0), ("a", "x", None, 3, 2.0)]
+    df = frame(spark, rows)
+    found = first_of_sorted(df, KEYS, "ts", ["seq"])
+    assert found.columns == df.columns
+    assert sorted(map(repr, found.collect())) == sorted(map(repr, dedupe_first(df, [*KEYS, "ts"], ["seq"]).collect()))
+
+
 def test_slots_as_by_hand(spark):
     draw, rows = random.Random(3), []
     for n in range(12):
