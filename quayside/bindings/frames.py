@@ -19,6 +19,8 @@ from quayside.session import workspace
 from quayside.sources.raw import with_day_bucket
 
 AS_OF = datetime(2024, 1, 15, 19, 30)
+#: Events whose messages one task writes.
+ROWS_PER_TASK = 1_000_000
 
 READING = Kind(
     name="reading",
@@ -160,6 +162,12 @@ def _message(kind: Kind) -> str:
     return f"to_json(named_struct({fields}))"
 
 
+def _spread(rows: DataFrame) -> DataFrame:
+    """Rows dealt to all cores: a file of few row groups is read by as few tasks."""
+    tasks = max(rows.sparkSession.sparkContext.defaultParallelism, -(-rows.count() // ROWS_PER_TASK))
+    return rows.repartition(tasks, "event_id")
+
+
 def _computed_messages(spark: SparkSession, sf_dir: str) -> DataFrame:
     nth = F.col("user_id") % len(KINDS)
     topic = F.coalesce(*[F.when(nth == i, k.topic) for i, k in enumerate(KINDS)])
@@ -168,7 +176,7 @@ def _computed_messages(spark: SparkSession, sf_dir: str) -> DataFrame:
     first = F.col("event_id") * 2
     offsets = F.when(_every(50), F.array(first, first + 1)).otherwise(F.array(first))
     return (
-        table(spark, sf_dir, "events")
+        _spread(table(spark, sf_dir, "events"))
         .withColumn("k", F.from_json("props", "k BIGINT").getField("k"))
         # Exploded in a step of its own: beside a generator, structs lose their field names.
         .withColumn("offset", F.explode(offsets))

@@ -5,7 +5,7 @@ from datetime import date
 from helpers import elevator_messages, message
 from pyspark.sql import functions as F
 
-from quayside.catalogue import ELEVATOR
+from quayside.catalogue import ELEVATOR, KINDS
 from quayside.operators.dedupe import dedupe_first
 from quayside.operators.stuck import stuck_runs
 from quayside.plans import serving
@@ -85,3 +85,15 @@ def test_ids_are_known_without_reading_a_reading(spark):
     assert serving.known_ids(ids, "rmg").count() == 0
     (row,) = serving.id_estimates(tables.read_sketches(spark, stored.clean)).collect()
     assert row.equipment_type == "elevator" and abs(row.equipment_count - 400) <= 20
+
+
+def test_messages_are_written_by_all_cores(spark, tmp_path):
+    """A table of one row group is read by one task, and its messages by as many as there are files."""
+    from quayside.bindings.frames import telemetry, telemetry_of
+
+    rows = "id AS event_id, id % 12 AS user_id, 'view' AS event_type, timestamp_ntz'2024-01-02 00:00:00' AS ts, 10D AS value, '{\"k\": 1}' AS props"
+    spark.range(4000).selectExpr(*rows.split(", ")).coalesce(1).write.parquet(f"{tmp_path}/events.parquet")
+    messages = telemetry(spark, str(tmp_path))
+    assert messages.count() == 4080
+    files = telemetry_of(spark, str(tmp_path), KINDS[0]).select(F.input_file_name()).distinct()
+    assert files.count() == spark.sparkContext.defaultParallelism
