@@ -18,12 +18,13 @@ import re
 import sys
 import zlib
 from array import array
-from collections.abc import Callable, Iterator
+from collections.abc import Collection, Iterator
 from functools import lru_cache
 from pathlib import Path
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -35,7 +36,7 @@ FILE_BYTES = 12 << 20
 #: Words a worker remembers the ids of.
 MEMORY = 450_000
 #: Bytes of text that are encoded at once: more recurring words, fewer look-ups.
-ENCODE_BYTES = 2 << 20
+ENCODE_BYTES = 6 << 20
 #: Words of one call of the library.
 CALL = 5_000
 #: The index is sent to all executors up to this size, beyond it is joined by a shuffle.
@@ -44,40 +45,26 @@ INDEX_BYTES = 32 << 20
 FILE_PART, FOLDER_PART = r"/part-(\d+)", r"/part=(\d+)/"
 TABLE = "doc_id long, start long, n_tokens long, ids_crc32 long"
 
+#: Where a text may be cut: at a single space, or before a single end of line, between characters that are no white space.
 _SPACE = re.compile(r"(?<=\S) (?=\S)")
-#: Latin letters, then marks of ASCII other than the apostrophe.
-_LETTERS = re.compile(r"[A-Za-zÀ-ÖØ-öø-ÿ]+")
+_CUT = re.compile(r"(?<=\S)(?: (?=\S)|(?=\n\S))")
+_LINE = re.compile(r"\n(?<=\S\n)(?=\S)")
 #: How byte-level vocabularies write each byte.
 _LETTER = {x: c for c, x in byte_letters().items()}
-_TAILED = re.compile(r"([A-Za-zÀ-ÖØ-öø-ÿ]+)([!-&(-/:-@\[-`{-~]+)")
-#: Words of several lines, each at the end of one and at the beginning of the next, which has no space.
-_LINES = re.compile(r"[A-Za-zÀ-ÖØ-öø-ÿ]+[!-&(-/:-@\[-`{-~]*(?:\n[A-Za-zÀ-ÖØ-öø-ÿ]+[!-&(-/:-@\[-`{-~]*)+")
-
-
-class Apart(Exception):
-    """A text has white space beside a space, and takes a pattern to be cut."""
-
-
-class Words(dict):
-    """Ids by word; a word that is looked up and not there is asked for, and stays."""
-
-    def __init__(self, ask: Callable[[str], bytes]):
-        super().__init__()
-        self.ask = ask
-
-    def __missing__(self, word: str) -> bytes:
-        ids = self[word] = self.ask(word)
-        return ids
+_SPACED = _LETTER[32]
+#: An end of line, Latin letters, then marks of ASCII other than the apostrophe.
+_WORD = re.compile(r"(\n?)(?=.)([A-Za-zÀ-ÖØ-öø-ÿ]*)([!-&(-/:-@\[-`{-~]*)")
+_TAILED = re.compile(r"()([A-Za-zÀ-ÖØ-öø-ÿ]+)([!-&(-/:-@\[-`{-~]+)")
 
 
 class Encoder:
     """Ids of texts as bytes, by a byte-level BPE of the tokenizers library.
 
-    Its splitting pattern never joins a space to the character before it, so a text may
-    be cut before every single space that stands between two other characters: the
-    pieces' ids in a row are the text's ids. Pieces recur, and their ids are remembered;
-    new ones go to the library. Texts with other white space next to a space are cut
-    there too by a plain split, so these take a pattern instead.
+    Its splitting pattern never joins a space or an end of line to the character before it,
+    so a text may be cut before every single one that stands between two other characters:
+    the pieces' ids in a row are the text's ids. Pieces recur, and their ids are remembered;
+    the new ones of many texts are learned at once. Texts with other white space next to a
+    space are cut there too by a plain split, so these take a pattern instead.
     """
 
     def __init__(self, path: str, width: int, plain: bool = False):
@@ -89,65 +76,101 @@ class Encoder:
         self.kind = "H" if width == 2 else "I"
         made = json.loads(self.tokenizer.to_str())
         plainly = made["normalizer"] is None and (made["pre_tokenizer"] or {}).get("type") == "ByteLevel"
-        #: A space and letters are one piece of the pattern, which its model can be asked for directly.
+        plainly = plainly and not any(_WORD.fullmatch(x["content"]) for x in made["added_tokens"])
+        #: A space and letters, or marks, are one piece of the pattern, which its model can be asked for directly.
         self.direct = plainly and made["model"]["type"] == "BPE" and sys.byteorder == "little"
         self.model = self.tokenizer.model  # asking the tokenizer for it makes a new object each time
         self.coded = [i.to_bytes(width, "little") for i in range(max(self.tokenizer.get_vocab().values(), default=-1) + 1)]
-        # by the word after a space; none has white space at its ends
-        self.words = Words(self.learn)
+        # by the word after a space, or by an end of line and the word after it; none has other white space at its ends
+        self.words: dict[str, bytes] = {}
         self.before: dict[str, bytes] = {}  # words of the time before, of which those met again come back
-        self.parts = Words(self.part)  # marks that end words, and what begins a line
+        self.parts: dict[str, bytes] = {"": b""}  # marks that end words, and what begins a line
 
     def encode(self, texts: list[str]) -> list[bytes]:
         if len(self.words) + len(self.parts) > MEMORY // 2:
             self.forget()
-        find, heads, rests = self.words.__getitem__, [], []
-        for text in texts:
-            head, *rest = text.split(" ")
-            try:
-                rests.append(b"".join(map(find, rest)))
-            except Apart:
-                head, *rest = _SPACE.split(text)
-                rests.append(self.apart(rest))
-            heads.append(head)
-        return [head + rest for head, rest in zip(self.ids(heads), rests, strict=True)]
+        heads, rests = map(list, zip(*map(self.split, texts), strict=True)) if texts else ([], [])
+        cut = pc.split_pattern(pa.array(rests, pa.large_string()), " ")
+        del rests
+        bounds, words = cut.offsets.to_numpy(), cut.values.dictionary_encode()
+        del cut
+        ids = pa.array(self.known(words.dictionary.to_pylist()), pa.large_binary()).take(words.indices)  # in a row in its buffer
+        apart = np.array([" \n" in x for x in texts], bool)
+        if ids.null_count:
+            apart |= np.diff(np.append(0, np.cumsum(ids.is_null()))[bounds]) > 0
+        starts, data = np.frombuffer(ids.buffers()[1], np.int64)[bounds].tolist(), memoryview(ids.buffers()[2] or b"")
+        out = [data[a:b] for a, b in zip(starts, starts[1:], strict=False)]
+        for i in np.flatnonzero(apart).tolist():
+            heads[i], *pieces = (_CUT if self.direct else _SPACE).split(texts[i])
+            out[i] = self.apart(pieces)
+        return [b"".join(x) for x in zip(self.ids(heads), out, strict=True)]
+
+    def split(self, text: str) -> tuple[str, str | None]:
+        """What comes before the first space, and the rest, with a space before an end of line that a word follows."""
+        if self.direct:
+            text = _LINE.sub(" \n", text)
+        head, space, rest = text.partition(" ")
+        return head, rest if space else None
 
     def apart(self, pieces: list[str]) -> bytes:
         """Ids of pieces that a plain split might not have given; those that it would not are not remembered."""
-        odd = list({w for w in pieces if " " in w or w != w.strip() or not w})
-        found = dict(zip(odd, self.ids([" " + w for w in odd]), strict=True))
-        return b"".join(found[w] if w in found else self.words[w] for w in pieces)
+        kinds = list(set(pieces))
+        found = dict(zip(kinds, self.known(kinds), strict=True))
+        odd = [w for w in kinds if found[w] is None]
+        found.update(zip(odd, self.after(odd), strict=True))
+        return b"".join([found[w] for w in pieces])
 
     def forget(self) -> None:
         """Words that were not met since the time before go."""
-        self.before = dict(self.words)
-        self.words.clear()
-        self.parts.clear()
-
-    def learn(self, word: str) -> bytes:
-        """Ids of a new word. Letters, the marks after them and a line's end are apart in the pattern."""
-        known = self.before.pop(word, None)
-        if known is not None:
-            return known
-        if cut := _TAILED.fullmatch(word):
-            return self.words[cut[1]] + self.parts[cut[2]]
-        if self.direct:
-            if _LETTERS.fullmatch(word):
-                text = word if word.isascii() else word.encode().decode("latin-1").translate(_LETTER)
-                coded = self.coded
-                return b"".join([coded[t.id] for t in self.model.tokenize(_LETTER[32] + text)])
-            if _LINES.fullmatch(word):
-                first, *rest = word.split("\n")
-                return self.parts["\n"].join([self.words[first], *[self.parts[x] for x in rest]])
-        if word != word.strip() or not word:
-            raise Apart
-        return self.ids([" " + word])[0]
-
-    def part(self, text: str) -> bytes:
-        """Ids of what follows no space."""
-        if self.direct and (cut := _TAILED.fullmatch(text)):
-            return self.parts[cut[1]] + self.parts[cut[2]]
-        return self.ids([text])[0]
+        self.before, self.words, self.parts = self.words, {}, {"": b""}
+
+    def known(self, kinds: Collection[str]) -> list[bytes | None]:
+        """Ids of words, which are learned if they are new; None for those with other white space in or around them."""
+        found = list(map(self.words.get, kinds))
+        self.learn([w for w, x in zip(kinds, found, strict=True) if x is None])
+        return list(map(self.words.get, kinds)) if None in found else found
+
+    def learn(self, new: list[str]) -> None:
+        """Remember the ids of words. Letters, the marks after them and a line's end are apart in the pattern."""
+        words, before, parts, direct, one = self.words, self.before, self.parts, self.direct, self.one
+        match = (_WORD if direct else _TAILED).fullmatch
+        cuts, ends, whole = [], set(), []
+        for word in new:
+            if word in before:
+                words[word] = before[word]
+            elif direct and word.isascii() and word.isalpha():
+                words[word] = one(word)
+            elif found := match(word):
+                line, letters, marks = found.groups()
+                if line or letters and marks:
+                    cuts.append((word, line, letters, marks))
+                    ends.update((line, letters, marks) if line else (marks,))
+                else:
+                    words[word] = one(word)
+            elif " " not in word and word.strip() == (word[1:] if direct and word[:1] == "\n" else word) != "":
+                whole.append(word)
+        words.update(zip(whole, self.after(whole), strict=True))
+        more = list(ends.difference(parts))
+        parts.update(zip(more, self.ids(more), strict=True))
+        for word, line, letters, marks in cuts:
+            if line:
+                words[word] = parts[line] + parts[letters] + parts[marks]
+                continue
+            if letters not in words:
+                words[letters] = before[letters] if letters in before else one(letters)
+            words[word] = words[letters] + parts[marks]
+
+    def one(self, word: str) -> bytes:
+        """Ids of a space and a word that are one piece of the pattern."""
+        if not self.direct:
+            return self.after([word])[0]
+        text = word if word.isascii() else word.encode().decode("latin-1").translate(_LETTER)
+        coded = self.coded
+        return b"".join([coded[t.id] for t in self.model.tokenize(_SPACED + text)])
+
+    def after(self, words: list[str]) -> list[bytes]:
+        """Ids of words, each with the space or the end of line before it."""
+        return self.ids([w if w[:1] == "\n" else " " + w for w in words])
 
     def ids(self, texts: list[str]) -> list[bytes]:
         out: list[bytes] = []

@@ -104,6 +104,23 @@ def test_words_over_several_lines_or_before_marks_are_cut(library):
     assert seen.count("Line") == seen.count("\n") == 1
 
 
+def test_new_words_of_many_texts_are_asked_for_at_once(library):
+    """And a line's end is no part of the word before it, so that word is known at any place."""
+    encoder, calls = token_files.Encoder(tokenizer_path(), 2), []
+    ids = encoder.ids
+    encoder.ids = lambda texts: calls.append(texts) or ids(texts)
+    texts = [f"no {i}x{i} and i't{i},\nline{i % 7}.\n\nend  of it{i}\r\n \t" if i % 3 == 0 else f"a {i}y it.\nline, {i}'s\nit" for i in range(300)]
+    texts += ["", "\n", "\nb c", "b\n", "b \nc", "b\n c", "a\nb\nc\n\nd\n\n\ne f", "x\u3000\ny z\n\xa0a b", "a\x1c\nb\n\x85c d", " \n a\nb"]
+    texts += ["<|endoftext|>\n<|endoftext|> a\n<|endoftext|>", "*** ---\n--- ' '' a*** ***a\n***b"]
+    found = encoder.encode(texts[1:300:3])
+    assert len(calls) <= 10 and not [w for w in encoder.words if "\n" in w[1:]]
+    for some in (texts, texts[::-1]):
+        found = encoder.encode(some)
+        for text, got in zip(some, found, strict=True):
+            assert np.frombuffer(got, "<u2").tolist() == library.encode(text, add_special_tokens=False).ids, text
+    assert encoder.encode([]) == []
+
+
 def test_files_of_one_hot_id(spark, library, monkeypatch):
     """Rows of one doc_id spread over several files, in one order in ids and index."""
     monkeypatch.setattr(token_files, "FILE_BYTES", 200)
