@@ -34,9 +34,9 @@ from quayside.session import workspace
 #: Bytes of text that one file covers on average; its ids are about as large again.
 FILE_BYTES = 12 << 20
 #: Words a worker remembers the ids of.
-MEMORY = 450_000
+MEMORY = 300_000
 #: Bytes of text that are encoded at once: more recurring words, fewer look-ups.
-ENCODE_BYTES = 6 << 20
+ENCODE_BYTES = 4 << 20
 #: Words of one call of the library.
 CALL = 5_000
 #: The index is sent to all executors up to this size, beyond it is joined by a shuffle.
